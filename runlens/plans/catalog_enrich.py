@@ -1 +1,112 @@
-"""Registered queries: enrichment (E-1 .. E-4)."""
+"""Registered queries: snapshot source and enrichment (I-9, E-1 .. E-4)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import enrich
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources.snapshot import read_snapshot, write_snapshot_lines
+from . import oracle as O
+from .catalog import F1, P1, as_output, f1_prices, f1_trades, register
+
+SECTOR_CASE = ("CASE stock_symbol " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.F4_SECTORS.items())
+               + " END")
+
+COMPANIES_F4 = f"""
+sym AS (SELECT stock_symbol, min(id) AS first_id, max(id) AS last_id FROM trades GROUP BY stock_symbol),
+companies AS (
+  SELECT first_id AS id, upper(stock_symbol) || ' LTD' AS stock_name, stock_symbol, {SECTOR_CASE} AS sector
+  FROM sym WHERE stock_symbol <> '{fx.F4_MISSING_SYMBOL}'
+  UNION ALL
+  SELECT last_id + 1 AS id, upper(stock_symbol) || ' LTD' AS stock_name, upper(stock_symbol) AS stock_symbol,
+         {SECTOR_CASE} AS sector
+  FROM sym WHERE stock_symbol <> '{fx.F4_MISSING_SYMBOL}')"""
+
+SNAPSHOT_F5 = """
+snap AS (
+  SELECT 1300000 + p_partkey AS id, 'P' || CAST(p_partkey AS VARCHAR) AS symbol, p_name AS security_name,
+         p_partkey, p_size, p_retailprice FROM part
+  UNION ALL
+  SELECT 1300000 + p_partkey + 100000, 'P' || CAST(p_partkey AS VARCHAR), p_name, p_partkey, p_size, p_retailprice
+  FROM part WHERE p_size = 50)"""
+
+COMPANIES_PARTS = """
+comp AS (
+  SELECT p_partkey AS id, p_name AS stock_name, 'P' || CAST(p_partkey AS VARCHAR) AS stock_symbol, p_brand AS sector
+  FROM part WHERE p_size >= 10)"""
+
+
+def _snapshot(spark, sf):
+    """F5 written as JSON lines below the shared folder and read back (I-9)."""
+    path = scratch_path(spark, "snapshot")
+    write_snapshot_lines(fx.snapshot_json_lines(fx.table(spark, sf, "part")), path)
+    return read_snapshot(spark, path)
+
+
+@register("read_snapshot", O.with_ctes(SNAPSHOT_F5) + """
+SELECT id, '2021-06-09' AS business_date, symbol, security_name,
+       CASE WHEN p_size = 1 THEN 0.0 ELSE round(p_retailprice, 4) END AS previous_close,
+       CASE WHEN p_size = 2 THEN 0.0 ELSE round(p_retailprice * 3, 2) END AS market_cap,
+       CAST(p_size AS BIGINT) AS total_trades,
+       '2021-06-09 14:' || lpad(CAST(p_partkey % 60 AS VARCHAR), 2, '0') || ':17.'
+         || rpad(substr(lpad(CAST((p_partkey * 7919) % 1000000 AS VARCHAR), 6, '0'), 1, CAST(p_partkey % 3 + 4 AS INTEGER)),
+                 6, '0') AS last_updated
+FROM snap""")
+def q_read_snapshot(spark, sf):
+    s = _snapshot(spark, sf)
+    return s.select(
+        "id", F.date_format("businessDate", "yyyy-MM-dd").alias("business_date"), "symbol",
+        F.col("securityName").alias("security_name"),
+        F.col("previousDayClosePrice").cast("double").alias("previous_close"),
+        F.col("marketCapitalization").cast("double").alias("market_cap"),
+        F.col("totalTrades").alias("total_trades"),
+        F.date_format("lastUpdatedTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_updated"))
+
+
+@register("symbol_lookup", O.with_ctes(F1, P1, COMPANIES_F4) + """
+, firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
+SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,
+       CAST(p.closing_price AS DOUBLE) AS closing_price, p.pc_change
+FROM prices p LEFT JOIN firsts f ON p.stock_name = f.name""")
+def q_symbol_lookup(spark, sf):
+    prices = f1_prices(spark, sf)
+    companies = fx.companies_from_trades(f1_trades(spark, sf))
+    out = enrich.add_symbol(prices, companies)
+    return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price", "pc_change"))
+
+
+@register("pc_change", O.with_ctes(F1, P1) + """
+SELECT date, stock_name, stock_symbol, num_trnx, CAST(max_price AS DOUBLE) AS max_price,
+       CAST(min_price AS DOUBLE) AS min_price, CAST(closing_price AS DOUBLE) AS closing_price,
+       CAST(traded_shares AS DOUBLE) AS traded_shares, CAST(amount AS DOUBLE) AS amount,
+       CAST(previous_price AS DOUBLE) AS previous_price, CAST(difference AS DOUBLE) AS difference, pc_change
+FROM prices""")
+def q_pc_change(spark, sf):
+    return as_output(enrich.add_pc_change(f1_prices(spark, sf).drop("pc_change")))
+
+
+@register("known_symbols", O.with_ctes(SNAPSHOT_F5, COMPANIES_PARTS) + """
+SELECT s.id, s.symbol, EXISTS (SELECT 1 FROM comp c WHERE c.stock_symbol = s.symbol) AS known FROM snap s""")
+def q_known_symbols(spark, sf):
+    snap = _snapshot(spark, sf)
+    comp = fx.companies_from_parts(fx.table(spark, sf, "part"))
+    return enrich.flag_known(snap.select("id", "symbol"), comp)
+
+
+@register("backfill_companies", O.with_ctes(SNAPSHOT_F5, COMPANIES_PARTS) + """
+, firsts AS (SELECT symbol, min(id) AS sid, arg_min(security_name, id) AS name FROM snap GROUP BY symbol),
+missing AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM comp c WHERE c.stock_symbol = f.symbol)),
+sectors AS (
+  SELECT 'P' || CAST(p_partkey AS VARCHAR) AS stock_symbol, min(split_part(p_type, ' ', 1)) AS sector
+  FROM part WHERE p_type LIKE 'STANDARD%' OR p_type LIKE 'PROMO%' GROUP BY 1),
+base AS (SELECT coalesce(max(id), 0) AS mx FROM comp)
+SELECT id, stock_name, stock_symbol, sector FROM comp
+UNION ALL
+SELECT base.mx + m.sid AS id, m.name AS stock_name, m.symbol AS stock_symbol, s.sector
+FROM missing m LEFT JOIN sectors s ON s.stock_symbol = m.symbol, base""")
+def q_backfill_companies(spark, sf):
+    part = fx.table(spark, sf, "part")
+    return enrich.backfill_companies(fx.companies_from_parts(part), _snapshot(spark, sf),
+                                     fx.sector_map_from_parts(part))
