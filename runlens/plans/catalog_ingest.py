@@ -1 +1,177 @@
-"""Registered queries: extraction and loads (I-1 .. I-16)."""
+"""Registered queries: extraction and loads (I-1 .. I-16, C-10, stream load).
+
+Pages are rendered by Spark from the supplied tables (F6; the supplied
+``pages`` table holds no exchange tables), then extracted and loaded; every
+result is checked against plain SQL over the same tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import compare as cmp
+from ..operators import ingest as I
+from ..session import scratch_path
+from ..sources import fixtures as fx
+from ..sources import pages as P
+from ..sources import store
+from ..streaming.pages_stream import read_streamed_trades, start_page_stream
+from . import oracle as O
+from .catalog import END, F1, N_ALL, P1, START, COMPARE_ALL_SQL, as_output, f1_prices, f1_trades, register
+from .catalog_enrich import COMPANIES_F4, COMPANIES_PARTS
+
+PAGE_SIZE = 100          # trades per page in the fixtures (the exchange serves up to 10,000)
+LOST_PAGE = 2            # page number that never landed, per day, in the coverage check
+DELETED_DAY = "2024-01-10"
+STALE_MIN_SIZE = 30      # the stale directory load before a refresh keeps larger parts only
+
+PAGED = f"""
+paged AS (SELECT t.*, id // {PAGE_SIZE} AS block FROM trades t),
+paged2 AS (
+  SELECT *, CAST(block - min(block) OVER (PARTITION BY date) + 1 AS INTEGER) AS page_no,
+         CAST(max(block) OVER (PARTITION BY date) - min(block) OVER (PARTITION BY date) + 1 AS INTEGER) AS pages,
+         CAST(row_number() OVER (PARTITION BY date, block ORDER BY id) - 1 AS INTEGER) AS pos
+  FROM paged)"""
+SQL_PAGED = O.with_ctes(F1, PAGED)
+NEW_ID = "CAST(replace(date, '-', '') AS BIGINT) * 1000000000 + CAST(page_no AS BIGINT) * 100000 + pos"
+
+
+def trade_pages(spark, sf, malformed=False):
+    return P.render_trade_pages(f1_trades(spark, sf), PAGE_SIZE, malformed=malformed)
+
+
+@register("page_date", SQL_PAGED + "SELECT DISTINCT date, page_no, date AS page_date FROM paged2")
+def q_page_date(spark, sf):
+    pages = trade_pages(spark, sf)
+    return pages.select("date", "page_no", P.page_date(F.col("html")).alias("page_date"))
+
+
+@register("page_count", SQL_PAGED + "SELECT DISTINCT date, pages FROM paged2")
+def q_page_count(spark, sf):
+    return P.page_count(trade_pages(spark, sf))
+
+
+@register("missing_pages", SQL_PAGED + f"SELECT DISTINCT date, {LOST_PAGE} AS page_no FROM paged2 WHERE pages >= {LOST_PAGE}")
+def q_missing_pages(spark, sf):
+    pages = trade_pages(spark, sf)
+    landed = pages.filter(F.col("page_no") != LOST_PAGE)
+    return P.missing_pages(landed, P.page_count(landed))
+
+
+@register("parse_trade_pages", SQL_PAGED + """
+SELECT date, page_no, pos, id AS contract_no, stock_symbol, buyer, seller, quantity,
+       CAST(rate AS DOUBLE) AS rate, CAST(amount AS DOUBLE) AS amount
+FROM paged2""")
+def q_parse_trade_pages(spark, sf):
+    good, _ = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf), date_from_page=True))
+    return as_output(good)
+
+
+@register("quarantine_bad_rows", SQL_PAGED + """
+SELECT date, page_no, pos, id AS contract_no FROM paged2
+WHERE quantity = 99 OR (quantity = 100 AND amount >= 1000)""")
+def q_quarantine(spark, sf):
+    _, bad = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf, malformed=True)))
+    return bad.select("date", "page_no", "pos", "contract_no")
+
+
+@register("assign_trade_id", SQL_PAGED + f"SELECT {NEW_ID} AS id, id AS contract_no FROM paged2")
+def q_assign_trade_id(spark, sf):
+    good, _ = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf)))
+    return good.select(I.trade_id(F.col("date"), F.col("page_no"), F.col("pos")).alias("id"), "contract_no")
+
+
+LOADED_SQL = SQL_PAGED + f"""
+SELECT {NEW_ID} AS id, date, stock_symbol, buyer, seller, quantity, CAST(rate AS DOUBLE) AS rate,
+       CAST(amount AS DOUBLE) AS amount
+FROM paged2"""
+
+
+def _load_trades(spark, sf):
+    path = scratch_path(spark, "trades")
+    good, _ = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf)))
+    store.load_days(I.with_trade_ids(good), path, "trades")
+    return path
+
+
+@register("load_trades", LOADED_SQL)
+def q_load_trades(spark, sf):
+    return as_output(store.read_table(spark, _load_trades(spark, sf), "trades"))
+
+
+@register("delete_day", LOADED_SQL + f" WHERE date <> '{DELETED_DAY}'")
+def q_delete_day(spark, sf):
+    path = _load_trades(spark, sf)
+    store.delete_day(spark, path, DELETED_DAY)
+    return as_output(store.read_table(spark, path, "trades"))
+
+
+@register("stream_load_trades", LOADED_SQL)
+def q_stream_load_trades(spark, sf):
+    landing = scratch_path(spark, "landing")
+    # Pages land as files (one file per rendering task); the stream picks them up.
+    trade_pages(spark, sf).write.mode("overwrite").parquet(landing)
+    table, quarantine = scratch_path(spark, "stream-trades"), scratch_path(spark, "stream-quarantine")
+    q = start_page_stream(spark, landing, table, quarantine, scratch_path(spark, "stream-ckpt"),
+                          available_now=True, max_files_per_trigger=4)
+    q.awaitTermination()
+    return as_output(read_streamed_trades(spark, table))
+
+
+PRICE_COLS = ("max_price", "min_price", "closing_price", "traded_shares", "amount", "previous_price", "difference")
+
+
+@register("parse_price_pages", O.with_ctes(F1, P1) + "SELECT date, stock_name, num_trnx, "
+          + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PRICE_COLS) + " FROM prices")
+def q_parse_price_pages(spark, sf):
+    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices(spark, sf))))
+    return as_output(good.select("date", "stock_name", "num_trnx", *PRICE_COLS))
+
+
+@register("load_prices", O.with_ctes(F1, P1, COMPANIES_F4) + """
+, firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
+SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,
+       CAST(p.closing_price AS DOUBLE) AS closing_price, CAST(p.previous_price AS DOUBLE) AS previous_price,
+       CAST(p.difference AS DOUBLE) AS difference, p.pc_change
+FROM prices p LEFT JOIN firsts f ON p.stock_name = f.name""")
+def q_load_prices(spark, sf):
+    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices(spark, sf))))
+    companies = fx.companies_from_trades(f1_trades(spark, sf))
+    path = scratch_path(spark, "prices")
+    store.load_days(I.prices_table(good, companies), path, "prices")
+    out = store.read_table(spark, path, "prices")
+    return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price",
+                                "previous_price", "difference", "pc_change"))
+
+
+COMPANY_SQL = O.with_ctes(COMPANIES_PARTS) + "SELECT id, stock_name, stock_symbol, sector FROM comp"
+
+
+def _company_pages(spark, sf, min_size=10):
+    return P.render_company_pages(fx.companies_from_parts(fx.table(spark, sf, "part"), min_size), "2021-06-09")
+
+
+def _parsed_companies(pages):
+    good, _ = I.split_bad(I.parse_company_pages(pages))
+    return good.select(F.col("no").alias("id"), "stock_name", "stock_symbol", "sector")
+
+
+@register("parse_company_pages", COMPANY_SQL)
+def q_parse_company_pages(spark, sf):
+    return _parsed_companies(_company_pages(spark, sf))
+
+
+@register("refresh_companies", COMPANY_SQL)
+def q_refresh_companies(spark, sf):
+    path = scratch_path(spark, "companies")
+    store.refresh(_parsed_companies(_company_pages(spark, sf, STALE_MIN_SIZE)), path, "companies")
+    store.refresh(_parsed_companies(_company_pages(spark, sf)), path, "companies")
+    return store.read_table(spark, path, "companies")
+
+
+@register("write_report", f"SELECT *, '{START}_{END}' AS period FROM ({COMPARE_ALL_SQL}) r")
+def q_write_report(spark, sf):
+    report = cmp.compare_all(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END, N_ALL)
+    path = scratch_path(spark, "reports")
+    store.write_report(report, path, f"{START}_{END}")
+    return store.read_report(spark, path, report.schema)
