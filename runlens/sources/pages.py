@@ -2,7 +2,7 @@
 
 A page is one row ``(date, page_no, url, html)``.  Tables are cut out with
 ``regexp_extract``, rows with ``regexp_extract_all``, the reference's row
-slices (``rows[2:-3]`` etc.) with a ``filter`` on the element index, and cells
+slices (``rows[2:-3]`` etc.) with ``slice``, and cells
 with ``posexplode`` + ``get``.  Everything stays in the JVM; pages are
 independent, so extraction is a map-only stage.
 
@@ -89,8 +89,11 @@ def table_rows(pages: DataFrame, cls: str, row_slice: tuple[int, int], keep: lis
     head, tail = row_slice
     keep = keep if keep is not None else [c for c in pages.columns if c != "html"]
     rows = F.regexp_extract_all(first_table(F.col("html"), cls), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
-    data = F.filter(rows, lambda x, i: (i >= head) & (i < F.size(rows) - tail))
-    exploded = pages.select(*keep, F.posexplode(data).alias("pos", "_row"))
+    # rows[head:-tail] as one slice of the materialised array (a lambda that
+    # referred to the extraction would re-run it for every element).
+    sliced = pages.select(*keep, rows.alias("_rows"))
+    data = F.slice(F.col("_rows"), head + 1, F.greatest(F.size("_rows") - head - tail, F.lit(0)))
+    exploded = sliced.select(*keep, F.posexplode(data).alias("pos", "_row"))
     cells = F.transform(F.regexp_extract_all(F.col("_row"), F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1), html_text)
     return exploded.select(*keep, "pos", cells.alias("cells"))
 
