@@ -81,41 +81,41 @@ def _key_cols(prefix: Sequence[str]) -> tuple[list[Column], list[str]]:
     return exprs, names
 
 
-def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
-                 break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
-                 fanout: int = DEFAULT_FANOUT) -> DataFrame:
-    """Trades in range plus ``r`` (run-start flag, 1 or NULL) and ``grp`` (run
-    number, 1..) for the buying (``side='buy'``) or selling broker (R-3, R-4)."""
-    if bucket_width < 1 or fanout < 1:
-        raise ValueError("bucket_width and fanout must be positive")
+def _segmented(trades: DataFrame, side: str, start: str | None, end: str | None,
+               break_on: Sequence[str], bucket_width: int):
+    """Steps 1-2: trades in range with segment keys, local flag ``_r0`` and
+    local run number ``_g0``.  Returns (frame, key columns, segment columns)."""
+    if bucket_width < 1:
+        raise ValueError("bucket_width must be positive")
     b = broker_col(side)
     prefix = order_prefix(break_on)
-    breaks = list(break_on)
     key_exprs, keys = _key_cols(prefix)
-    cols = trades.columns
-    df = trades_in_range(trades, start, end).select(*cols, *key_exprs)
-    df = df.withColumn(_B1, _bucket("id", bucket_width))
+    # Non-nullable key: no inferred IS NOT NULL filters, so every consumer of
+    # this frame plans the same shuffle and Spark reuses it.
+    bucket = F.coalesce(_bucket("id", bucket_width), F.lit(0).cast("long")).alias(_B1)
+    df = trades_in_range(trades, start, end).select(*trades.columns, *key_exprs, bucket)
     seg = [*keys, _B1]
-
-    # (2) flags and local run numbers inside each segment.
     w0 = Window.partitionBy(*seg).orderBy("id")
-    df = df.withColumn("_r0", F.when(F.lag(b).over(w0) == F.col(b), F.lit(None).cast("int")).otherwise(F.lit(1)))
-    df = df.withColumn("_g0", F.sum("_r0").over(w0.rowsBetween(*_ROWS_TO_HERE)))
-
-    # (3a) one row per segment; grouping on the partition keys needs no shuffle.
-    summ = df.groupBy(*seg).agg(
-        F.max("_g0").alias("_nb"),
-        F.min_by(b, "id").alias("_first"),
-        F.max_by(b, "id").alias("_last"))
-    summ = summ.withColumn(_B2, _bucket(_B1, fanout))
+    r0 = F.when(F.lag(b).over(w0) == F.col(b), F.lit(None).cast("int")).otherwise(F.lit(1))
+    df = df.select("*", r0.alias("_r0"))
+    df = df.select("*", F.sum("_r0").over(w0.rowsBetween(*_ROWS_TO_HERE)).alias("_g0"))
+    return df, keys, seg
+
+
+def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout: int) -> DataFrame:
+    """Steps 3-4 on the segment summary ``(seg..., _nb, _first, _last)``:
+    per segment the run-number offset ``_soff`` and ``_smerge`` = 1 when its
+    first local run continues the previous segment's last run."""
+    if fanout < 1:
+        raise ValueError("fanout must be positive")
+    summ = summ.select("*", F.coalesce(_bucket(_B1, fanout), F.lit(0).cast("long")).alias(_B2))
     w1 = Window.partitionBy(*keys, _B2).orderBy(_B1)
-    summ = (summ
-            .withColumn("_head", F.lag(_B1).over(w1).isNull())
-            .withColumn("_m", F.coalesce(F.lag("_last").over(w1) == F.col("_first"), F.lit(False)).cast("long")))
-    summ = summ.withColumn("_net", F.col("_nb") - F.col("_m"))
-    summ = summ.withColumn("_off", F.sum("_net").over(w1.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb"))
+    m = F.coalesce(F.lag("_last").over(w1) == F.col("_first"), F.lit(False)).cast("long")
+    summ = summ.select("*", F.lag(_B1).over(w1).isNull().alias("_head"), m.alias("_m"),
+                       (F.col("_nb") - m).alias("_net"))
+    summ = summ.select("*", (F.sum("_net").over(w1.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
 
-    # (3b) one row per super-segment, scanned in global order in one task.
+    # One row per super-segment, scanned in global order in one task.
     sup = summ.groupBy(*keys, _B2).agg(
         F.sum("_net").alias("_nb2"),
         F.min_by("_first", _B1).alias("_first2"),
@@ -125,19 +125,60 @@ def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: st
     for c in breaks:
         for k in (f"_n_{c}", f"_v_{c}"):
             same = same & (F.lag(k).over(wt) == F.col(k))
-    sup = sup.withColumn("_m2", F.coalesce(same, F.lit(False)).cast("long"))
-    sup = sup.withColumn("_off2", F.sum(F.col("_nb2") - F.col("_m2")).over(wt.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb2"))
-
-    segs = summ.join(sup.select(*keys, _B2, "_m2", "_off2"), [*keys, _B2]).select(
-        *seg,
+    sup = sup.select("*", F.coalesce(same, F.lit(False)).cast("long").alias("_m2"))
+    sup = sup.select("*", (F.sum(F.col("_nb2") - F.col("_m2")).over(wt.rowsBetween(*_ROWS_TO_HERE))
+                           - F.col("_nb2")).alias("_off2"))
+    return summ.join(sup.select(*keys, _B2, "_m2", "_off2"), [*keys, _B2]).select(
+        *keys, _B1,
         (F.col("_off") + F.col("_off2")).alias("_soff"),
         F.when(F.col("_head"), F.col("_m2")).otherwise(F.col("_m")).alias("_smerge"))
 
-    # (4) back to the trades on the segment key.
+
+def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
+                 break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                 fanout: int = DEFAULT_FANOUT) -> DataFrame:
+    """Trades in range plus ``r`` (run-start flag, 1 or NULL) and ``grp`` (run
+    number, 1..) for the buying (``side='buy'``) or selling broker (R-3, R-4).
+
+    The segment summary needs only (id, broker, keys) and is planned as its own
+    narrow shuffle; the wide trades shuffle once and join the per-segment
+    offsets on the key they are already partitioned and sorted by."""
+    b = broker_col(side)
+    df, keys, seg = _segmented(trades, side, start, end, break_on, bucket_width)
+    summ = df.groupBy(*seg).agg(
+        F.max("_g0").alias("_nb"),
+        F.min_by(b, "id").alias("_first"),
+        F.max_by(b, "id").alias("_last"))
+    segs = _segment_offsets(summ, keys, list(break_on), fanout)
     out = df.join(segs, seg)
     first_row = (F.col("_r0") == 1) & (F.col("_g0") == 1)
     r = F.when(first_row & (F.col("_smerge") == 1), F.lit(None).cast("int")).otherwise(F.col("_r0"))
-    return out.select(*cols, r.alias("r"), (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"))
+    return out.select(*trades.columns, r.alias("r"), (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"))
+
+
+def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
+               break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
+               fanout: int = DEFAULT_FANOUT) -> DataFrame:
+    """Runs without per-trade output: one row per (run, date, symbol, segment)
+    with partial sums ``_a``, ``_q``, ``_c`` and the global ``grp``.
+
+    The trades shuffle once (to segments); everything after works on one row
+    per local run, and the segment summary is derived from those rows, so the
+    trades are neither shuffled nor scanned a second time."""
+    b = broker_col(side)
+    df, keys, seg = _segmented(trades, side, start, end, break_on, bucket_width)
+    # Grouping keys contain the segment key: no shuffle.
+    local = df.groupBy(*seg, "_g0", "date", "stock_symbol", b).agg(
+        F.sum("amount").alias("_a"),
+        F.sum("quantity").cast("long").alias("_q"),
+        F.count(F.lit(1)).alias("_c"))
+    summ = local.groupBy(*seg).agg(
+        F.max("_g0").alias("_nb"),
+        F.min_by(b, "_g0").alias("_first"),
+        F.max_by(b, "_g0").alias("_last"))
+    segs = _segment_offsets(summ, keys, list(break_on), fanout)
+    return local.join(segs, seg).select(
+        (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"), "date", "stock_symbol", b, "_a", "_q", "_c")
 
 
 def with_run_ids_naive(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
@@ -158,24 +199,41 @@ def with_run_ids_naive(trades: DataFrame, side: str, start: str | None = None, e
 
 
 def run_totals(numbered: DataFrame, side: str) -> DataFrame:
-    """One row per (run, date, symbol) with the whole run's totals (R-5, R-6).
+    """One row per (run, date, symbol) with the whole run's totals (R-5, R-6),
+    from trades numbered by ``with_run_ids``."""
+    b = broker_col(side)
+    pieces = numbered.select(
+        "grp", "date", "stock_symbol", b, F.col("amount").alias("_a"),
+        F.col("quantity").cast("long").alias("_q"), F.lit(1).cast("long").alias("_c"))
+    return totals_from_pieces(pieces, side)
+
 
-    Trades are first reduced to one row per (run, date, symbol) -- a partial
-    aggregation that runs map-side -- and only those rows are windowed per run,
-    so a long run never gathers its trades in one task."""
+def totals_from_pieces(pieces: DataFrame, side: str) -> DataFrame:
+    """Whole-run totals on every (run, date, symbol) row.
+
+    Pieces are first summed per (run, date, symbol) -- a partial aggregation
+    that runs map-side, so even a run holding a third of all trades reaches the
+    reducer as one row per map task -- and only those rows are windowed per run
+    (one row per date and symbol the run touches)."""
     b = broker_col(side)
-    pieces = numbered.groupBy("grp", "date", "stock_symbol", b).agg(
-        F.sum("amount").alias("_a"),
-        F.sum("quantity").cast("long").alias("_q"),
-        F.count(F.lit(1)).alias("_c"))
+    per_day = pieces.groupBy("grp", "date", "stock_symbol", b).agg(
+        F.sum("_a").alias("_a"), F.sum("_q").alias("_q"), F.sum("_c").alias("_c"))
     w = Window.partitionBy("grp")
-    return pieces.select(
+    return per_day.select(
         "grp", "date", "stock_symbol", b,
         F.sum("_a").over(w).alias("cuml"),
         F.sum("_q").over(w).alias("cumq"),
         F.sum("_c").over(w).alias("trnxs"))
 
 
+def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
+                break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                fanout: int = DEFAULT_FANOUT) -> DataFrame:
+    """``run_totals`` straight from trades, via ``run_pieces`` (one trades
+    shuffle)."""
+    return totals_from_pieces(run_pieces(trades, side, start, end, break_on, bucket_width, fanout), side)
+
+
 def run_detail(numbered: DataFrame, grp) -> DataFrame:
     """Every trade of one run (R-16, R-17).  ``grp`` is a number or a one-column
     DataFrame of run numbers (semi join, nothing collected)."""

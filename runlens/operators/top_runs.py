@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import broker_col
-from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_totals, with_run_ids
+from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_summary
 
 
 def report_order(side: str, all_symbols: bool) -> list:
@@ -38,9 +38,8 @@ def top_runs(trades: DataFrame, prices: DataFrame, side: str, start: str | None,
     if n < 0:
         raise ValueError("n must be >= 0")
     b = broker_col(side)
-    numbered = with_run_ids(trades, side, start, end, break_on=break_on,
-                            bucket_width=bucket_width, fanout=fanout)
-    totals = run_totals(numbered, side)
+    totals = run_summary(trades, side, start, end, break_on=break_on,
+                         bucket_width=bucket_width, fanout=fanout)
     if symbol is not None:
         totals = totals.filter(F.col("stock_symbol") == F.lit(symbol))
     # Top-n: TakeOrderedAndProject keeps n rows per partition, merges n*P rows.

@@ -36,8 +36,19 @@ F4_SECTORS = {
 }
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A supplied table.  The lazy handle is reused per session and path, so a
+    query that reads a table twice lists the file and reads its footer once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def trades_from_events(events: DataFrame, start: str | None = None,
@@ -101,12 +112,11 @@ def prices_from_trades(trades: DataFrame, drop_symbol: str | None = F2_DROPPED_S
     # One row per trading day of a symbol: bounded by the calendar.
     w = Window.partitionBy("stock_symbol").orderBy("date")
     prev = F.coalesce(F.lag("closing_price").over(w), F.lit(0).cast("decimal(18,2)"))
-    daily = daily.withColumn("previous_price", prev.cast("decimal(18,2)"))
-    daily = daily.withColumn(
-        "difference",
-        F.when(F.col("previous_price") == 0, F.lit(0).cast("decimal(18,2)"))
-         .otherwise(F.col("closing_price") - F.col("previous_price")).cast("decimal(18,2)"))
-    daily = daily.withColumn("pc_change", pc_change_expr("difference", "previous_price"))
+    daily = daily.select("*", prev.cast("decimal(18,2)").alias("previous_price"))
+    diff = (F.when(F.col("previous_price") == 0, F.lit(0).cast("decimal(18,2)"))
+            .otherwise(F.col("closing_price") - F.col("previous_price")).cast("decimal(18,2)"))
+    daily = daily.select("*", diff.alias("difference"))
+    daily = daily.select("*", pc_change_expr("difference", "previous_price").alias("pc_change"))
     if drop_symbol is not None and drop_dates is not None:
         gone = (F.col("stock_symbol") == drop_symbol) & F.col("date").between(*drop_dates)
         daily = daily.filter(~gone)
