@@ -45,9 +45,10 @@ def build_session(master: str | None = None, app: str = "runlens",
 
 
 def apply_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable part of DEFAULT_CONF to an existing session."""
+    """Apply the runtime-settable planner settings of DEFAULT_CONF to an existing
+    session (the session time zone is left as the caller set it)."""
     for k, v in DEFAULT_CONF.items():
-        if k == "spark.ui.enabled":
+        if k in ("spark.ui.enabled", "spark.sql.session.timeZone"):
             continue
         try:
             spark.conf.set(k, v)

@@ -126,3 +126,14 @@ def test_segmented_equals_global_window(spark, seed, n, width, fanout, mode, sid
     if mode == ("stock_symbol", "date"):
         # strict runs never repeat a total across rows
         assert tot.count() == len(per_run)
+
+
+@settings(max_examples=8, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 60), width=st.integers(1, 40), fanout=st.integers(1, 5),
+       mode=st.sampled_from([(), ("stock_symbol", "date")]))
+def test_summary_from_pieces_equals_per_trade_totals(spark, seed, n, width, fanout, mode):
+    tr = _random_trades(spark, seed, n).withColumn("amount", (F.col("id") % 7).cast("decimal(18,4)"))
+    fast = runs.run_summary(tr, "buy", break_on=mode, bucket_width=width, fanout=fanout)
+    slow = runs.run_totals(runs.with_run_ids_naive(tr, "buy", break_on=mode), "buy")
+    key = lambda t: (t[0], t[1], t[2] or "")
+    assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, slow.collect()), key=key)
