@@ -162,9 +162,9 @@ def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str
     """Runs without per-trade output: one row per (run, date, symbol, segment)
     with partial sums ``_a``, ``_q``, ``_c`` and the global ``grp``.
 
-    The trades shuffle once (to segments); everything after works on one row
-    per local run, and the segment summary is derived from those rows, so the
-    trades are neither shuffled nor scanned a second time."""
+    The trades shuffle to segments; everything after works on one row per local
+    run.  The segment summary is derived from those rows; Spark plans that branch
+    with only (id, broker, keys), i.e. as a second, narrow pass over the trades."""
     b = broker_col(side)
     df, keys, seg = _segmented(trades, side, start, end, break_on, bucket_width)
     # Grouping keys contain the segment key: no shuffle.
