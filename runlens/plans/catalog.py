@@ -183,45 +183,35 @@ for _side in ("buy", "sell"):
 # C: side-by-side reports
 # --------------------------------------------------------------------------
 
-def _compare_symbol_sql(n: int, symbol: str) -> str:
-    sides = []
-    for side, p in (("buy", "buy"), ("sell", "sell")):
-        b = broker_col(side)
-        sides += [O.runs_sql(side, START, END, src="trades").replace("sorted AS", f"{p}_sorted AS")
-                  .replace("FROM sorted", f"FROM {p}_sorted").replace("ranges AS", f"{p}_ranges AS")
-                  .replace("FROM ranges", f"FROM {p}_ranges").replace("groups AS", f"{p}_groups AS"),
-                  O.totals_sql(side).replace("FROM groups", f"FROM {p}_groups").replace("final AS", f"{p}_final AS")
-                  .replace("FROM final", f"FROM {p}_final").replace("top_list AS", f"{p}_top_list AS"),
-                  O.top_sql(side, n, symbol, name=f"{p}_ct").replace("FROM top_list", f"FROM {p}_top_list"),
-                  f"""{p}_pos AS (
-  SELECT *, CAST(trunc(cuml / cumq) AS INTEGER) AS rate,
-         row_number() OVER (ORDER BY date NULLS LAST, {b} DESC NULLS FIRST, cuml DESC NULLS FIRST, grp) AS pos
-  FROM {p}_ct)"""]
-    return O.with_ctes(F1, P1, *sides) + """
-SELECT b.pos, b.date AS buy_date, b.stock_symbol AS buy_symbol, b.cuml AS buy_amount, b.cumq AS buy_quantity,
+def _side_sql(side: str, n: int, symbol: str | None, rate: str | None, partition: bool) -> list[str]:
+    """CTEs ``<side>_ct`` (top runs) and, with ``rate``, ``<side>_pos`` (+ rate, position)."""
+    b, p = broker_col(side), f"{side}_"
+    out = [O.runs_sql(side, START, END, p=p), O.totals_sql(side, p=p),
+           O.top_sql(side, n, symbol, name=f"{p}ct", p=p)]
+    if rate is not None:
+        part = "PARTITION BY stock_symbol " if partition else ""
+        out.append(f"""{p}pos AS (
+  SELECT *, {rate} AS rate,
+         CAST(row_number() OVER ({part}ORDER BY date NULLS LAST, {b} DESC NULLS FIRST, cuml DESC NULLS FIRST, grp)
+              AS INTEGER) AS pos
+  FROM {p}ct)""")
+    return out
+
+
+_PAIR_COLS = """b.date AS buy_date, b.stock_symbol AS buy_symbol, b.cuml AS buy_amount, b.cumq AS buy_quantity,
        b.trnxs AS buy_trnxs, b.pc_change AS buy_pc_change, b.rate AS buy_rate, b.grp AS buy_grp, b.buyer,
        s.date AS sell_date, s.stock_symbol AS sell_symbol, s.cuml AS sell_amount, s.cumq AS sell_quantity,
-       s.trnxs AS sell_trnxs, s.pc_change AS sell_pc_change, s.rate AS sell_rate, s.grp AS sell_grp, s.seller
-FROM buy_pos b LEFT JOIN sell_pos s ON b.pos = s.pos"""
+       s.trnxs AS sell_trnxs, s.pc_change AS sell_pc_change, s.rate AS sell_rate, s.grp AS sell_grp, s.seller"""
+
+
+def _compare_symbol_sql(n: int, symbol: str) -> str:
+    rate = "CAST(trunc(cuml / cumq) AS INTEGER)"
+    return (O.with_ctes(F1, P1, *_side_sql("buy", n, symbol, rate, False), *_side_sql("sell", n, symbol, rate, False))
+            + f"SELECT b.pos, {_PAIR_COLS}\nFROM buy_pos b LEFT JOIN sell_pos s ON b.pos = s.pos")
 
 
 def _two_sides_sql(n_buy: int, n_sell: int, rate: str | None) -> list[str]:
-    out = []
-    for side, p, n in (("buy", "buy", n_buy), ("sell", "sell", n_sell)):
-        b = broker_col(side)
-        out += [O.runs_sql(side, START, END).replace("sorted AS", f"{p}_sorted AS")
-                .replace("FROM sorted", f"FROM {p}_sorted").replace("ranges AS", f"{p}_ranges AS")
-                .replace("FROM ranges", f"FROM {p}_ranges").replace("groups AS", f"{p}_groups AS"),
-                O.totals_sql(side).replace("FROM groups", f"FROM {p}_groups").replace("final AS", f"{p}_final AS")
-                .replace("FROM final", f"FROM {p}_final").replace("top_list AS", f"{p}_top_list AS"),
-                O.top_sql(side, n, None, name=f"{p}_ct").replace("FROM top_list", f"FROM {p}_top_list")]
-        if rate is not None:
-            out.append(f"""{p}_pos AS (
-  SELECT *, {rate} AS rate,
-         row_number() OVER (PARTITION BY stock_symbol
-                            ORDER BY date NULLS LAST, {b} DESC NULLS FIRST, cuml DESC NULLS FIRST, grp) AS pos
-  FROM {p}_ct)""")
-    return out
+    return [*_side_sql("buy", n_buy, None, rate, True), *_side_sql("sell", n_sell, None, rate, True)]
 
 
 @register("compare_symbol", _compare_symbol_sql(N_ONE, SYMBOL))
@@ -265,12 +255,9 @@ def q_symbols_either_side(spark, sf):
     return cmp.symbols_either_side(*_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
-COMPARE_ALL_SQL = O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)")) + """
+COMPARE_ALL_SQL = O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)")) + f"""
 SELECT coalesce(b.stock_symbol, s.stock_symbol) AS stock_symbol, coalesce(b.pos, s.pos) AS pos,
-       b.date AS buy_date, b.stock_symbol AS buy_symbol, b.cuml AS buy_amount, b.cumq AS buy_quantity,
-       b.trnxs AS buy_trnxs, b.pc_change AS buy_pc_change, b.rate AS buy_rate, b.grp AS buy_grp, b.buyer,
-       s.date AS sell_date, s.stock_symbol AS sell_symbol, s.cuml AS sell_amount, s.cumq AS sell_quantity,
-       s.trnxs AS sell_trnxs, s.pc_change AS sell_pc_change, s.rate AS sell_rate, s.grp AS sell_grp, s.seller
+       {_PAIR_COLS}
 FROM buy_pos b FULL OUTER JOIN sell_pos s ON b.stock_symbol = s.stock_symbol AND b.pos = s.pos"""
 
 

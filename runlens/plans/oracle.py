@@ -77,8 +77,9 @@ def _range(start: str | None, end: str | None) -> str:
 
 
 def runs_sql(side: str, start: str | None, end: str | None, strict: bool = False,
-             src: str = "trades") -> str:
-    """CTE bodies ``sorted``, ``ranges``, ``groups`` with ``r`` and ``grp``."""
+             src: str = "trades", p: str = "") -> str:
+    """CTE bodies ``sorted``, ``ranges``, ``groups`` (names prefixed by ``p``)
+    with ``r`` and ``grp``."""
     b = broker_col(side)
     if strict:
         lag_w = "PARTITION BY stock_symbol, date ORDER BY id"
@@ -87,36 +88,36 @@ def runs_sql(side: str, start: str | None, end: str | None, strict: bool = False
         lag_w = "ORDER BY stock_symbol NULLS LAST, id"
         order = "stock_symbol NULLS LAST, id"
     return f"""
-sorted AS (SELECT * FROM {src} {_range(start, end)}),
-ranges AS (
+{p}sorted AS (SELECT * FROM {src} {_range(start, end)}),
+{p}ranges AS (
   SELECT id, date, stock_symbol, buyer, seller, quantity, rate, amount,
          CASE WHEN lag({b}) OVER ({lag_w}) = {b} THEN NULL ELSE 1 END AS r
-  FROM sorted),
-groups AS (
+  FROM {p}sorted),
+{p}groups AS (
   SELECT *, CAST(SUM(r) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                  AS BIGINT) AS grp
-  FROM ranges)"""
+  FROM {p}ranges)"""
 
 
-def totals_sql(side: str) -> str:
+def totals_sql(side: str, p: str = "") -> str:
     """CTE bodies ``final`` and ``top_list`` (after ``groups``)."""
     b = broker_col(side)
     return f"""
-final AS (
+{p}final AS (
   SELECT date, stock_symbol, {b}, grp,
          sum(amount) OVER (PARTITION BY grp) AS cuml,
          sum(quantity) OVER (PARTITION BY grp) AS cumq,
          count(*) OVER (PARTITION BY grp) AS trnxs
-  FROM groups),
-top_list AS (SELECT DISTINCT grp, date, stock_symbol, {b}, cuml, cumq, trnxs FROM final)"""
+  FROM {p}groups),
+{p}top_list AS (SELECT DISTINCT grp, date, stock_symbol, {b}, cuml, cumq, trnxs FROM {p}final)"""
 
 
-def top_sql(side: str, n: int, symbol: str | None, name: str = "ct") -> str:
+def top_sql(side: str, n: int, symbol: str | None, name: str = "ct", p: str = "") -> str:
     b = broker_col(side)
     where = f"WHERE stock_symbol = '{symbol}'" if symbol is not None else ""
     return f"""
 {name}_lim AS (
-  SELECT * FROM top_list {where}
+  SELECT * FROM {p}top_list {where}
   ORDER BY cuml DESC NULLS LAST, grp, date, stock_symbol LIMIT {int(n)}),
 {name} AS (
   SELECT c.grp, c.date, c.stock_symbol, c.{b}, CAST(c.cuml AS DOUBLE) AS cuml,
