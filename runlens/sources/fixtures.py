@@ -92,6 +92,18 @@ def trades_from_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+def replicate_trades(trades: DataFrame, copies: int, stride: int = 10**12) -> DataFrame:
+    """``copies`` shifted copies of a trade table (ids + copy * stride, symbols
+    suffixed ``#copy``): a larger input with the same run structure per copy,
+    for scaling measurements.  Derived row by row (``explode``), no shuffle."""
+    copy = F.explode(F.sequence(F.lit(0), F.lit(int(copies) - 1))).alias("_copy")
+    rep = trades.select("*", copy)
+    cols = [(F.col("id") + F.col("_copy") * F.lit(int(stride))).alias("id") if c == "id"
+            else F.concat(F.col(c), F.lit("#"), F.col("_copy").cast("string")).alias(c) if c == "stock_symbol"
+            else F.col(c) for c in trades.columns]
+    return rep.select(*cols)
+
+
 def stock_name_expr(symbol_col: str = "stock_symbol"):
     return F.concat(F.upper(F.col(symbol_col)), F.lit(" LTD"))
 
