@@ -236,7 +236,9 @@ def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str
 
 def run_detail(numbered: DataFrame, grp) -> DataFrame:
     """Every trade of one run (R-16, R-17).  ``grp`` is a number or a one-column
-    DataFrame of run numbers (semi join, nothing collected)."""
+    DataFrame of run numbers (semi join, nothing collected; the planner
+    broadcasts the selection when its size is known to be small, e.g. after a
+    ``limit``)."""
     if isinstance(grp, DataFrame):
-        return numbered.join(F.broadcast(grp.select("grp").distinct()), "grp", "left_semi")
+        return numbered.join(grp.select("grp").distinct(), "grp", "left_semi")
     return numbered.filter(F.col("grp") == F.lit(int(grp)))

@@ -67,21 +67,38 @@ def as_output(df: DataFrame) -> DataFrame:
 # Inputs
 # --------------------------------------------------------------------------
 
+_INPUTS: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """Lazy input DataFrames are immutable: build each once per session, so
+    queries sharing an input skip re-planning it."""
+    k = (id(spark), *key)
+    df = _INPUTS.get(k)
+    if df is None or df.sparkSession is not spark:
+        df = _INPUTS[k] = build()
+    return df
+
+
 def f1_trades(spark: SparkSession, sf: str, ranged: bool = False) -> DataFrame:
-    ev = fx.table(spark, sf, "events")
-    return fx.trades_from_events(ev, START, END) if ranged else fx.trades_from_events(ev)
+    def build():
+        ev = fx.table(spark, sf, "events")
+        return fx.trades_from_events(ev, START, END) if ranged else fx.trades_from_events(ev)
+    return _memo(spark, ("f1", sf, ranged), build)
 
 
 def f1_prices(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.prices_from_trades(f1_trades(spark, sf))
+    return _memo(spark, ("f1p", sf), lambda: fx.prices_from_trades(f1_trades(spark, sf)))
 
 
 def f3_trades(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.trades_from_orders(fx.table(spark, sf, "orders"), fx.table(spark, sf, "customer"))
+    return _memo(spark, ("f3", sf), lambda: fx.trades_from_orders(fx.table(spark, sf, "orders"),
+                                                                   fx.table(spark, sf, "customer")))
 
 
 def f3_prices(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.prices_from_trades(f3_trades(spark, sf), drop_symbol=None, drop_dates=None)
+    return _memo(spark, ("f3p", sf),
+                 lambda: fx.prices_from_trades(f3_trades(spark, sf), drop_symbol=None, drop_dates=None))
 
 
 F1 = f"trades AS ({O.TRADES_F1})"

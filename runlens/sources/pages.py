@@ -73,9 +73,19 @@ def page_count(pages: DataFrame, requested: int = 9999) -> DataFrame:
     return per_day.select("date", n.alias("pages"))
 
 
+def expected_pages(counts: DataFrame, url_template: str = "{page}?limit={limit}", limit: int = 10000) -> DataFrame:
+    """I-2: the pages 1..N of every date with their URLs (``{page}`` and
+    ``{limit}`` are filled in), one row per page."""
+    pre, _, rest = url_template.partition("{page}")
+    rest = rest.replace("{limit}", str(int(limit)))
+    pre = pre.replace("{limit}", str(int(limit)))
+    out = counts.select("date", F.explode(F.sequence(F.lit(1), F.col("pages"))).alias("page_no"))
+    return out.select("date", "page_no", F.concat(F.lit(pre), F.col("page_no").cast("string"), F.lit(rest)).alias("url"))
+
+
 def missing_pages(pages: DataFrame, counts: DataFrame) -> DataFrame:
     """I-2 re-aimed: expected pages 1..N per date that have not landed."""
-    expected = counts.select("date", F.explode(F.sequence(F.lit(1), F.col("pages"))).alias("page_no"))
+    expected = expected_pages(counts).select("date", "page_no")
     return expected.join(pages.select("date", "page_no"), ["date", "page_no"], "left_anti")
 
 

@@ -74,6 +74,9 @@ def test_missing_pages(spark):
     landed = pages.filter(~((F.col("date") == "2024-01-02") & (F.col("page_no") == 2)))
     got = [tuple(r) for r in P.missing_pages(landed, P.page_count(landed)).collect()]
     assert got == [("2024-01-02", 2)]
+    urls = [r.url for r in P.expected_pages(P.page_count(pages), "index/{page}/?limit={limit}", 500)
+            .filter(F.col("date") == "2024-01-01").orderBy("page_no").collect()]
+    assert urls == ["index/1/?limit=500", "index/2/?limit=500", "index/3/?limit=500"]
 
 
 def test_price_and_company_pages(spark):
