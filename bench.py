@@ -2,7 +2,8 @@
 
 Prints one JSON line: {"metric", "value" (total seconds), "unit", "queries":
 {name: seconds}, "sf", ...}.  Each query runs its full plan into Spark's
-``noop`` sink (nothing is collected), after one warm-up run of the flagship.
+``noop`` sink (nothing is collected), after one warm-up run of the flagship;
+each query's time is the best of ``$BENCH_REPEATS`` runs (default 2).
 ``run_ids_buy_naive`` is the textbook global window (one task) kept as the
 baseline for the segmented scan (``run_ids_buy``).
 """
@@ -70,10 +71,13 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+
     run("top_runs_all_buy")  # warm-up: JIT, file listing caches
     times = {}
     for name in HEADLINE:
-        times[name] = round(run(name), 3)
+        # best of `repeats`: the shared test machine varies by +-30% run to run
+        times[name] = round(min(run(name) for _ in range(repeats)), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total",
@@ -82,6 +86,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "repeats": repeats,
     }
     print(json.dumps(out))
     spark.stop()

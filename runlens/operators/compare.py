@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import rate_1dp, rate_int
 from ..schema import broker_col
 from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT
-from .top_runs import report_order, top_runs
+from .top_runs import report_order, sorted_small, top_runs
 
 _SIDE_FIELDS = ("date", "stock_symbol", "cuml", "cumq", "trnxs", "pc_change", "rate", "grp")
 
@@ -53,7 +53,7 @@ def compare_symbol(trades: DataFrame, prices: DataFrame, start: str | None, end:
         t = t.withColumn("pos", F.row_number().over(Window.orderBy(*report_order(side, False))))
         sides.append(_side_columns(t, side, prefix).drop("_sym"))
     buys, sells = sides
-    return buys.join(sells, "pos", "left").orderBy("pos")
+    return sorted_small(buys.join(sells, "pos", "left"), [F.col("pos")])
 
 
 def compare_all(trades: DataFrame, prices: DataFrame, start: str | None, end: str | None,
@@ -79,7 +79,7 @@ def compare_all(trades: DataFrame, prices: DataFrame, start: str | None, end: st
         F.coalesce("_b_pos", "_s_pos").alias("pos"),
         *[c for c in buys.columns if not c.startswith("_b_")],
         *[c for c in sells.columns if not c.startswith("_s_")])
-    return out.orderBy(F.col("stock_symbol").asc_nulls_last(), "pos")
+    return sorted_small(out, [F.col("stock_symbol").asc_nulls_last(), F.col("pos")])
 
 
 def runs_per_symbol(top_buy: DataFrame, top_sell: DataFrame) -> DataFrame:

@@ -55,5 +55,11 @@ def top_runs(trades: DataFrame, prices: DataFrame, side: str, start: str | None,
         F.col("trnxs").cast("long").alias("trnxs"),
         F.col("pc_change").cast("double").alias("pc_change"))
     if sort:
-        out = out.orderBy(*report_order(side, symbol is None))
+        out = sorted_small(out, report_order(side, symbol is None))
     return out
+
+
+def sorted_small(df: DataFrame, order: list) -> DataFrame:
+    """Total order for a result bounded by ``n`` rows: one partition sorted in
+    place (a range-partitioned ``orderBy`` would first run a sampling job)."""
+    return df.repartition(1).sortWithinPartitions(*order)
