@@ -17,12 +17,14 @@ from runlens.sources import store  # noqa: E402
 
 
 def census(name, df, full):
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan, "run the DataFrame before reading its plan"
+    plan = plan.split("== Initial Plan ==")[0]
     if full:
         print(f"===== {name}")
         df.explain("formatted")
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
-    print(f"{name}: exchanges={plan.count('Exchange ') - plan.count('BroadcastExchange')} "
+    print(f"{name}: shuffles={plan.count('ShuffleQueryStage')} "
           f"broadcasts={plan.count('BroadcastExchange')} windows={plan.count('Window [')} "
           f"single_partition={plan.count('SinglePartition')} reused={plan.count('ReusedExchange')}")
     for s in scans:
@@ -52,7 +54,9 @@ def main():
         "compare_all(800)": compare.compare_all(trades, prices, s, e, 800),
     }
     for name, df in items.items():
-        df.write.format("noop").mode("overwrite").save()   # run once so AQE shows the final plan
+        # Execute this DataFrame's own QueryExecution (a write would plan a new
+        # one) so that AQE's final plan, with reused stages, is what we read.
+        df.collect()
         census(name, df, full)
 
 
