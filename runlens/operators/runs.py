@@ -38,7 +38,7 @@ from ..schema import broker_col
 
 # Ids per segment: a segment never holds more trades than this.
 DEFAULT_BUCKET_WIDTH = 100_000
-# Segments per super-segment.
+# Segments per super-segment (one level; pass a tuple for more levels).
 DEFAULT_FANOUT = 4_096
 
 _B1, _B2 = "_seg", "_sup"
@@ -102,41 +102,56 @@ def _segmented(trades: DataFrame, side: str, start: str | None, end: str | None,
     return df, keys, seg
 
 
-def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout: int) -> DataFrame:
-    """Steps 3-4 on the segment summary ``(seg..., _nb, _first, _last)``:
-    per segment the run-number offset ``_soff`` and ``_smerge`` = 1 when its
-    first local run continues the previous segment's last run."""
-    if fanout < 1:
+def _fanouts(fanout) -> tuple[int, ...]:
+    ks = (fanout,) if isinstance(fanout, int) else tuple(fanout)
+    if any(int(k) < 1 for k in ks):
         raise ValueError("fanout must be positive")
-    summ = summ.select("*", F.coalesce(_bucket(_B1, fanout), F.lit(0).cast("long")).alias(_B2))
+    return tuple(int(k) for k in ks)
+
+
+def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout) -> DataFrame:
+    """Steps 3-4 on a block summary ``(keys..., _seg, _nb, _first, _last)``:
+    per block the run-number offset ``_soff`` and ``_smerge`` = 1 when its
+    first local run continues the previous block's last run.
+
+    With fanouts ``(K1, K2, ...)`` blocks are grouped ``K1`` at a time into
+    parent blocks, whose summaries have the same shape and are solved the same
+    way; only the last level is scanned in a single task, over
+    ``#symbols * id range / (W * K1 * K2 * ...)`` rows.
+    """
+    ks = _fanouts(fanout)
+    if not ks:
+        wt = Window.orderBy(*keys, _B1)
+        same = F.lag("_last").over(wt) == F.col("_first")
+        for c in breaks:
+            for k in (f"_n_{c}", f"_v_{c}"):
+                same = same & (F.lag(k).over(wt) == F.col(k))
+        m = F.coalesce(same, F.lit(False)).cast("long")
+        top = summ.select(*keys, _B1, "_nb", m.alias("_smerge"))
+        return top.select(*keys, _B1, "_smerge", (F.sum(F.col("_nb") - F.col("_smerge"))
+                                                   .over(wt.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_soff"))
+    # Inside a parent block the order prefix is constant, so only the broker
+    # decides whether a block continues its predecessor's run.
+    s = summ.select("*", F.coalesce(_bucket(_B1, ks[0]), F.lit(0).cast("long")).alias(_B2))
     w1 = Window.partitionBy(*keys, _B2).orderBy(_B1)
     m = F.coalesce(F.lag("_last").over(w1) == F.col("_first"), F.lit(False)).cast("long")
-    summ = summ.select("*", F.lag(_B1).over(w1).isNull().alias("_head"), m.alias("_m"),
-                       (F.col("_nb") - m).alias("_net"))
-    summ = summ.select("*", (F.sum("_net").over(w1.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
-
-    # One row per super-segment, scanned in global order in one task.
-    sup = summ.groupBy(*keys, _B2).agg(
-        F.sum("_net").alias("_nb2"),
-        F.min_by("_first", _B1).alias("_first2"),
-        F.max_by("_last", _B1).alias("_last2"))
-    wt = Window.orderBy(*keys, _B2)
-    same = F.lag("_last2").over(wt) == F.col("_first2")
-    for c in breaks:
-        for k in (f"_n_{c}", f"_v_{c}"):
-            same = same & (F.lag(k).over(wt) == F.col(k))
-    sup = sup.select("*", F.coalesce(same, F.lit(False)).cast("long").alias("_m2"))
-    sup = sup.select("*", (F.sum(F.col("_nb2") - F.col("_m2")).over(wt.rowsBetween(*_ROWS_TO_HERE))
-                           - F.col("_nb2")).alias("_off2"))
-    return summ.join(sup.select(*keys, _B2, "_m2", "_off2"), [*keys, _B2]).select(
+    s = s.select("*", F.lag(_B1).over(w1).isNull().alias("_head"), m.alias("_m"), (F.col("_nb") - m).alias("_net"))
+    s = s.select("*", (F.sum("_net").over(w1.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
+    parent = s.groupBy(*keys, _B2).agg(
+        F.sum("_net").alias("_nb"),
+        F.min_by("_first", _B1).alias("_first"),
+        F.max_by("_last", _B1).alias("_last")).withColumnRenamed(_B2, _B1)
+    up = _segment_offsets(parent, keys, breaks, ks[1:]).select(
+        *keys, F.col(_B1).alias(_B2), F.col("_soff").alias("_poff"), F.col("_smerge").alias("_pmerge"))
+    return s.join(up, [*keys, _B2]).select(
         *keys, _B1,
-        (F.col("_off") + F.col("_off2")).alias("_soff"),
-        F.when(F.col("_head"), F.col("_m2")).otherwise(F.col("_m")).alias("_smerge"))
+        (F.col("_off") + F.col("_poff")).alias("_soff"),
+        F.when(F.col("_head"), F.col("_pmerge")).otherwise(F.col("_m")).alias("_smerge"))
 
 
 def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
                  break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
-                 fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                 fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
     """Trades in range plus ``r`` (run-start flag, 1 or NULL) and ``grp`` (run
     number, 1..) for the buying (``side='buy'``) or selling broker (R-3, R-4).
 
@@ -158,7 +173,7 @@ def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: st
 
 def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
                break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
-               fanout: int = DEFAULT_FANOUT) -> DataFrame:
+               fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
     """Runs without per-trade output: one row per (run, date, symbol, segment)
     with partial sums ``_a``, ``_q``, ``_c`` and the global ``grp``.
 
@@ -228,7 +243,7 @@ def totals_from_pieces(pieces: DataFrame, side: str) -> DataFrame:
 
 def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
                 break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
-                fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
     """``run_totals`` straight from trades, via ``run_pieces`` (one trades
     shuffle)."""
     return totals_from_pieces(run_pieces(trades, side, start, end, break_on, bucket_width, fanout), side)

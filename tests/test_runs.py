@@ -36,7 +36,7 @@ CASES = [
 
 
 @pytest.mark.parametrize("name,rows,expected", CASES, ids=[c[0] for c in CASES])
-@pytest.mark.parametrize("width,fanout", [(100_000, 4096), (1, 2), (2, 1)])
+@pytest.mark.parametrize("width,fanout", [(100_000, 4096), (1, 2), (2, 1), (1, (2, 2)), (1, ())])
 def test_edge_cases(spark, name, rows, expected, width, fanout):
     df = runs.with_run_ids(_trades(spark, rows), "buy", bucket_width=width, fanout=fanout)
     assert _grps(df) == expected
@@ -96,6 +96,8 @@ def test_bad_arguments(spark):
         runs.with_run_ids(tr, "buy", break_on=("buyer",))
     with pytest.raises(ValueError):
         runs.with_run_ids(tr, "buy", bucket_width=0)
+    with pytest.raises(ValueError):
+        runs.with_run_ids(tr, "buy", fanout=(4, 0))
 
 
 def _random_trades(spark, seed, n):
@@ -108,8 +110,12 @@ def _random_trades(spark, seed, n):
     return spark.createDataFrame(data, TRADES)
 
 
-@settings(max_examples=12, deadline=None)
-@given(seed=st.integers(0, 10_000), n=st.integers(1, 60), width=st.integers(1, 40), fanout=st.integers(1, 5),
+FANOUTS = st.one_of(st.integers(1, 5), st.tuples(st.integers(1, 4), st.integers(1, 4)),
+                   st.tuples(st.integers(1, 3), st.integers(1, 3), st.integers(1, 3)), st.just(()))
+
+
+@settings(max_examples=16, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 60), width=st.integers(1, 40), fanout=FANOUTS,
        mode=st.sampled_from([(), ("stock_symbol",), ("stock_symbol", "date")]),
        side=st.sampled_from(["buy", "sell"]))
 def test_segmented_equals_global_window(spark, seed, n, width, fanout, mode, side):
@@ -129,7 +135,7 @@ def test_segmented_equals_global_window(spark, seed, n, width, fanout, mode, sid
 
 
 @settings(max_examples=8, deadline=None)
-@given(seed=st.integers(0, 10_000), n=st.integers(1, 60), width=st.integers(1, 40), fanout=st.integers(1, 5),
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 60), width=st.integers(1, 40), fanout=FANOUTS,
        mode=st.sampled_from([(), ("stock_symbol", "date")]))
 def test_summary_from_pieces_equals_per_trade_totals(spark, seed, n, width, fanout, mode):
     tr = _random_trades(spark, seed, n).withColumn("amount", (F.col("id") % 7).cast("decimal(18,4)"))
