@@ -144,7 +144,9 @@ def _pages_from_rows(rows: DataFrame, block: Column, order: Column, cls: str, ro
     span = b.groupBy("date").agg(F.min("_block").alias("_b0"), F.max("_block").alias("_b1"))
     grouped = b.groupBy("date", "_block").agg(
         F.array_sort(F.collect_list(F.struct(order.alias("k"), F.col("_html").alias("h")))).alias("_rows"))
-    grouped = grouped.join(span, "date")
+    # One row per date (bounded by the calendar): broadcast, so the pages of a
+    # hot date are never gathered into one join partition.
+    grouped = grouped.join(F.broadcast(span), "date")
     page_no = (F.col("_block") - F.col("_b0") + 1).cast("int")
     total = (F.col("_b1") - F.col("_b0") + 1).cast("int")
     body = F.array_join(F.transform(F.col("_rows"), lambda s: s["h"]), "")

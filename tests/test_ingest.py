@@ -165,3 +165,28 @@ def test_page_stream_is_idempotent_per_batch(spark):
     # A second availableNow run with the same checkpoint finds nothing new.
     start_page_stream(spark, landing, table, quarantine, ckpt).awaitTermination()
     assert first == read_streamed_trades(spark, table).count() == 23
+
+
+def test_snapshot_fixture_invariants(spark):
+    """SURVEY 5.5: the snapshot profile as data-quality checks, on F5 from sf0.001."""
+    from runlens.sources import fixtures as fx
+    from runlens.sources.snapshot import write_snapshot_lines
+    from .conftest import SF001
+    part = fx.table(spark, SF001, "part")
+    path = scratch_path(spark, "test-snapshot")
+    write_snapshot_lines(fx.snapshot_json_lines(part), path)
+    snap = read_snapshot(spark, path)
+    n_parts = part.count()
+    prof = snap.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("symbol").alias("symbols"),
+        F.sum((F.col("previousDayClosePrice") == 0).cast("int")).alias("zero_prev"),
+        F.sum((F.col("marketCapitalization") == 0).cast("int")).alias("zero_cap"),
+        F.sum(((F.col("fiftyTwoWeekHigh") >= F.col("highPrice")) & (F.col("fiftyTwoWeekLow") <= F.col("lowPrice")))
+              .cast("int")).alias("bracketed"),
+        F.sum(F.col("lastUpdatedTime").isNull().cast("int")).alias("bad_ts"),
+        F.countDistinct("businessDate").alias("dates")).first()
+    assert prof.symbols == n_parts and prof.n > n_parts                # one symbol repeated per size-50 part
+    assert prof.zero_prev == part.filter(F.col("p_size") == 1).count()   # the zero guard of E-3 has work
+    assert prof.zero_cap == part.filter(F.col("p_size") == 2).count()    # integer 0 parses as a decimal
+    assert prof.bracketed == prof.n and prof.bad_ts == 0 and prof.dates == 1
