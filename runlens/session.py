@@ -58,13 +58,18 @@ def apply_session_conf(spark: SparkSession) -> None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="runlens-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
