@@ -10,12 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rate_1dp, rate_int
-from ..schema import broker_col
 from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT
-from .top_runs import report_order, sorted_small, top_runs
-
-_SIDE_FIELDS = ("date", "stock_symbol", "cuml", "cumq", "trnxs", "pc_change", "rate", "grp")
-
+from .top_runs import report_order, sorted_small, top_runs_sides
 
 def with_rate_int(df: DataFrame) -> DataFrame:
     """C-1: ``int(amount / quantity)``; zero quantity gives NULL."""
@@ -27,68 +23,62 @@ def with_rate_1dp(df: DataFrame) -> DataFrame:
     return df.withColumn("rate", rate_1dp("cuml", "cumq"))
 
 
-def _side_columns(df: DataFrame, side: str, prefix: str) -> DataFrame:
-    b = broker_col(side)
-    names = {"date": f"{prefix}_date", "stock_symbol": f"{prefix}_symbol", "cuml": f"{prefix}_amount",
-             "cumq": f"{prefix}_quantity", "trnxs": f"{prefix}_trnxs", "pc_change": f"{prefix}_pc_change",
-             "rate": f"{prefix}_rate", "grp": f"{prefix}_grp"}
-    return df.select("pos", *[F.col(c).alias(names[c]) for c in _SIDE_FIELDS], F.col(b), *(
-        [F.col("stock_symbol").alias("_sym")] if "stock_symbol" in df.columns else []))
+_FIELDS = {"date": "date", "symbol": "stock_symbol", "amount": "cuml", "quantity": "cumq", "trnxs": "trnxs",
+           "pc_change": "pc_change", "rate": "rate", "grp": "grp"}
+
+
+def _beside(top: DataFrame, keys: list[str]) -> DataFrame:
+    """Buy row beside sell row per ``keys`` (symbol and/or position) by one
+    conditional aggregation: at most one row per side and key, so no split of
+    the pipeline and no join are needed."""
+    def pick(side, col):
+        return F.max(F.when(F.col("side") == side, F.col(col)))
+    aggs = []
+    for side, broker in (("buy", "buyer"), ("sell", "seller")):
+        aggs += [pick(side, c).alias(f"{side}_{name}") for name, c in _FIELDS.items()]
+        aggs.append(pick(side, "broker").alias(broker))
+        aggs.append(F.max(F.when(F.col("side") == side, F.lit(True))).alias(f"_has_{side}"))
+    return top.groupBy(*keys).agg(*aggs)
 
 
 def compare_symbol(trades: DataFrame, prices: DataFrame, start: str | None, end: str | None,
                    symbol: str, n: int, bucket_width: int = DEFAULT_BUCKET_WIDTH,
-                   fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                   fanout=DEFAULT_FANOUT) -> DataFrame:
     """C-4: the i-th buying run beside the i-th selling run of one symbol.
 
     The reference walks the buy list only, so extra selling runs are dropped
-    and a missing selling run is an error there; here it is NULL (left join).
+    and a missing selling run is an error there; here it is NULL.
     """
-    sides = []
-    for side, prefix in (("buy", "buy"), ("sell", "sell")):
-        t = top_runs(trades, prices, side, start, end, n, symbol=symbol,
-                     bucket_width=bucket_width, fanout=fanout, sort=False)
-        t = with_rate_int(t)
-        # At most n rows: one small task.
-        t = t.withColumn("pos", F.row_number().over(Window.orderBy(*report_order(side, False))))
-        sides.append(_side_columns(t, side, prefix).drop("_sym"))
-    buys, sells = sides
-    return sorted_small(buys.join(sells, "pos", "left"), [F.col("pos")])
+    top = top_runs_sides(trades, prices, start, end, {"buy": n, "sell": n}, symbol=symbol,
+                         bucket_width=bucket_width, fanout=fanout)
+    top = with_rate_int(top)
+    # At most n rows per side.
+    w = Window.partitionBy("side").orderBy(*report_order("buy", False, broker="broker"))
+    top = top.select("*", F.row_number().over(w).alias("pos"))
+    out = _beside(top, ["pos"]).filter(F.col("_has_buy")).drop("_has_buy", "_has_sell")
+    return sorted_small(out, [F.col("pos")])
 
 
 def compare_all(trades: DataFrame, prices: DataFrame, start: str | None, end: str | None,
-                n: int, bucket_width: int = DEFAULT_BUCKET_WIDTH, fanout: int = DEFAULT_FANOUT) -> DataFrame:
+                n: int, bucket_width: int = DEFAULT_BUCKET_WIDTH, fanout=DEFAULT_FANOUT) -> DataFrame:
     """C-9: per symbol, buying runs (top ``n``) beside selling runs (top
     ``n + 1``, as in the reference) in report order, the shorter side padded
-    with NULLs (full outer join on symbol and position)."""
-    sides = []
-    for side, prefix, k in (("buy", "buy", n), ("sell", "sell", n + 1)):
-        t = top_runs(trades, prices, side, start, end, k, bucket_width=bucket_width,
-                     fanout=fanout, sort=False)
-        t = with_rate_1dp(t)
-        w = Window.partitionBy("stock_symbol").orderBy(*report_order(side, False))
-        t = t.withColumn("pos", F.row_number().over(w))
-        sides.append(_side_columns(t, side, prefix))
-    buys, sells = sides
-    buys = buys.withColumnRenamed("_sym", "_b_sym").withColumnRenamed("pos", "_b_pos")
-    sells = sells.withColumnRenamed("_sym", "_s_sym").withColumnRenamed("pos", "_s_pos")
-    cond = F.col("_b_sym").eqNullSafe(F.col("_s_sym")) & (F.col("_b_pos") == F.col("_s_pos"))
-    joined = buys.join(sells, cond, "full")
-    out = joined.select(
-        F.coalesce("_b_sym", "_s_sym").alias("stock_symbol"),
-        F.coalesce("_b_pos", "_s_pos").alias("pos"),
-        *[c for c in buys.columns if not c.startswith("_b_")],
-        *[c for c in sells.columns if not c.startswith("_s_")])
+    with NULLs.  Both sides run through one pipeline (``top_runs_sides``)."""
+    top = top_runs_sides(trades, prices, start, end, {"buy": n, "sell": n + 1},
+                         bucket_width=bucket_width, fanout=fanout)
+    top = with_rate_1dp(top)
+    # At most 2n + 1 rows.
+    w = Window.partitionBy("side", "stock_symbol").orderBy(*report_order("buy", False, broker="broker"))
+    top = top.select("*", F.row_number().over(w).alias("pos"))
+    out = _beside(top, ["stock_symbol", "pos"]).drop("_has_buy", "_has_sell")
     return sorted_small(out, [F.col("stock_symbol").asc_nulls_last(), F.col("pos")])
 
 
-def runs_per_symbol(top_buy: DataFrame, top_sell: DataFrame) -> DataFrame:
-    """C-5: listed runs per symbol and side."""
-    b = top_buy.groupBy("stock_symbol").agg(F.count(F.lit(1)).alias("runs")).withColumn("side", F.lit("buy"))
-    s = top_sell.groupBy("stock_symbol").agg(F.count(F.lit(1)).alias("runs")).withColumn("side", F.lit("sell"))
-    return b.unionByName(s).select("side", "stock_symbol", "runs")
+def runs_per_symbol(top_sides: DataFrame) -> DataFrame:
+    """C-5: listed runs per symbol and side, from ``top_runs_sides``."""
+    return top_sides.groupBy("side", "stock_symbol").agg(F.count(F.lit(1)).alias("runs"))
 
 
-def symbols_either_side(top_buy: DataFrame, top_sell: DataFrame) -> DataFrame:
-    """C-6: distinct symbols listed on either side."""
-    return top_buy.select("stock_symbol").union(top_sell.select("stock_symbol")).distinct()
+def symbols_either_side(top_sides: DataFrame) -> DataFrame:
+    """C-6: distinct symbols listed on either side, from ``top_runs_sides``."""
+    return top_sides.select("stock_symbol").distinct()

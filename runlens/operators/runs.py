@@ -81,15 +81,17 @@ def _key_cols(prefix: Sequence[str]) -> tuple[list[Column], list[str]]:
     return exprs, names
 
 
-def _segmented(trades: DataFrame, side: str, start: str | None, end: str | None,
-               break_on: Sequence[str], bucket_width: int):
+def _segmented(trades: DataFrame, b: str, start: str | None, end: str | None,
+               break_on: Sequence[str], bucket_width: int, group: Sequence[str] = ()):
     """Steps 1-2: trades in range with segment keys, local flag ``_r0`` and
-    local run number ``_g0``.  Returns (frame, key columns, segment columns)."""
+    local run number ``_g0`` for broker column ``b``.  ``group`` columns (never
+    NULL) split the input into independent sequences, e.g. the ``side`` of
+    stacked trades.  Returns (frame, key columns, segment columns)."""
     if bucket_width < 1:
         raise ValueError("bucket_width must be positive")
-    b = broker_col(side)
     prefix = order_prefix(break_on)
-    key_exprs, keys = _key_cols(prefix)
+    key_exprs, pkeys = _key_cols(prefix)
+    keys = [*group, *pkeys]
     # Non-nullable key: no inferred IS NOT NULL filters, so every consumer of
     # this frame plans the same shuffle and Spark reuses it.
     bucket = F.coalesce(_bucket("id", bucket_width), F.lit(0).cast("long")).alias(_B1)
@@ -109,7 +111,8 @@ def _fanouts(fanout) -> tuple[int, ...]:
     return tuple(int(k) for k in ks)
 
 
-def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout) -> DataFrame:
+def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout,
+                     group: Sequence[str] = ()) -> DataFrame:
     """Steps 3-4 on a block summary ``(keys..., _seg, _nb, _first, _last)``:
     per block the run-number offset ``_soff`` and ``_smerge`` = 1 when its
     first local run continues the previous block's last run.
@@ -117,11 +120,11 @@ def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fa
     With fanouts ``(K1, K2, ...)`` blocks are grouped ``K1`` at a time into
     parent blocks, whose summaries have the same shape and are solved the same
     way; only the last level is scanned in a single task, over
-    ``#symbols * id range / (W * K1 * K2 * ...)`` rows.
+    ``#symbols * id range / (W * K1 * K2 * ...)`` rows (per ``group`` value).
     """
     ks = _fanouts(fanout)
     if not ks:
-        wt = Window.orderBy(*keys, _B1)
+        wt = (Window.partitionBy(*group) if group else Window).orderBy(*keys, _B1)
         same = F.lag("_last").over(wt) == F.col("_first")
         for c in breaks:
             for k in (f"_n_{c}", f"_v_{c}"):
@@ -141,7 +144,7 @@ def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fa
         F.sum("_net").alias("_nb"),
         F.min_by("_first", _B1).alias("_first"),
         F.max_by("_last", _B1).alias("_last")).withColumnRenamed(_B2, _B1)
-    up = _segment_offsets(parent, keys, breaks, ks[1:]).select(
+    up = _segment_offsets(parent, keys, breaks, ks[1:], group).select(
         *keys, F.col(_B1).alias(_B2), F.col("_soff").alias("_poff"), F.col("_smerge").alias("_pmerge"))
     return s.join(up, [*keys, _B2]).select(
         *keys, _B1,
@@ -159,7 +162,7 @@ def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: st
     narrow shuffle; the wide trades shuffle once and join the per-segment
     offsets on the key they are already partitioned and sorted by."""
     b = broker_col(side)
-    df, keys, seg = _segmented(trades, side, start, end, break_on, bucket_width)
+    df, keys, seg = _segmented(trades, b, start, end, break_on, bucket_width)
     summ = df.groupBy(*seg).agg(
         F.max("_g0").alias("_nb"),
         F.min_by(b, "id").alias("_first"),
@@ -180,8 +183,12 @@ def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str
     The trades shuffle to segments; everything after works on one row per local
     run.  The segment summary is derived from those rows; Spark plans that branch
     with only (id, broker, keys), i.e. as a second, narrow pass over the trades."""
-    b = broker_col(side)
-    df, keys, seg = _segmented(trades, side, start, end, break_on, bucket_width)
+    return _pieces(trades, broker_col(side), (), start, end, break_on, bucket_width, fanout)
+
+
+def _pieces(trades: DataFrame, b: str, group: Sequence[str], start, end, break_on, bucket_width,
+            fanout) -> DataFrame:
+    df, keys, seg = _segmented(trades, b, start, end, break_on, bucket_width, group)
     # Grouping keys contain the segment key: no shuffle.
     local = df.groupBy(*seg, "_g0", "date", "stock_symbol", b).agg(
         F.sum("amount").alias("_a"),
@@ -191,9 +198,10 @@ def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str
         F.max("_g0").alias("_nb"),
         F.min_by(b, "_g0").alias("_first"),
         F.max_by(b, "_g0").alias("_last"))
-    segs = _segment_offsets(summ, keys, list(break_on), fanout)
+    segs = _segment_offsets(summ, keys, list(break_on), fanout, group)
     return local.join(segs, seg).select(
-        (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"), "date", "stock_symbol", b, "_a", "_q", "_c")
+        *group, (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"), "date", "stock_symbol", b,
+        "_a", "_q", "_c")
 
 
 def with_run_ids_naive(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
@@ -230,12 +238,15 @@ def totals_from_pieces(pieces: DataFrame, side: str) -> DataFrame:
     that runs map-side, so even a run holding a third of all trades reaches the
     reducer as one row per map task -- and only those rows are windowed per run
     (one row per date and symbol the run touches)."""
-    b = broker_col(side)
-    per_day = pieces.groupBy("grp", "date", "stock_symbol", b).agg(
+    return _totals(pieces, broker_col(side), ())
+
+
+def _totals(pieces: DataFrame, b: str, group: Sequence[str]) -> DataFrame:
+    per_day = pieces.groupBy(*group, "grp", "date", "stock_symbol", b).agg(
         F.sum("_a").alias("_a"), F.sum("_q").alias("_q"), F.sum("_c").alias("_c"))
-    w = Window.partitionBy("grp")
+    w = Window.partitionBy(*group, "grp")
     return per_day.select(
-        "grp", "date", "stock_symbol", b,
+        *group, "grp", "date", "stock_symbol", b,
         F.sum("_a").over(w).alias("cuml"),
         F.sum("_q").over(w).alias("cumq"),
         F.sum("_c").over(w).alias("trnxs"))
@@ -249,6 +260,27 @@ def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str
     return totals_from_pieces(run_pieces(trades, side, start, end, break_on, bucket_width, fanout), side)
 
 
+def stack_sides(trades: DataFrame, sides: Sequence[str] = ("buy", "sell")) -> DataFrame:
+    """One row per (trade, side) with ``side`` and ``broker`` instead of the
+    buyer/seller columns, so both sides run through one pipeline (one scan
+    and one shuffle of the trades) partitioned by ``side``."""
+    pairs = F.array(*[F.struct(F.lit(s).alias("side"), F.col(broker_col(s)).alias("broker")) for s in sides])
+    rest = [c for c in trades.columns if c not in ("buyer", "seller")]
+    return trades.select(*rest, F.explode(pairs).alias("_s")).select(*rest, "_s.side", "_s.broker")
+
+
+def run_summary_sides(trades: DataFrame, sides: Sequence[str] = ("buy", "sell"), start: str | None = None,
+                      end: str | None = None, break_on: Sequence[str] = (),
+                      bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                      fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
+    """``run_summary`` for several sides at once: columns ``side, grp, date,
+    stock_symbol, broker, cuml, cumq, trnxs``; run numbers per side equal the
+    one-side results."""
+    stacked = stack_sides(trades, sides)
+    pieces = _pieces(stacked, "broker", ["side"], start, end, break_on, bucket_width, fanout)
+    return _totals(pieces, "broker", ["side"])
+
+
 def run_detail(numbered: DataFrame, grp) -> DataFrame:
     """Every trade of one run (R-16, R-17).  ``grp`` is a number or a one-column
     DataFrame of run numbers (semi join, nothing collected; the planner

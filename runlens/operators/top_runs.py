@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import broker_col
-from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_summary
+from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_summary, run_summary_sides
 
 
-def report_order(side: str, all_symbols: bool) -> list:
+def report_order(side: str, all_symbols: bool, broker: str | None = None) -> list:
     """R-10 / R-11 order, NULL placement as the reference's database
     (DESC = NULLS FIRST, ASC = NULLS LAST); ``grp`` makes it total."""
-    b = broker_col(side)
+    b = broker or broker_col(side)
     order = [F.col("date").asc_nulls_last(), F.col(b).desc_nulls_first(),
              F.col("cuml").desc_nulls_first(), F.col("grp").asc()]
     if all_symbols:
@@ -63,3 +64,38 @@ def sorted_small(df: DataFrame, order: list) -> DataFrame:
     """Total order for a result bounded by ``n`` rows: one partition sorted in
     place (a range-partitioned ``orderBy`` would first run a sampling job)."""
     return df.repartition(1).sortWithinPartitions(*order)
+
+
+def top_runs_sides(trades: DataFrame, prices: DataFrame, start: str | None, end: str | None,
+                   limits: Mapping[str, int], symbol: str | None = None, break_on: Sequence[str] = (),
+                   bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                   fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
+    """``top_runs`` for several sides in one pipeline: ``limits`` maps a side
+    to its ``n`` (e.g. ``{"buy": 800, "sell": 801}``).  Columns: side, grp,
+    date, stock_symbol, broker, cuml, cumq, trnxs, pc_change.
+
+    The per-side top-n is a ``row_number`` filter with a literal bound, which
+    Spark plans as a ``WindowGroupLimit``: every map task keeps at most ``n``
+    rows per side before the shuffle, so no task sees more than
+    ``n * partitions`` rows of a side."""
+    if not limits or min(limits.values()) < 0:
+        raise ValueError("limits must map sides to n >= 0")
+    totals = run_summary_sides(trades, tuple(limits), start, end, break_on=break_on,
+                               bucket_width=bucket_width, fanout=fanout)
+    if symbol is not None:
+        totals = totals.filter(F.col("stock_symbol") == F.lit(symbol))
+    w = Window.partitionBy("side").orderBy(F.col("cuml").desc_nulls_last(), "grp", "date", "stock_symbol")
+    ranked = totals.select("*", F.row_number().over(w).alias("_rank"))
+    ranked = ranked.filter(F.col("_rank") <= F.lit(int(max(limits.values()))))
+    keep = reduce(lambda a, b: a | b, [(F.col("side") == F.lit(s)) & (F.col("_rank") <= F.lit(int(n)))
+                                       for s, n in limits.items()])
+    top = ranked.filter(keep)
+    price = prices.select("date", "stock_symbol", "pc_change")
+    # At most sum(limits) rows: a proven bound for the broadcast.
+    joined = F.broadcast(top).join(price, ["date", "stock_symbol"], "inner")
+    return joined.select(
+        "side", "grp", "date", "stock_symbol", "broker",
+        F.col("cuml").cast("double").alias("cuml"),
+        F.col("cumq").cast("long").alias("cumq"),
+        F.col("trnxs").cast("long").alias("trnxs"),
+        F.col("pc_change").cast("double").alias("pc_change"))

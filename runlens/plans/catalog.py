@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators import compare as cmp
 from ..operators import runs
-from ..operators.top_runs import top_runs
+from ..operators.top_runs import top_runs, top_runs_sides
 from ..schema import broker_col
 from ..sources import fixtures as fx
 from . import oracle as O
@@ -253,9 +253,8 @@ def q_run_rate_1dp(spark, sf):
 
 
 def _both_tops(spark, sf, n_buy, n_sell):
-    tr, pr = f1_trades(spark, sf, ranged=True), f1_prices(spark, sf)
-    return (top_runs(tr, pr, "buy", START, END, n_buy, sort=False),
-            top_runs(tr, pr, "sell", START, END, n_sell, sort=False))
+    return top_runs_sides(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END,
+                          {"buy": n_buy, "sell": n_sell})
 
 
 @register("runs_per_symbol", O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, None)) + """
@@ -263,13 +262,13 @@ SELECT 'buy' AS side, stock_symbol, count(*) AS runs FROM buy_ct GROUP BY stock_
 UNION ALL
 SELECT 'sell' AS side, stock_symbol, count(*) AS runs FROM sell_ct GROUP BY stock_symbol""")
 def q_runs_per_symbol(spark, sf):
-    return cmp.runs_per_symbol(*_both_tops(spark, sf, N_ALL, N_ALL + 1))
+    return cmp.runs_per_symbol(_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
 @register("symbols_either_side", O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, None)) + """
 SELECT stock_symbol FROM buy_ct UNION SELECT stock_symbol FROM sell_ct""")
 def q_symbols_either_side(spark, sf):
-    return cmp.symbols_either_side(*_both_tops(spark, sf, N_ALL, N_ALL + 1))
+    return cmp.symbols_either_side(_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
 COMPARE_ALL_SQL = O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)")) + f"""

@@ -99,3 +99,27 @@ def test_side_names(spark):
     pr = _prices(spark, [(D, "A", 0.0)])
     cols = top_runs(tr, pr, "sell", None, None, 1).columns
     assert cols == ["grp", "date", "stock_symbol", "seller", "cuml", "cumq", "trnxs", "pc_change"]
+
+
+def test_top_runs_sides_equals_per_side(spark):
+    import random
+    from runlens.operators.top_runs import top_runs_sides
+    rnd = random.Random(7)
+    rows = [(rnd.choice("AB"), rnd.choice("123"), rnd.choice("45"), rnd.randint(1, 9)) for _ in range(80)]
+    tr = _trades(spark, rows)
+    pr = _prices(spark, [(D, "A", 1.0), (D, "B", 2.0)])
+    both = top_runs_sides(tr, pr, None, None, {"buy": 7, "sell": 9}).collect()
+    for side, n, b in (("buy", 7, "buyer"), ("sell", 9, "seller")):
+        one = sorted((r.grp, r.stock_symbol, r[b], r.cuml, r.trnxs) for r in top_runs(tr, pr, side, None, None, n).collect())
+        got = sorted((r.grp, r.stock_symbol, r.broker, r.cuml, r.trnxs) for r in both if r.side == side)
+        assert got == one
+
+
+def test_compare_all_plan_bounds_the_per_side_top_n(spark):
+    tr = _trades(spark, [("A", "1", "5", 10), ("A", "2", "5", 20)])
+    pr = _prices(spark, [(D, "A", 0.0)])
+    df = cmp.compare_all(tr, pr, None, None, 10)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # partial top-n per side before the shuffle, never a full sort of all runs per side
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -26,7 +26,8 @@ def census(name, df, full):
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
     print(f"{name}: shuffles={plan.count('ShuffleQueryStage')} "
           f"broadcasts={plan.count('BroadcastExchange')} windows={plan.count('Window [')} "
-          f"single_partition={plan.count('SinglePartition')} reused={plan.count('ReusedExchange')}")
+          f"single_partition={plan.count('SinglePartition')} reused={plan.count('ReusedExchange')} "
+          f"group_limits={plan.count('WindowGroupLimit')}")
     for s in scans:
         pf = re.search(r"PartitionFilters: \[([^\]]*)\]", s)
         pu = re.search(r"PushedFilters: \[([^\]]*)\]", s)
