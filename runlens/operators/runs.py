@@ -95,13 +95,18 @@ def _segmented(trades: DataFrame, b: str, start: str | None, end: str | None,
     # Non-nullable key: no inferred IS NOT NULL filters, so every consumer of
     # this frame plans the same shuffle and Spark reuses it.
     bucket = F.coalesce(_bucket("id", bucket_width), F.lit(0).cast("long")).alias(_B1)
-    df = trades_in_range(trades, start, end).select(*trades.columns, *key_exprs, bucket)
+    # The prefix columns travel only as their keys (flag + value) and are
+    # rebuilt after the shuffle, so no string is shuffled twice.
+    rest = [c for c in trades.columns if c not in prefix]
+    df = trades_in_range(trades, start, end).select(*rest, *key_exprs, bucket)
     seg = [*keys, _B1]
     w0 = Window.partitionBy(*seg).orderBy("id")
     r0 = F.when(F.lag(b).over(w0) == F.col(b), F.lit(None).cast("int")).otherwise(F.lit(1))
     df = df.select("*", r0.alias("_r0"))
     df = df.select("*", F.sum("_r0").over(w0.rowsBetween(*_ROWS_TO_HERE)).alias("_g0"))
-    return df, keys, seg
+    restored = [F.when(F.col(f"_n_{c}"), F.lit(None).cast("string")).otherwise(F.col(f"_v_{c}")).alias(c)
+                for c in prefix]
+    return df.select("*", *restored), keys, seg
 
 
 def _fanouts(fanout) -> tuple[int, ...]:
@@ -181,8 +186,8 @@ def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str
     with partial sums ``_a``, ``_q``, ``_c`` and the global ``grp``.
 
     The trades shuffle to segments; everything after works on one row per local
-    run.  The segment summary is derived from those rows; Spark plans that branch
-    with only (id, broker, keys), i.e. as a second, narrow pass over the trades."""
+    run.  The segment summary needs only (id, broker, keys); Spark plans it as a
+    second, narrow pass over the trades."""
     return _pieces(trades, broker_col(side), (), start, end, break_on, bucket_width, fanout)
 
 
@@ -194,10 +199,11 @@ def _pieces(trades: DataFrame, b: str, group: Sequence[str], start, end, break_o
         F.sum("amount").alias("_a"),
         F.sum("quantity").cast("long").alias("_q"),
         F.count(F.lit(1)).alias("_c"))
-    summ = local.groupBy(*seg).agg(
+    # The summary reads only (id, broker, keys): Spark plans it as a narrow pass.
+    summ = df.groupBy(*seg).agg(
         F.max("_g0").alias("_nb"),
-        F.min_by(b, "_g0").alias("_first"),
-        F.max_by(b, "_g0").alias("_last"))
+        F.min_by(b, "id").alias("_first"),
+        F.max_by(b, "id").alias("_last"))
     segs = _segment_offsets(summ, keys, list(break_on), fanout, group)
     return local.join(segs, seg).select(
         *group, (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"), "date", "stock_symbol", b,
