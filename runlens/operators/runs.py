@@ -240,22 +240,23 @@ def run_totals(numbered: DataFrame, side: str) -> DataFrame:
 def totals_from_pieces(pieces: DataFrame, side: str) -> DataFrame:
     """Whole-run totals on every (run, date, symbol) row.
 
-    Pieces are first summed per (run, date, symbol) -- a partial aggregation
-    that runs map-side, so even a run holding a third of all trades reaches the
-    reducer as one row per map task -- and only those rows are windowed per run
-    (one row per date and symbol the run touches)."""
+    One aggregation per run: sums plus the set of (date, symbol, broker) the
+    run touches, partially aggregated map-side, so even a run holding a third
+    of all trades reaches its reducer as one row per map task, and the pieces
+    are shuffled once.  The set is bounded by the days and symbols one run
+    spans; ``explode`` turns it back into rows."""
     return _totals(pieces, broker_col(side), ())
 
 
 def _totals(pieces: DataFrame, b: str, group: Sequence[str]) -> DataFrame:
-    per_day = pieces.groupBy(*group, "grp", "date", "stock_symbol", b).agg(
-        F.sum("_a").alias("_a"), F.sum("_q").alias("_q"), F.sum("_c").alias("_c"))
-    w = Window.partitionBy(*group, "grp")
-    return per_day.select(
-        *group, "grp", "date", "stock_symbol", b,
-        F.sum("_a").over(w).alias("cuml"),
-        F.sum("_q").over(w).alias("cumq"),
-        F.sum("_c").over(w).alias("trnxs"))
+    per_run = pieces.groupBy(*group, "grp").agg(
+        F.sum("_a").alias("cuml"),
+        F.sum("_q").alias("cumq"),
+        F.sum("_c").alias("trnxs"),
+        F.collect_set(F.struct("date", "stock_symbol", b)).alias("_where"))
+    rows = per_run.select(*group, "grp", F.explode("_where").alias("_w"), "cuml", "cumq", "trnxs")
+    return rows.select(*group, "grp", F.col("_w.date").alias("date"), F.col("_w.stock_symbol").alias("stock_symbol"),
+                       F.col(f"_w.{b}").alias(b), "cuml", "cumq", "trnxs")
 
 
 def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
