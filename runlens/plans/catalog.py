@@ -25,6 +25,7 @@ START, END = fx.F1_RANGE
 SYMBOL = fx.F1_SYMBOL
 N_ONE = 100   # one symbol (reference sample)
 N_ALL = 800   # all symbols (reference sample)
+DAY = "2024-01-10"   # one-day range, as the reference's sample calls (start = end)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -80,11 +81,13 @@ def _memo(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> Da
     return df
 
 
-def f1_trades(spark: SparkSession, sf: str, ranged: bool = False) -> DataFrame:
+def f1_trades(spark: SparkSession, sf: str, ranged: bool = False, start: str = START, end: str = END) -> DataFrame:
+    """F1 trades; ``ranged`` adds the ``ts`` predicate equivalent to the date
+    range so the filter reaches the Parquet scan."""
     def build():
         ev = fx.table(spark, sf, "events")
-        return fx.trades_from_events(ev, START, END) if ranged else fx.trades_from_events(ev)
-    return _memo(spark, ("f1", sf, ranged), build)
+        return fx.trades_from_events(ev, start, end) if ranged else fx.trades_from_events(ev)
+    return _memo(spark, ("f1", sf, ranged, start if ranged else None, end if ranged else None), build)
 
 
 def f1_prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,10 +203,11 @@ for _side in ("buy", "sell"):
 # C: side-by-side reports
 # --------------------------------------------------------------------------
 
-def _side_sql(side: str, n: int, symbol: str | None, rate: str | None, partition: bool) -> list[str]:
+def _side_sql(side: str, n: int, symbol: str | None, rate: str | None, partition: bool,
+              start: str = START, end: str = END) -> list[str]:
     """CTEs ``<side>_ct`` (top runs) and, with ``rate``, ``<side>_pos`` (+ rate, position)."""
     b, p = broker_col(side), f"{side}_"
-    out = [O.runs_sql(side, START, END, p=p), O.totals_sql(side, p=p),
+    out = [O.runs_sql(side, start, end, p=p), O.totals_sql(side, p=p),
            O.top_sql(side, n, symbol, name=f"{p}ct", p=p)]
     if rate is not None:
         part = "PARTITION BY stock_symbol " if partition else ""
@@ -227,8 +231,9 @@ def _compare_symbol_sql(n: int, symbol: str) -> str:
             + f"SELECT b.pos, {_PAIR_COLS}\nFROM buy_pos b LEFT JOIN sell_pos s ON b.pos = s.pos")
 
 
-def _two_sides_sql(n_buy: int, n_sell: int, rate: str | None) -> list[str]:
-    return [*_side_sql("buy", n_buy, None, rate, True), *_side_sql("sell", n_sell, None, rate, True)]
+def _two_sides_sql(n_buy: int, n_sell: int, rate: str | None, start: str = START, end: str = END) -> list[str]:
+    return [*_side_sql("buy", n_buy, None, rate, True, start, end),
+            *_side_sql("sell", n_sell, None, rate, True, start, end)]
 
 
 @register("compare_symbol", _compare_symbol_sql(N_ONE, SYMBOL))
@@ -271,12 +276,31 @@ def q_symbols_either_side(spark, sf):
     return cmp.symbols_either_side(_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
-COMPARE_ALL_SQL = O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)")) + f"""
+def _compare_all_sql(start: str, end: str) -> str:
+    return O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)", start, end)) + f"""
 SELECT coalesce(b.stock_symbol, s.stock_symbol) AS stock_symbol, coalesce(b.pos, s.pos) AS pos,
        {_PAIR_COLS}
 FROM buy_pos b FULL OUTER JOIN sell_pos s ON b.stock_symbol = s.stock_symbol AND b.pos = s.pos"""
 
 
+COMPARE_ALL_SQL = _compare_all_sql(START, END)
+
+
 @register("compare_all", COMPARE_ALL_SQL)
 def q_compare_all(spark, sf):
     return cmp.compare_all(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END, N_ALL)
+
+
+# One trading day (start = end), the shape of the reference's own sample calls:
+# runs cannot cross dates, only symbols.
+
+@register("top_runs_all_buy_one_day",
+          O.with_ctes(F1, P1, O.runs_sql("buy", DAY, DAY), O.totals_sql("buy"), O.top_sql("buy", N_ALL, None))
+          + "SELECT * FROM ct")
+def q_top_runs_all_buy_one_day(spark, sf):
+    return top_runs(f1_trades(spark, sf, True, DAY, DAY), f1_prices(spark, sf), "buy", DAY, DAY, N_ALL)
+
+
+@register("compare_all_one_day", _compare_all_sql(DAY, DAY))
+def q_compare_all_one_day(spark, sf):
+    return cmp.compare_all(f1_trades(spark, sf, True, DAY, DAY), f1_prices(spark, sf), DAY, DAY, N_ALL)
