@@ -20,11 +20,14 @@ segmented prefix scan:
 2. flags and local run numbers are computed per segment (one hash shuffle of
    the trades, sorted by id inside each segment);
 3. one summary row per segment (local run count, first and last broker) is
-   scanned per super-segment of ``K`` consecutive segments, then one row per
-   super-segment is scanned in a single task (``#symbols * id range / (W*K)``
-   rows);
+   scanned per super-segment of ``K`` consecutive segments (more levels with
+   ``fanout=(K1, K2, ...)``), then one row per top-level block is scanned in a
+   single task (``#symbols * id range / (W * K1 * ...)`` rows);
 4. the segment offsets are joined back on the segment key, which the trades
-   are already partitioned and sorted by, so the trades shuffle only once.
+   (or their per-run pieces) are already partitioned and sorted by.
+
+The summary needs only (id, broker, keys), so Spark plans it as a second,
+narrow pass over the trades; the wide pass is shuffled once.
 """
 
 from __future__ import annotations
