@@ -52,3 +52,35 @@ def test_cli_pages_to_report(spark):
     left = store.read_table(spark, d["trades"], "trades")
     assert left.filter(F.col("date") == "2024-01-03").count() == 0
     assert left.count() == trades.filter(F.col("date") != "2024-01-03").count()
+
+
+def test_cli_symbol_report_drill_and_backfill(spark, tmp_path):
+    import json
+    import os
+    trades = catalog.f1_trades(spark, SF001)
+    prices = catalog.f1_prices(spark, SF001)
+    d = {k: scratch_path(spark, f"cli2-{k}") for k in ("trades", "prices", "rep", "drill", "companies")}
+    store.load_days(trades, d["trades"], "trades")
+    store.load_days(prices, d["prices"], "prices")
+    s, e = catalog.START, catalog.END
+    assert main(["report-symbol", "--trades", d["trades"], "--prices", d["prices"], "--start", s, "--end", e,
+                 "--symbol", "purchase", "--n", "5", "--out", d["rep"]], spark) == 0
+    rep = spark.read.option("header", True).csv(d["rep"])
+    assert 0 < rep.count() <= 5 and {r.buy_symbol for r in rep.collect()} == {"purchase"}
+    grp = str(rep.orderBy(F.col("buy_amount").cast("double").desc()).first().buy_grp)
+    assert main(["drill", "--trades", d["trades"], "--side", "buy", "--start", s, "--end", e,
+                 "--grp", grp, "--out", d["drill"]], spark) == 0
+    detail = spark.read.option("header", True).csv(d["drill"])
+    assert detail.count() >= 1 and {r.grp for r in detail.collect()} == {grp}
+    store.refresh(fx.companies_from_trades(trades), d["companies"], "companies")
+    snap = os.path.join(tmp_path, "snap.json")
+    with open(snap, "w") as fh:
+        json.dump([{"id": 1, "symbol": "error", "securityName": "ERROR LTD"},
+                   {"id": 2, "symbol": "view", "securityName": "VIEW LTD"}], fh)
+    sectors = os.path.join(tmp_path, "sectors.csv")
+    with open(sectors, "w") as fh:
+        fh.write("stock_symbol,sector\nerror,Others\n")
+    assert main(["backfill", "--companies", d["companies"], "--snapshot", snap, "--multiline",
+                 "--sectors", sectors, "--table", d["companies"]], spark) == 0
+    got = {r.stock_symbol: r.sector for r in store.read_table(spark, d["companies"], "companies").collect()}
+    assert got["error"] == "Others" and len(got) == 9   # 8 listings + the back-filled one
