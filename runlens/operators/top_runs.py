@@ -77,9 +77,22 @@ def top_runs_sides(trades: DataFrame, prices: DataFrame, start: str | None, end:
     The per-side top-n is a ``row_number`` filter with a literal bound, which
     Spark plans as a ``WindowGroupLimit``: every map task keeps at most ``n``
     rows per side before the shuffle, so no task sees more than
-    ``n * partitions`` rows of a side."""
+    ``n * partitions`` rows of a side.  For ``n`` above
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark would not do that,
+    so each side then runs as its own ``top_runs`` (``TakeOrderedAndProject``)."""
     if not limits or min(limits.values()) < 0:
         raise ValueError("limits must map sides to n >= 0")
+    spark = trades.sparkSession
+    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if max(limits.values()) > threshold:
+        # Beyond the threshold Spark would not insert the partial group limit, and
+        # a side's runs would meet in one task: use one bounded top-n per side.
+        parts = [top_runs(trades, prices, side, start, end, n, symbol=symbol, break_on=break_on,
+                          bucket_width=bucket_width, fanout=fanout, sort=False)
+                 .select(F.lit(side).alias("side"), "grp", "date", "stock_symbol",
+                         F.col(broker_col(side)).alias("broker"), "cuml", "cumq", "trnxs", "pc_change")
+                 for side, n in limits.items()]
+        return reduce(lambda a, b: a.unionByName(b), parts)
     totals = run_summary_sides(trades, tuple(limits), start, end, break_on=break_on,
                                bucket_width=bucket_width, fanout=fanout)
     if symbol is not None:

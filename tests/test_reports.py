@@ -124,3 +124,20 @@ def test_compare_all_plan_bounds_the_per_side_top_n(spark):
     # top-n per side before the shuffle: never a full sort of all runs of a side.
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 11, Partial" in plan and "row_number(), 11, Final" in plan
+
+
+def test_top_runs_sides_above_group_limit_threshold(spark):
+    from runlens.operators.top_runs import top_runs_sides
+    tr = _trades(spark, [("A", str(i % 3), str(i % 2), i + 1) for i in range(12)])
+    pr = _prices(spark, [(D, "A", 0.5)])
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "3")
+        df = top_runs_sides(tr, pr, None, None, {"buy": 4, "sell": 5})
+        assert "WindowGroupLimit" not in df._jdf.queryExecution().executedPlan().toString()
+        slow = sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.conf.set(key, old)
+    fast = sorted(tuple(r) for r in top_runs_sides(tr, pr, None, None, {"buy": 4, "sell": 5}).collect())
+    assert slow == fast and len(fast) == 9
