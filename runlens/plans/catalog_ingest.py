@@ -175,3 +175,16 @@ def q_write_report(spark, sf):
     path = scratch_path(spark, "reports")
     store.write_report(report, path, f"{START}_{END}")
     return store.read_report(spark, path, report.schema)
+
+
+@register("delete_price_day", O.with_ctes(F1, P1) + f"""
+SELECT date, stock_name, stock_symbol, num_trnx, CAST(closing_price AS DOUBLE) AS closing_price, pc_change
+FROM prices WHERE date <> '{DELETED_DAY}'""")
+def q_delete_price_day(spark, sf):
+    """I-16 on the price table (where the reference deletes a day): load the
+    daily prices partitioned by date, drop one day, read back."""
+    path = scratch_path(spark, "prices-del")
+    store.load_days(f1_prices(spark, sf), path, "prices")
+    store.delete_day(spark, path, DELETED_DAY)
+    out = store.read_table(spark, path, "prices")
+    return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price", "pc_change"))
