@@ -143,3 +143,18 @@ def test_summary_from_pieces_equals_per_trade_totals(spark, seed, n, width, fano
     slow = runs.run_totals(runs.with_run_ids_naive(tr, "buy", break_on=mode), "buy")
     key = lambda t: (t[0], t[1], t[2] or "")
     assert sorted(map(tuple, fast.collect()), key=key) == sorted(map(tuple, slow.collect()), key=key)
+
+
+@settings(max_examples=8, deadline=None)
+@given(seed=st.integers(0, 10_000), n=st.integers(1, 50), width=st.integers(1, 20), fanout=FANOUTS,
+       mode=st.sampled_from([(), ("stock_symbol", "date")]))
+def test_stacked_sides_equal_one_side_at_a_time(spark, seed, n, width, fanout, mode):
+    tr = _random_trades(spark, seed, n).withColumn("amount", (F.col("id") % 5).cast("decimal(18,4)"))
+    both = runs.run_summary_sides(tr, ("buy", "sell"), break_on=mode, bucket_width=width, fanout=fanout).collect()
+    key = lambda t: (t[0], t[1], t[2] or "", t[3] or "")
+    for side, b in (("buy", "buyer"), ("sell", "seller")):
+        one = runs.run_summary(tr, side, break_on=mode, bucket_width=width, fanout=fanout).collect()
+        want = sorted(((r.grp, r.date, r.stock_symbol, r[b], r.cuml, r.cumq, r.trnxs) for r in one), key=key)
+        got = sorted(((r.grp, r.date, r.stock_symbol, r.broker, r.cuml, r.cumq, r.trnxs) for r in both
+                      if r.side == side), key=key)
+        assert got == want
