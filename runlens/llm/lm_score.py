@@ -2,7 +2,7 @@
 
 A byte is eight binary decisions.  At each depth the context of a decision is the
 preceding bytes, seen through byte classes that get coarser with distance
-(``DEPTH_BITS``), so the tree has four levels below the root and at most 2 ** 16
+(``DEPTH_BITS``), so the tree has four levels below the root and at most 2 ** 15
 deepest contexts of 255 decisions each: a proven bound on the model, whatever the
 corpus, while the counts in it come from every training document.
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_list, flat_bytes, id_remainder, materialize, slices, text_blocks
 
-DEPTH_BITS = (6, 5, 3, 2)
+DEPTH_BITS = (6, 5, 3, 1)
 CONTEXTS = 1 << sum(DEPTH_BITS)
 BLOCK_BYTES = 8 << 20
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
@@ -59,7 +59,7 @@ def byte_classes() -> list[np.ndarray]:
                      [low - 97, 26, 27, 28, 29, 30, 31, 33 + (b & 15), 49 + (b & 7)], 32)
     second = np.select([letter, blank, digit, follow, lead, b < 32], [low - 97, 26, 27, 29, 30, 31], 28)
     third = np.select([vowel, common, middle, letter, blank, follow, lead], [0, 1, 2, 3, 4, 6, 7], 5)
-    fourth = np.select([vowel, letter, b >= 0x80], [0, 1, 3], 2)
+    fourth = np.where(letter | (b >= 0x80), 0, 1)
     return [c.astype(np.int32) for c in (near, second, third, fourth)]
 
 
@@ -99,39 +99,62 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return out
 
 
-def weighted_tree(counts: np.ndarray, depth_bits: tuple[int, ...] = DEPTH_BITS) -> np.ndarray:
-    """log10 P(byte | deepest context), float32, for ``counts`` of the same shape
-    (contexts, 256)."""
-    contexts = counts.shape[0]
-    out = np.zeros((contexts, 256), np.float32)
-    levels = [contexts >> sum(depth_bits[d:]) for d in range(len(depth_bits) + 1)]   # root first
+def _nodes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Zeros and ones seen at each decision: node 1 is the first bit, node
+    2 ** k + (the k bits so far) the next; (contexts, 256) each."""
+    zeros, ones = (np.zeros(counts.shape, np.int64) for _ in range(2))
     for bit in range(8):
-        pairs = counts.reshape(contexts, 1 << bit, 2, -1).sum(axis=3)
-        at_depth = [pairs.reshape(n, contexts // n, 1 << bit, 2).sum(axis=1) for n in levels]
-        below = None
-        stop: list[np.ndarray] = []   # weight of a node's own estimate
-        for n, c in zip(reversed(levels), reversed(at_depth)):
-            own = log_kt(c[..., 0], c[..., 1])
-            if below is None:
-                below = own
-                stop.append(np.ones_like(own))
-            else:
-                children = below.reshape(n, -1, 1 << bit).sum(axis=1)
-                below = np.logaddexp(own, children) - math.log(2)
-                stop.append(np.exp(own - np.logaddexp(own, children)))
-        stop.reverse()
-        # from the root down: what is left of the weight goes to the child
-        one = np.zeros_like(stop[-1])
-        left = np.ones_like(stop[0])
-        for d, (n, c, w) in enumerate(zip(levels, at_depth, stop)):
-            if d:
-                left = np.repeat(left, n // levels[d - 1], axis=0)
-            estimate = (c[..., 1] + 0.5) / (c[..., 0] + c[..., 1] + 1)
-            one += np.repeat(left * w * estimate, contexts // n, axis=0)
-            left = left * (1 - w)
-        both = np.stack([np.log10(1 - one), np.log10(one)], axis=2).reshape(contexts, 2 << bit)
-        out += np.repeat(both, 128 >> bit, axis=1).astype(np.float32)
-    return out
+        pairs = counts.reshape(len(counts), 1 << bit, 2, -1).sum(axis=3)
+        zeros[:, 1 << bit:2 << bit], ones[:, 1 << bit:2 << bit] = pairs[..., 0], pairs[..., 1]
+    return zeros, ones
+
+
+def _subtree(counts: np.ndarray, bits: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """For the contexts below one node (bits of the levels under it): the log
+    weighted probability of its decisions, and P(1) at its deepest contexts."""
+    n = len(counts)
+    zeros, ones = _nodes(counts)
+    below = chance = None
+    for level in range(len(bits), -1, -1):
+        m = n >> sum(bits[level:])
+        a, b = (x.reshape(m, n // m, 256).sum(axis=1) for x in (zeros, ones))
+        own, estimate = log_kt(a, b), (b + 0.5) / (a + b + 1)
+        if below is None:
+            below, chance = own, estimate
+            continue
+        children = below.reshape(m, -1, 256).sum(axis=1)
+        both = np.logaddexp(own, children)
+        stop = np.repeat(np.exp(own - both), n // m, axis=0)   # weight of the node's own estimate
+        chance = stop * np.repeat(estimate, n // m, axis=0) + (1 - stop) * chance
+        below = both - math.log(2)
+    return below[0], chance
+
+
+def weighted_tree(counts: np.ndarray, bits: tuple[int, ...] = DEPTH_BITS) -> np.ndarray:
+    """log10 P(byte | deepest context), float32, for ``counts`` of the same shape
+    (contexts, 256); works on one branch of the root at a time."""
+    branches = counts.reshape(1 << bits[0], -1, 256)
+    chance = np.empty(branches.shape, np.float32)
+    children = np.zeros(256)
+    for k, branch in enumerate(branches):
+        log_below, one = _subtree(branch, bits[1:])
+        children += log_below
+        chance[k] = one
+    zeros, ones = _nodes(branches.sum(axis=(0, 1))[None, :])
+    own = log_kt(zeros, ones)[0]
+    stop = np.exp(own - np.logaddexp(own, children))
+    root = stop * ((ones + 0.5) / (zeros + ones + 1))[0]
+    out = np.empty(branches.shape, np.float32)
+    byte = np.arange(256)
+    for k in range(len(branches)):
+        one = root + (1 - stop) * chance[k]
+        total = np.zeros((len(one), 256))
+        for bit in range(8):
+            node = (1 << bit) + (byte >> (8 - bit))
+            p = one[:, node]
+            total += np.log10(np.where((byte >> (7 - bit)) & 1, p, 1 - p))
+        out[k] = total
+    return out.reshape(counts.shape)
 
 
 def _stats(texts: DataFrame) -> DataFrame:
@@ -177,11 +200,20 @@ def _stat_rows(block: list, token: list, gram: list, n: list) -> pa.RecordBatch:
 
 
 def tree_from(grams: DataFrame) -> np.ndarray:
-    """The weighted tree of summed (gram, n) rows: at most 2 ** 24 of them."""
-    got = grams.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(CONTEXTS * 256, np.int64)
-    counts[got.column("gram").to_numpy()] = got.column("n").to_numpy()
-    return weighted_tree(counts.reshape(CONTEXTS, 256))
+    """The weighted tree of (gram, n) rows: summed by Spark to at most CONTEXTS *
+    256 rows, weighted in one task."""
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CONTEXTS * 256, np.int64)
+        for batch in batches:
+            counts[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+        tree = weighted_tree(counts.reshape(CONTEXTS, 256))
+        yield pa.RecordBatch.from_arrays([pa.array([tree.tobytes()], pa.binary())], ["tree"])
+
+    rows = (grams.groupBy("gram").agg(F.sum("n").alias("n")).repartition(1)
+            .mapInArrow(weigh, "tree binary").collect())
+    if not rows:
+        return weighted_tree(np.zeros((CONTEXTS, 256), np.int64))
+    return np.frombuffer(rows[0]["tree"], np.float32).reshape(CONTEXTS, 256)
 
 
 def text_scores(raw: np.ndarray, offsets: np.ndarray, tree: np.ndarray) -> np.ndarray:
