@@ -9,20 +9,20 @@ sets; the result is the connected components of all links.
    everything after works on one representative of each class.
 3. Banding: ``BANDS`` keys of ``ROWS`` minima.  A linked pair misses every band
    with a probability of at most (1 - 0.85 ** ROWS) ** BANDS = 4.3e-7.
-4. Rounds over the buckets (band, key).  A round takes the ``t`` smallest members
-   of each bucket that have not been taken yet as centres, and compares every
-   member with them, unless both are in one component already (then the pair
-   changes nothing).  ``t`` is 1 at first, so a large group of near copies falls
-   together after one comparison per member, and then grows by ``GROWTH``.  A
-   bucket is done when its members share a component or all have been centres:
-   then every pair in it is linked, compared, or inside one component.
-5. A comparison first checks the number of equal minima against a bound that a
+4. Star: every member of a bucket (band, key) is compared with the smallest
+   member.  A group of near copies falls together after one comparison a member.
+   Comparisons first check the number of equal minima against a bound that a
    linked pair passes but for about 1e-8 (signature verification), then the full
    shingle sets of both texts.
+5. Buckets whose members are not in one component yet: up to ``PAIR_ROWS`` members
+   are compared pair by pair; larger buckets are dealt as pairs of sub-blocks, and
+   in each one matrix product of shingle incidences gives all intersection sizes,
+   of which only a spanning forest of the links leaves the task.  So every pair of
+   a bucket is linked, compared, or inside one component, and no list of pairs
+   grows with the square of a group.
 6. Components by alternating large-star and small-star.
 
-No pairs of a group are listed beyond members x centres, no bucket is gathered
-in a task, and nothing but counts reaches the driver.
+No bucket is gathered in a task and nothing but counts reaches the driver.
 
 Defined results: NULL and empty texts, and texts without words, have 0 shingles
 and are linked with nothing; with fewer than five words the whole sequence is the
@@ -37,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_list, drop_materialized, flat_bytes, materialize, slices
+from .common import byte_list, flat_bytes, materialize, slices
 from .components import connected_components
 
 WORDS = 5
@@ -50,10 +50,10 @@ HASHES = ROWS * BANDS
 #: Equal minima that a comparison needs: 0.85 * 125 = 106 are expected at the
 #: threshold with a deviation of 4; 82 is six deviations below.
 AGREE = 82
-GROWTH = 16
-#: Centres per bucket and round at most: the planner filters ranks up to this
-#: bound before the shuffle.
-MAX_CENTRES = 512
+#: Members up to which the pairs of a bucket are listed.
+PAIR_ROWS = 16
+#: Rows and shingles of a sub-block of a larger bucket.
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -152,7 +152,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(1), 4 << 20):
+            for lo, hi in slices(batch.column(1), 1 << 20):
                 text = batch.column(1).slice(lo, hi - lo)
                 sig = minima(*shingle_hashes(*flat_bytes(text)))
                 words = [words_of(t) for t in byte_list(text)]
@@ -205,56 +205,139 @@ def _confirm(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, ids)
 
 
+def block_links(h: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Boolean (left, right) matrix of links between texts with the shingle
+    hashes ``h[bounds[i]:bounds[i + 1]]``, by products of their incidences."""
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
+    doc, h = doc[new], h[new]
+    size = np.bincount(doc, minlength=len(bounds) - 1)
+    _, column, times = np.unique(h, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    doc, column = doc[keep], number[column[keep]]
+    by = np.argsort(column, kind="stable")
+    doc, column = doc[by], column[by]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(shared.sum()), 2048):
+        at = slice(*np.searchsorted(column, [lo, lo + 2048]))
+        x = np.zeros((len(bounds) - 1, 2048), np.float32)
+        x[doc[at], column[at] - lo] = 1
+        both += x[left] @ x[right].T
+    both = both.astype(np.int64)
+    union = size[left][:, None] + size[right][None, :] - both
+    return 100 * both >= PERCENT * union
+
+
+def forest(linked: np.ndarray, ids: list) -> list[tuple]:
+    """Star edges (id, smallest id of its component) of a symmetric link matrix."""
+    order = np.array(sorted(range(len(ids)), key=lambda i: ids[i]))
+    linked = linked[np.ix_(order, order)]
+    label = np.arange(len(ids))
+    while True:
+        best = np.where(linked, label[None, :], len(ids)).min(axis=1, initial=len(ids))
+        new = np.minimum(label, best)
+        new = new[new]
+        if (new == label).all():
+            return [(ids[order[i]], ids[order[r]]) for i, r in enumerate(label) if r != i]
+        label = new
+
+
+def _blocked(rows: DataFrame) -> DataFrame:
+    """Spanning links (a, b) of the block pairs in ``rows``: (band, key, lo, hi,
+    side, rep, text), sorted within partitions by the first four."""
+    id_type = rows.schema["rep"].dataType.simpleString()
+    arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+
+    def links_of(held: list) -> list[tuple]:
+        sides = np.array([r[0] for r in held])
+        ids = [r[1] for r in held]
+        texts = [r[2] for r in held]
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        h, bounds = shingle_hashes(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+        left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+        linked = np.zeros((len(ids), len(ids)), bool)
+        if len(right) == 0:
+            linked = block_links(h, bounds, left, left)
+        elif len(left):
+            part = block_links(h, bounds, left, right)
+            linked[np.ix_(left, right)] = part
+            linked[np.ix_(right, left)] = part.T
+        return forest(linked, ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = [], None
+
+        def rows_of(found):
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], arrow_id) for i in (0, 1)], ["a", "b"])
+        for batch in batches:
+            found = []
+            for *key, side, rep, text in zip(*[c.to_pylist() for c in batch.columns[:6]], byte_list(batch.column(6))):
+                if key != current:
+                    found.extend(links_of(held) if len(held) > 1 else ())
+                    held, current = [], key
+                held.append((side, rep, text))
+            yield rows_of(found)
+        yield rows_of(links_of(held) if len(held) > 1 else [])
+
+    return rows.select("band", "key", "lo", "hi", "side", "rep", "text").mapInArrow(run, f"a {id_type}, b {id_type}")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept."""
     sketches = materialize(sketch(docs, id_col, text_col), "sketches")
     some = sketches.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
-    classes = materialize(some.groupBy("seq").agg(F.min(id_col).alias("rep"), F.first("sig").alias("sig")), "classes")
-    keys = classes.select("rep", F.posexplode(F.transform(
+    classes = materialize(some.groupBy("seq").agg(
+        F.min(id_col).alias("rep"), F.first("n_shingles").alias("shingles"), F.first("sig").alias("sig")), "classes")
+    keys = classes.select("rep", "shingles", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))).alias("band", "key"))
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
-    members = materialize(keys.join(shared, ["band", "key"]), "buckets")
+    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("centre")).filter("n > 1")
+    members = materialize(keys.join(shared, ["band", "key"]).filter("rep != centre").drop("n"), "buckets")
 
-    reps = members.select(F.col("rep").alias("__rep")).distinct()
+    reps = members.select(F.col("rep").alias("__rep")).union(members.select("centre")).distinct()
     texts = materialize(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
                         .join(reps, F.col("__id") == F.col("__rep"), "left_semi")
                         .dropDuplicates(["__id"]), "candidate-texts")
-    sigs = classes.select("rep", "sig")
 
-    tested = links = comps = None
-    t = 1
-    while True:
-        bucket = Window.partitionBy("band", "key").orderBy("rep")
-        of = members if comps is None else (
-            members.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left"))
-        of = of.withColumn("comp", F.coalesce("component", "rep") if comps is not None else F.col("rep"))
-        # members that were centres have met all others; buckets of one component are done
-        open_buckets = (of.groupBy("band", "key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-                        .filter("c0 < c1").select("band", "key"))
-        of = of.select("band", "key", "rep", "comp").join(open_buckets, ["band", "key"])
-        centres = (of.withColumn("rn", F.row_number().over(bucket)).filter(F.col("rn") <= t)
-                   .select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("comp_b")))
-        pairs = (of.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("comp_a"))
-                 .join(centres, ["band", "key"]).filter("a > b AND comp_a != comp_b").select("a", "b").distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        left = centres.select("band", "key", F.col("b").alias("rep"))
-        signed = (pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a")
-                  .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b"))
-        with_text = (_agree(signed).join(texts.select(F.col("__id").alias("a"), F.col("__text").alias("text_a")), "a")
-                     .join(texts.select(F.col("__id").alias("b"), F.col("__text").alias("text_b")), "b"))
-        found = materialize(_confirm(with_text), "links")
-        links = found if links is None else links.union(found)
-        comps = connected_components(links)
-        after = materialize(of.select("band", "key", "rep").join(left, ["band", "key", "rep"], "left_anti"), "buckets")
-        drop_materialized(members)
-        members = after
-        tested = pairs if tested is None else tested.union(pairs)
-        if members.isEmpty():
-            break
-        t = min(t * GROWTH, MAX_CENTRES)
+    def side(table: DataFrame, key: str, value: str, name: str) -> DataFrame:
+        return table.select(F.col(key).alias(name), F.col(value).alias(f"{value.strip('_')}_{name}"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links; neighbouring rows share b."""
+        signed = pairs.join(side(classes, "rep", "sig", "a"), "a").join(side(classes, "rep", "sig", "b"), "b")
+        return _confirm(_agree(signed).join(side(texts, "__id", "__text", "a"), "a")
+                        .join(side(texts, "__id", "__text", "b"), "b"))
+
+    stars = materialize(members.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
+    links = materialize(compared(stars), "links")
+    comps = connected_components(links)
+
+    # centres have met all others; what is left of the buckets not in one component
+    of = (members.drop("centre").join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
+          .withColumn("comp", F.coalesce("component", "rep")).drop("component"))
+    size = (of.groupBy("band", "key").agg(
+        F.count("*").alias("n"), F.sum("shingles").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+        .filter("c0 < c1").select("band", "key", "n", F.ceil(F.greatest(
+            F.col("n") / BLOCK_ROWS, F.col("m") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    of = materialize(of.join(size, ["band", "key"]), "open-buckets")
+    small = of.filter(F.col("n") <= PAIR_ROWS)
+    pairs = (small.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
+             .join(small.select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("cb")), ["band", "key"])
+             .filter("a > b AND ca != cb").select("a", "b").distinct()
+             .join(stars, ["a", "b"], "left_anti"))
+    large = (of.filter(F.col("n") > PAIR_ROWS).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+             .withColumn("side", (F.col("own") > F.col("lo")).cast("int"))
+             .join(texts.select(F.col("__id").alias("rep"), F.col("__text").alias("text")), "rep")
+             .repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi"))
+    links = materialize(links.union(compared(pairs)).union(_blocked(large)), "links")
+    comps = connected_components(links)
 
     return (sketches.join(classes.select("seq", "rep"), "seq", "left")
             .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
