@@ -26,7 +26,7 @@ from ..session import scratch_path
 
 #: Bytes of one Arrow batch handed to Python: bounds a worker's memory whatever
 #: the length of the texts.
-ARROW_BATCH_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def configure(spark: SparkSession) -> None:
