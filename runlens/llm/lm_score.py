@@ -40,7 +40,7 @@ from .common import byte_list, flat_bytes, id_remainder, materialize, slices, te
 
 DEPTH_BITS = (6, 5, 3, 1)
 CONTEXTS = 1 << sum(DEPTH_BITS)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 END = b""   # the end token; no word is empty
 
