@@ -53,13 +53,14 @@ def _parser() -> argparse.ArgumentParser:
     t = sub.add_parser("load-trades")
     t.add_argument("--pages", required=True)
     t.add_argument("--table", required=True)
-    t.add_argument("--quarantine", default=None)
     pp = sub.add_parser("load-prices")
     for a in ("--pages", "--companies", "--table"):
         pp.add_argument(a, required=True)
     c = sub.add_parser("load-companies")
     c.add_argument("--pages", required=True)
     c.add_argument("--table", required=True)
+    for s in (t, pp, c):
+        s.add_argument("--quarantine", default=None, help="folder of the parsed rows (default: TABLE.quarantine)")
     b = sub.add_parser("backfill")
     b.add_argument("--companies", required=True)
     b.add_argument("--snapshot", required=True)
@@ -72,6 +73,17 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _split(args, parsed):
+    """Parses once into the quarantine folder (``bad=true`` and ``bad=false``
+    parts), reports the counts and returns the good rows."""
+    path = args.quarantine or args.table.rstrip("/") + ".quarantine"
+    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bad").parquet(path)
+    stored = parsed.sparkSession.read.schema(parsed.schema).parquet(path).select(*parsed.columns)
+    good, bad = ingest.split_bad(stored)
+    print(f"{args.cmd}: {good.count()} rows good, {bad.count()} quarantined in {path}")
+    return good
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     own = spark is None
@@ -89,16 +101,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         numbered = runs.with_run_ids(read(args.trades, "trades"), args.side, args.start, args.end)
         store.write_report(runs.run_detail(numbered, args.grp), args.out, f"{args.start}_{args.end}_{args.grp}")
     elif args.cmd == "load-trades":
-        good, bad = ingest.split_bad(ingest.parse_trade_pages(pages(args.pages)))
-        store.load_days(ingest.with_trade_ids(good), args.table, "trades")
-        if args.quarantine:
-            bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-               .partitionBy("date").parquet(args.quarantine)
+        good = _split(args, ingest.parse_trade_pages(ingest.one_landing(pages(args.pages))))
+        store.append_days(ingest.with_trade_ids(good), args.table, "trades")
     elif args.cmd == "load-prices":
-        good, _ = ingest.split_bad(ingest.parse_price_pages(pages(args.pages)))
-        store.load_days(ingest.prices_table(good, read(args.companies, "companies")), args.table, "prices")
+        good = _split(args, ingest.parse_price_pages(ingest.one_landing(pages(args.pages))))
+        store.append_days(ingest.prices_table(good, read(args.companies, "companies")), args.table, "prices")
     elif args.cmd == "load-companies":
-        good, _ = ingest.split_bad(ingest.parse_company_pages(pages(args.pages)))
+        good = _split(args, ingest.parse_company_pages(ingest.one_landing(pages(args.pages))))
         store.refresh(good.withColumnRenamed("no", "id"), args.table, "companies")
     elif args.cmd == "backfill":
         companies = read(args.companies, "companies")

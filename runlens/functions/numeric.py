@@ -36,7 +36,7 @@ def pc_change_expr(difference, previous) -> Column:
 
 def rate_int(amount, quantity) -> Column:
     """Average rate truncated toward zero, ``int(amount / quantity)``."""
-    return F.try_divide(_c(amount).cast("double"), _c(quantity).cast("double")).cast("int")
+    return F.try_divide(_c(amount).cast("double"), _c(quantity).cast("double")).cast("bigint")
 
 
 def rate_1dp(amount, quantity) -> Column:

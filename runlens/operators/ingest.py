@@ -9,7 +9,7 @@ rows load and the bad ones are kept for inspection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pc_change_expr
@@ -26,8 +26,24 @@ def _num(i: int, to: str) -> Column:
     return F.trim(_cell(i)).try_cast(to)
 
 
+# Layout of a trade id: day, 10^6 pages, 10^5 rows a page.
+PAGES_PER_DAY, ROWS_PER_PAGE = 1_000_000, 100_000
+
+
+def _undated() -> Column:
+    return ~F.coalesce(F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False))
+
+
+def one_landing(pages: DataFrame) -> DataFrame:
+    """One page per (date, page_no) of those that landed more than once; pages
+    without a date or number all stay, for the quarantine."""
+    w = Window.partitionBy("date", "page_no").orderBy(F.desc_nulls_last("url"), F.desc_nulls_last("html"))
+    keep = (F.col("_landing") == 1) | F.col("date").isNull() | F.col("page_no").isNull()
+    return pages.withColumn("_landing", F.row_number().over(w)).filter(keep).drop("_landing")
+
+
 def _bad(checks: list[Column]) -> Column:
-    bad = F.lit(False)
+    bad = _undated()
     for c in checks:
         bad = bad | c.isNull()
     return bad
@@ -51,11 +67,16 @@ def parse_trade_pages(pages: DataFrame, date_from_page: bool = False) -> DataFra
         _num(5, "int").alias("quantity"), _num(6, MONEY).alias("rate"), _num(7, MONEY).alias("amount"),
         F.array_join(F.col("cells"), "|").alias("raw"))
     checks = [F.col(c) for c in ("stock_symbol", "buyer", "seller", "quantity", "rate", "amount")]
-    return typed.withColumn("bad", _bad(checks))
+    outside = ~F.coalesce(F.col("page_no").between(0, PAGES_PER_DAY - 1) & (F.col("pos") < ROWS_PER_PAGE),
+                          F.lit(False))
+    return typed.withColumn("bad", _bad(checks) | outside)
 
 
-def parse_price_pages(pages: DataFrame) -> DataFrame:
-    """I-6 + I-8: cells 0 no. (int), 1 name, 2 trades (int), 3..9 prices."""
+def parse_price_pages(pages: DataFrame, date_from_page: bool = False) -> DataFrame:
+    """I-6 + I-8: cells 0 no. (int), 1 name, 2 trades (int), 3..9 prices.
+    ``date`` as in ``parse_trade_pages`` (I-4)."""
+    if date_from_page:
+        pages = pages.withColumn("date", P.page_date(F.col("html")))
     rows = P.table_rows(pages, P.PRICE_TABLE_CLASS, P.PRICE_ROW_SLICE, keep=["date", "page_no"])
     names = ["max_price", "min_price", "closing_price", "traded_shares", "amount", "previous_price", "difference"]
     typed = rows.select(
@@ -76,7 +97,7 @@ def parse_company_pages(pages: DataFrame) -> DataFrame:
     typed = rows.select(
         "date", "page_no", "pos",
         _num(0, "bigint").alias("no"),
-        F.trim(F.replace(_cell(2), F.lit("\n"), F.lit(""))).alias("stock_name"),
+        F.regexp_replace(F.replace(_cell(2), F.lit("\n"), F.lit("")), r"^\s+|\s+$", "").alias("stock_name"),
         _cell(3).alias("stock_symbol"), _cell(4).alias("sector"),
         F.array_join(F.col("cells"), "|").alias("raw"))
     checks = [F.col(c) for c in ("no", "stock_name", "stock_symbol", "sector")]
@@ -92,10 +113,10 @@ def split_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def trade_id(date: Column, page_no: Column, pos: Column) -> Column:
     """I-12: arrival-order surrogate key without a global sort:
-    ``yyyymmdd * 10^9 + page_no * 10^5 + pos``.  Valid for pages of at most
-    10^5 rows and 10^4 pages a day (the exchange serves 10^4 rows a page)."""
+    ``yyyymmdd * 10^11 + page_no * 10^5 + pos``: 10^6 pages a day of 10^5 rows.
+    ``parse_trade_pages`` quarantines rows outside that layout."""
     day = F.regexp_replace(date, "-", "").try_cast("bigint")
-    return day * F.lit(1_000_000_000) + page_no.cast("bigint") * F.lit(100_000) + pos.cast("bigint")
+    return day * F.lit(PAGES_PER_DAY * ROWS_PER_PAGE) + page_no.cast("bigint") * F.lit(ROWS_PER_PAGE) + pos.cast("bigint")
 
 
 def with_trade_ids(good_trades: DataFrame) -> DataFrame:

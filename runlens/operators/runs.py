@@ -21,8 +21,8 @@ segmented prefix scan:
    the trades, sorted by id inside each segment);
 3. one summary row per segment (local run count, first and last broker) is
    scanned per super-segment of ``K`` consecutive segments (more levels with
-   ``fanout=(K1, K2, ...)``), then one row per top-level block is scanned in a
-   single task (``#symbols * id range / (W * K1 * ...)`` rows);
+   ``fanout=(K1, K2, ...)``), then per symbol and per group of symbols with the
+   same first two characters; one row per such group is scanned in a single task;
 4. the segment offsets are joined back on the segment key, which the trades
    (or their per-run pieces) are already partitioned and sorted by.
 
@@ -40,7 +40,8 @@ from pyspark.sql import functions as F
 from ..schema import broker_col
 
 # Ids per segment: a segment never holds more trades than this.
-DEFAULT_BUCKET_WIDTH = 100_000
+# Ten pages of a loaded table (ids hold 10^5 rows a page).
+DEFAULT_BUCKET_WIDTH = 1_000_000
 # Segments per super-segment (one level; pass a tuple for more levels).
 DEFAULT_FANOUT = 4_096
 
@@ -125,38 +126,50 @@ def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fa
     per block the run-number offset ``_soff`` and ``_smerge`` = 1 when its
     first local run continues the previous block's last run.
 
-    With fanouts ``(K1, K2, ...)`` blocks are grouped ``K1`` at a time into
-    parent blocks, whose summaries have the same shape and are solved the same
-    way; only the last level is scanned in a single task, over
-    ``#symbols * id range / (W * K1 * K2 * ...)`` rows (per ``group`` value).
-    """
-    ks = _fanouts(fanout)
-    if not ks:
-        wt = (Window.partitionBy(*group) if group else Window).orderBy(*keys, _B1)
-        same = F.lag("_last").over(wt) == F.col("_first")
-        for c in breaks:
-            for k in (f"_n_{c}", f"_v_{c}"):
-                same = same & (F.lag(k).over(wt) == F.col(k))
-        m = F.coalesce(same, F.lit(False)).cast("long")
-        top = summ.select(*keys, _B1, "_nb", m.alias("_smerge"))
-        return top.select(*keys, _B1, "_smerge", (F.sum(F.col("_nb") - F.col("_smerge"))
-                                                   .over(wt.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_soff"))
-    # Inside a parent block the order prefix is constant, so only the broker
-    # decides whether a block continues its predecessor's run.
-    s = summ.select("*", F.coalesce(_bucket(_B1, ks[0]), F.lit(0).cast("long")).alias(_B2))
-    w1 = Window.partitionBy(*keys, _B2).orderBy(_B1)
-    m = F.coalesce(F.lag("_last").over(w1) == F.col("_first"), F.lit(False)).cast("long")
-    s = s.select("*", F.lag(_B1).over(w1).isNull().alias("_head"), m.alias("_m"), (F.col("_nb") - m).alias("_net"))
-    s = s.select("*", (F.sum("_net").over(w1.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
-    parent = s.groupBy(*keys, _B2).agg(
-        F.sum("_net").alias("_nb"),
-        F.min_by("_first", _B1).alias("_first"),
-        F.max_by("_last", _B1).alias("_last")).withColumnRenamed(_B2, _B1)
-    up = _segment_offsets(parent, keys, breaks, ks[1:], group).select(
-        *keys, F.col(_B1).alias(_B2), F.col("_soff").alias("_poff"), F.col("_smerge").alias("_pmerge"))
-    return s.join(up, [*keys, _B2]).select(
-        *keys, _B1,
-        (F.col("_off") + F.col("_poff")).alias("_soff"),
+    Blocks are grouped into parent blocks that keep the order, whose summaries
+    have the same shape and are solved the same way: ``K1`` blocks at a time, then
+    ``K2`` of those, ... for fanouts ``(K1, K2, ...)``; then all blocks of a symbol
+    (where a date stands between), then the symbols that share their first two
+    characters.  Only the last scan is one task: a row per two characters."""
+    flags = [f"_{w}_{c}" for c in breaks for w in ("n", "v")]
+    summ = summ.select("*", *[F.col(k).alias(f"{end}{k}") for k in flags for end in ("_a", "_z")])
+    order = [k for k in keys if k not in group]
+    levels, cols = [], [*order, _B1]
+    for i, k in enumerate(_fanouts(fanout)):
+        made = F.coalesce(_bucket(cols[-1], k), F.lit(0).cast("long")).alias(f"{_B2}{i}")
+        levels.append(([made], [*order, f"{_B2}{i}"]))
+        cols = [*order, f"{_B2}{i}"]
+    if len(order) > 2:
+        levels.append(([], order[:2]))
+    levels.append(([F.substring(order[1], 1, 2).alias("_chars")], [order[0], "_chars"]))
+    return _solve(summ, list(group), [*order, _B1], flags, levels)
+
+
+def _solve(s: DataFrame, group: list[str], cols: list[str], flags: list[str], levels: list) -> DataFrame:
+    """Offsets of blocks ``cols`` (in that order, per ``group``).  ``levels``:
+    (columns to make, parent columns), from the smallest parents up."""
+    made, parent_cols = levels[0] if levels else ([], [])
+    s = s.select("*", *made)
+    inside = [*group, *parent_cols]
+    w = (Window.partitionBy(*inside) if inside else Window).orderBy(*cols)
+    same = F.lag("_last").over(w) == F.col("_first")
+    for k in flags:   # a change of a break column between the neighbours
+        same = same & (F.lag(f"_z{k}").over(w) == F.col(f"_a{k}"))
+    s = s.select("*", F.lag(F.lit(True)).over(w).isNull().alias("_head"),
+                 F.coalesce(same, F.lit(False)).cast("long").alias("_m"))
+    s = s.select("*", (F.col("_nb") - F.col("_m")).alias("_net"))
+    s = s.select("*", (F.sum("_net").over(w.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
+    if not levels:
+        return s.select(*group, *cols, F.col("_off").alias("_soff"), F.col("_m").alias("_smerge"))
+    at = F.struct(*cols)
+    parent = s.groupBy(*inside).agg(
+        F.sum("_net").alias("_nb"), F.min_by("_first", at).alias("_first"), F.max_by("_last", at).alias("_last"),
+        *[F.min_by(f"_a{k}", at).alias(f"_a{k}") for k in flags],
+        *[F.max_by(f"_z{k}", at).alias(f"_z{k}") for k in flags])
+    up = _solve(parent, group, parent_cols, flags, levels[1:]).select(
+        *inside, F.col("_soff").alias("_poff"), F.col("_smerge").alias("_pmerge"))
+    return s.join(up, inside).select(
+        *group, *cols, (F.col("_off") + F.col("_poff")).alias("_soff"),
         F.when(F.col("_head"), F.col("_pmerge")).otherwise(F.col("_m")).alias("_smerge"))
 
 
@@ -241,25 +254,18 @@ def run_totals(numbered: DataFrame, side: str) -> DataFrame:
 
 
 def totals_from_pieces(pieces: DataFrame, side: str) -> DataFrame:
-    """Whole-run totals on every (run, date, symbol) row.
-
-    One aggregation per run: sums plus the set of (date, symbol, broker) the
-    run touches, partially aggregated map-side, so even a run holding a third
-    of all trades reaches its reducer as one row per map task, and the pieces
-    are shuffled once.  The set is bounded by the days and symbols one run
-    spans; ``explode`` turns it back into rows."""
+    """Whole-run totals on every (run, date, symbol) row: the pieces are shuffled
+    once by run, grouped to those rows, and summed over the run by a window."""
     return _totals(pieces, broker_col(side), ())
 
 
 def _totals(pieces: DataFrame, b: str, group: Sequence[str]) -> DataFrame:
-    per_run = pieces.groupBy(*group, "grp").agg(
-        F.sum("_a").alias("cuml"),
-        F.sum("_q").alias("cumq"),
-        F.sum("_c").alias("trnxs"),
-        F.collect_set(F.struct("date", "stock_symbol", b)).alias("_where"))
-    rows = per_run.select(*group, "grp", F.explode("_where").alias("_w"), "cuml", "cumq", "trnxs")
-    return rows.select(*group, "grp", F.col("_w.date").alias("date"), F.col("_w.stock_symbol").alias("stock_symbol"),
-                       F.col(f"_w.{b}").alias(b), "cuml", "cumq", "trnxs")
+    run = [*group, "grp"]
+    rows = pieces.repartition(*run).groupBy(*run, "date", "stock_symbol", b).agg(
+        *[F.sum(c).alias(c) for c in ("_a", "_q", "_c")])
+    w = Window.partitionBy(*run)
+    return rows.select(*run, "date", "stock_symbol", b, F.sum("_a").over(w).alias("cuml"),
+                       F.sum("_q").over(w).alias("cumq"), F.sum("_c").over(w).alias("trnxs"))
 
 
 def run_summary(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,

@@ -12,6 +12,10 @@ from ..schema import broker_col
 from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_summary, run_summary_sides
 
 
+#: Hash parts of the first step of a per-side top-n.
+TOP_PARTS = 64
+
+
 def report_order(side: str, all_symbols: bool, broker: str | None = None) -> list:
     """R-10 / R-11 order, NULL placement as the reference's database
     (DESC = NULLS FIRST, ASC = NULLS LAST); ``grp`` makes it total."""
@@ -46,9 +50,8 @@ def top_runs(trades: DataFrame, prices: DataFrame, side: str, start: str | None,
     # Top-n: TakeOrderedAndProject keeps n rows per partition, merges n*P rows.
     top = totals.orderBy(F.col("cuml").desc_nulls_last(), "grp", "date", "stock_symbol").limit(int(n))
     price = prices.select("date", "stock_symbol", "pc_change")
-    # The top-n side is bounded by n rows: a proven size for a broadcast.  The
-    # price table streams through without a shuffle.
-    joined = F.broadcast(top).join(price, ["date", "stock_symbol"], "inner")
+    # The planner knows the limit, so it broadcasts a small top-n by itself.
+    joined = top.join(price, ["date", "stock_symbol"], "inner")
     out = joined.select(
         "grp", "date", "stock_symbol", b,
         F.col("cuml").cast("double").alias("cuml"),
@@ -74,38 +77,27 @@ def top_runs_sides(trades: DataFrame, prices: DataFrame, start: str | None, end:
     to its ``n`` (e.g. ``{"buy": 800, "sell": 801}``).  Columns: side, grp,
     date, stock_symbol, broker, cuml, cumq, trnxs, pc_change.
 
-    The per-side top-n is a ``row_number`` filter with a literal bound, which
-    Spark plans as a ``WindowGroupLimit``: every map task keeps at most ``n``
-    rows per side before the shuffle, so no task sees more than
-    ``n * partitions`` rows of a side.  For ``n`` above
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark would not do that,
-    so each side then runs as its own ``top_runs`` (``TakeOrderedAndProject``)."""
+    The per-side top-n has two steps, one plan for every ``n``: the ``n`` best
+    of each of ``TOP_PARTS`` hash parts of the runs, then the ``n`` best of those,
+    so no task sees more than ``n * TOP_PARTS`` rows of a side."""
     if not limits or min(limits.values()) < 0:
         raise ValueError("limits must map sides to n >= 0")
-    spark = trades.sparkSession
-    threshold = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if max(limits.values()) > threshold:
-        # Beyond the threshold Spark would not insert the partial group limit, and
-        # a side's runs would meet in one task: use one bounded top-n per side.
-        parts = [top_runs(trades, prices, side, start, end, n, symbol=symbol, break_on=break_on,
-                          bucket_width=bucket_width, fanout=fanout, sort=False)
-                 .select(F.lit(side).alias("side"), "grp", "date", "stock_symbol",
-                         F.col(broker_col(side)).alias("broker"), "cuml", "cumq", "trnxs", "pc_change")
-                 for side, n in limits.items()]
-        return reduce(lambda a, b: a.unionByName(b), parts)
     totals = run_summary_sides(trades, tuple(limits), start, end, break_on=break_on,
                                bucket_width=bucket_width, fanout=fanout)
     if symbol is not None:
         totals = totals.filter(F.col("stock_symbol") == F.lit(symbol))
-    w = Window.partitionBy("side").orderBy(F.col("cuml").desc_nulls_last(), "grp", "date", "stock_symbol")
-    ranked = totals.select("*", F.row_number().over(w).alias("_rank"))
-    ranked = ranked.filter(F.col("_rank") <= F.lit(int(max(limits.values()))))
+    order = [F.col("cuml").desc_nulls_last(), "grp", "date", "stock_symbol"]
+    most = F.lit(int(max(limits.values())))
+    part = F.pmod(F.xxhash64("grp"), F.lit(TOP_PARTS))
+    ranked = totals.withColumn("_part", part)
+    for by in (["side", "_part"], ["side"]):
+        ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+        ranked = ranked.filter(F.col("_rank") <= most)
     keep = reduce(lambda a, b: a | b, [(F.col("side") == F.lit(s)) & (F.col("_rank") <= F.lit(int(n)))
                                        for s, n in limits.items()])
     top = ranked.filter(keep)
     price = prices.select("date", "stock_symbol", "pc_change")
-    # At most sum(limits) rows: a proven bound for the broadcast.
-    joined = F.broadcast(top).join(price, ["date", "stock_symbol"], "inner")
+    joined = top.join(price, ["date", "stock_symbol"], "inner")
     return joined.select(
         "side", "grp", "date", "stock_symbol", "broker",
         F.col("cuml").cast("double").alias("cuml"),

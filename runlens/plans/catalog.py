@@ -68,45 +68,32 @@ def as_output(df: DataFrame) -> DataFrame:
 # Inputs
 # --------------------------------------------------------------------------
 
-_INPUTS: dict[tuple, DataFrame] = {}
+def f1_trades(spark: SparkSession, sf: str) -> DataFrame:
+    """F1 trades, all dates: the range is the operators' own work."""
+    return fx.trades_from_events(fx.table(spark, sf, "events"))
 
 
-def _memo(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """Lazy input DataFrames are immutable: build each once per session, so
-    queries sharing an input skip re-planning it."""
-    k = (id(spark), *key)
-    df = _INPUTS.get(k)
-    if df is None or df.sparkSession is not spark:
-        df = _INPUTS[k] = build()
-    return df
-
-
-def f1_trades(spark: SparkSession, sf: str, ranged: bool = False, start: str = START, end: str = END) -> DataFrame:
-    """F1 trades; ``ranged`` adds the ``ts`` predicate equivalent to the date
-    range so the filter reaches the Parquet scan."""
-    def build():
-        ev = fx.table(spark, sf, "events")
-        return fx.trades_from_events(ev, start, end) if ranged else fx.trades_from_events(ev)
-    return _memo(spark, ("f1", sf, ranged, start if ranged else None, end if ranged else None), build)
+def f1_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 with the rows that show the price join losing runs left out."""
+    return fx.prices_from_trades(f1_trades(spark, sf))
 
 
-def f1_prices(spark: SparkSession, sf: str) -> DataFrame:
-    return _memo(spark, ("f1p", sf), lambda: fx.prices_from_trades(f1_trades(spark, sf)))
+def f1_prices_all(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.prices_from_trades(f1_trades(spark, sf), drop_symbol=None, drop_dates=None)
 
 
 def f3_trades(spark: SparkSession, sf: str) -> DataFrame:
-    return _memo(spark, ("f3", sf), lambda: fx.trades_from_orders(fx.table(spark, sf, "orders"),
-                                                                   fx.table(spark, sf, "customer")))
+    return fx.trades_from_orders(fx.table(spark, sf, "orders"), fx.table(spark, sf, "customer"))
 
 
 def f3_prices(spark: SparkSession, sf: str) -> DataFrame:
-    return _memo(spark, ("f3p", sf),
-                 lambda: fx.prices_from_trades(f3_trades(spark, sf), drop_symbol=None, drop_dates=None))
+    return fx.prices_from_trades(f3_trades(spark, sf), drop_symbol=None, drop_dates=None)
 
 
 F1 = f"trades AS ({O.TRADES_F1})"
 F3 = f"trades AS ({O.TRADES_F3})"
 P1 = O.prices_sql()
+P1_ALL = O.prices_sql(drop=False)
 P3 = O.prices_sql(drop=False)
 TRADE_COLS = "id, date, stock_symbol, buyer, seller, quantity, CAST(rate AS DOUBLE) AS rate, CAST(amount AS DOUBLE) AS amount"
 
@@ -117,7 +104,7 @@ TRADE_COLS = "id, date, stock_symbol, buyer, seller, quantity, CAST(rate AS DOUB
 
 @register("trades_in_range", O.with_ctes(F1) + f"SELECT {TRADE_COLS} FROM trades WHERE date >= '{START}' AND date <= '{END}'")
 def q_trades_in_range(spark, sf):
-    return as_output(runs.trades_in_range(f1_trades(spark, sf, ranged=True), START, END))
+    return as_output(runs.trades_in_range(f1_trades(spark, sf), START, END))
 
 
 def _register_side(side: str) -> None:
@@ -128,13 +115,13 @@ def _register_side(side: str) -> None:
         return n.select("id", "date", "stock_symbol", b, "r")
 
     register(f"run_flags_{side}",
-             O.with_ctes(F1, O.runs_sql(side, None, None)) + f"SELECT id, date, stock_symbol, {b}, r FROM groups")(run_flags)
+             O.with_ctes(F1, O.runs_sql(side, None, None)) + f"SELECT id, date, stock_symbol, {b}, r FROM numbered")(run_flags)
 
     def run_ids(spark, sf):
         return as_output(runs.with_run_ids(f1_trades(spark, sf), side))
 
     register(f"run_ids_{side}",
-             O.with_ctes(F1, O.runs_sql(side, None, None)) + f"SELECT {TRADE_COLS}, r, grp FROM groups")(run_ids)
+             O.with_ctes(F1, O.runs_sql(side, None, None)) + f"SELECT {TRADE_COLS}, r, grp FROM numbered")(run_ids)
 
     def totals(spark, sf):
         return as_output(runs.run_totals(runs.with_run_ids(f1_trades(spark, sf), side), side))
@@ -142,42 +129,42 @@ def _register_side(side: str) -> None:
     register(f"run_totals_{side}",
              O.with_ctes(F1, O.runs_sql(side, None, None), O.totals_sql(side))
              + f"SELECT grp, date, stock_symbol, {b}, CAST(cuml AS DOUBLE) AS cuml, CAST(cumq AS BIGINT) AS cumq, "
-               "CAST(trnxs AS BIGINT) AS trnxs FROM top_list")(totals)
+               "CAST(trnxs AS BIGINT) AS trnxs FROM run_rows")(totals)
 
     def top_symbol(spark, sf):
-        return top_runs(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), side, START, END, N_ONE, symbol=SYMBOL)
+        return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), side, START, END, N_ONE, symbol=SYMBOL)
 
     register(f"top_runs_symbol_{side}",
              O.with_ctes(F1, P1, O.runs_sql(side, START, END), O.totals_sql(side), O.top_sql(side, N_ONE, SYMBOL))
-             + "SELECT * FROM ct")(top_symbol)
+             + "SELECT * FROM largest")(top_symbol)
 
     def top_all(spark, sf):
-        return top_runs(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), side, START, END, N_ALL)
+        return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), side, START, END, N_ALL)
 
     register(f"top_runs_all_{side}",
              O.with_ctes(F1, P1, O.runs_sql(side, START, END), O.totals_sql(side), O.top_sql(side, N_ALL, None))
-             + "SELECT * FROM ct")(top_all)
+             + "SELECT * FROM largest")(top_all)
 
     def detail(spark, sf):
         # Drill into the largest run of the range (its number found by Spark,
         # never collected): R-16 / R-17.
-        numbered = runs.with_run_ids(f1_trades(spark, sf, ranged=True), side, START, END)
+        numbered = runs.with_run_ids(f1_trades(spark, sf), side, START, END)
         best = (runs.run_totals(numbered, side)
                 .orderBy(F.col("cuml").desc_nulls_last(), "grp").limit(1).select("grp"))
         return as_output(runs.run_detail(numbered, best))
 
     register(f"run_detail_{side}",
              O.with_ctes(F1, O.runs_sql(side, START, END), O.totals_sql(side),
-                         "best AS (SELECT grp FROM top_list ORDER BY cuml DESC NULLS LAST, grp LIMIT 1)")
-             + f"SELECT {TRADE_COLS}, r, grp FROM groups WHERE grp IN (SELECT grp FROM best)")(detail)
+                         "best AS (SELECT grp FROM run_rows ORDER BY cuml DESC NULLS LAST, grp LIMIT 1)")
+             + f"SELECT {TRADE_COLS}, r, grp FROM numbered WHERE grp IN (SELECT grp FROM best)")(detail)
 
     def strict(spark, sf):
-        return top_runs(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), side, START, END, N_ALL,
+        return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), side, START, END, N_ALL,
                         break_on=("stock_symbol", "date"))
 
     register(f"top_runs_strict_{side}",
              O.with_ctes(F1, P1, O.runs_sql(side, START, END, strict=True), O.totals_sql(side),
-                         O.top_sql(side, N_ALL, None)) + "SELECT * FROM ct")(strict)
+                         O.top_sql(side, N_ALL, None)) + "SELECT * FROM largest")(strict)
 
     # Same operators on F3 (orders): id order is not date order, 25 symbols,
     # whole table, no range.
@@ -186,36 +173,62 @@ def _register_side(side: str) -> None:
 
     register(f"top_runs_all_{side}_orders",
              O.with_ctes(F3, P3, O.runs_sql(side, None, None), O.totals_sql(side), O.top_sql(side, N_ALL, None))
-             + "SELECT * FROM ct")(f3_top)
+             + "SELECT * FROM largest")(f3_top)
 
     def f3_strict_ids(spark, sf):
         return as_output(runs.with_run_ids(f3_trades(spark, sf), side, break_on=("stock_symbol", "date")))
 
     register(f"run_ids_strict_{side}_orders",
-             O.with_ctes(F3, O.runs_sql(side, None, None, strict=True)) + f"SELECT {TRADE_COLS}, r, grp FROM groups")(f3_strict_ids)
+             O.with_ctes(F3, O.runs_sql(side, None, None, strict=True)) + f"SELECT {TRADE_COLS}, r, grp FROM numbered")(f3_strict_ids)
 
 
 for _side in ("buy", "sell"):
     _register_side(_side)
 
 
+# Segments of 64 ids and two levels of super-segments: every symbol spans many
+# segments, so the offsets between them are part of the result.
+SMALL = {"bucket_width": 64, "fanout": (4, 4)}
+
+
+@register("run_ids_buy_small_segments", O.with_ctes(F1, O.runs_sql("buy", None, None))
+          + f"SELECT {TRADE_COLS}, r, grp FROM numbered")
+def q_run_ids_small(spark, sf):
+    return as_output(runs.with_run_ids(f1_trades(spark, sf), "buy", **SMALL))
+
+
+@register("run_totals_sell_small_segments", O.with_ctes(F1, O.runs_sql("sell", None, None), O.totals_sql("sell"))
+          + "SELECT grp, date, stock_symbol, seller, CAST(cuml AS DOUBLE) AS cuml, CAST(cumq AS BIGINT) AS cumq, "
+            "CAST(trnxs AS BIGINT) AS trnxs FROM run_rows")
+def q_run_totals_small(spark, sf):
+    out = runs.run_summary(f1_trades(spark, sf), "sell", **SMALL)
+    return as_output(out).select("grp", "date", "stock_symbol", "seller", "cuml", "cumq", "trnxs")
+
+
+@register("top_runs_all_buy_small_segments",
+          O.with_ctes(F1, P1, O.runs_sql("buy", START, END), O.totals_sql("buy"), O.top_sql("buy", N_ALL, None))
+          + "SELECT * FROM largest")
+def q_top_runs_small(spark, sf):
+    return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), "buy", START, END, N_ALL, **SMALL)
+
+
 # --------------------------------------------------------------------------
 # C: side-by-side reports
 # --------------------------------------------------------------------------
 
 def _side_sql(side: str, n: int, symbol: str | None, rate: str | None, partition: bool,
               start: str = START, end: str = END) -> list[str]:
-    """CTEs ``<side>_ct`` (top runs) and, with ``rate``, ``<side>_pos`` (+ rate, position)."""
+    """CTEs ``<side>_largest`` (top runs) and, with ``rate``, ``<side>_pos`` (+ rate, position)."""
     b, p = broker_col(side), f"{side}_"
     out = [O.runs_sql(side, start, end, p=p), O.totals_sql(side, p=p),
-           O.top_sql(side, n, symbol, name=f"{p}ct", p=p)]
+           O.top_sql(side, n, symbol, name=f"{p}largest", p=p)]
     if rate is not None:
         part = "PARTITION BY stock_symbol " if partition else ""
         out.append(f"""{p}pos AS (
   SELECT *, {rate} AS rate,
          CAST(row_number() OVER ({part}ORDER BY date NULLS LAST, {b} DESC NULLS FIRST, cuml DESC NULLS FIRST, grp)
               AS INTEGER) AS pos
-  FROM {p}ct)""")
+  FROM {p}largest)""")
     return out
 
 
@@ -226,7 +239,7 @@ _PAIR_COLS = """b.date AS buy_date, b.stock_symbol AS buy_symbol, b.cuml AS buy_
 
 
 def _compare_symbol_sql(n: int, symbol: str) -> str:
-    rate = "CAST(trunc(cuml / cumq) AS INTEGER)"
+    rate = "CAST(trunc(cuml / cumq) AS BIGINT)"
     return (O.with_ctes(F1, P1, *_side_sql("buy", n, symbol, rate, False), *_side_sql("sell", n, symbol, rate, False))
             + f"SELECT b.pos, {_PAIR_COLS}\nFROM buy_pos b LEFT JOIN sell_pos s ON b.pos = s.pos")
 
@@ -238,46 +251,46 @@ def _two_sides_sql(n_buy: int, n_sell: int, rate: str | None, start: str = START
 
 @register("compare_symbol", _compare_symbol_sql(N_ONE, SYMBOL))
 def q_compare_symbol(spark, sf):
-    return cmp.compare_symbol(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END, SYMBOL, N_ONE)
+    return cmp.compare_symbol(f1_trades(spark, sf), f1_prices(spark, sf), START, END, SYMBOL, N_ONE)
 
 
 @register("run_rate_int", O.with_ctes(F1, P1, O.runs_sql("buy", START, END), O.totals_sql("buy"),
                                       O.top_sql("buy", N_ONE, SYMBOL))
-          + "SELECT *, CAST(trunc(cuml / cumq) AS INTEGER) AS rate FROM ct")
+          + "SELECT *, CAST(trunc(cuml / cumq) AS BIGINT) AS rate FROM largest")
 def q_run_rate_int(spark, sf):
-    t = top_runs(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), "buy", START, END, N_ONE, symbol=SYMBOL)
+    t = top_runs(f1_trades(spark, sf), f1_prices(spark, sf), "buy", START, END, N_ONE, symbol=SYMBOL)
     return cmp.with_rate_int(t)
 
 
 @register("run_rate_1dp", O.with_ctes(F1, P1, O.runs_sql("buy", START, END), O.totals_sql("buy"),
                                       O.top_sql("buy", N_ALL, None))
-          + "SELECT *, round_even(cuml / cumq, 1) AS rate FROM ct")
+          + "SELECT *, round_even(cuml / cumq, 1) AS rate FROM largest")
 def q_run_rate_1dp(spark, sf):
-    t = top_runs(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), "buy", START, END, N_ALL)
+    t = top_runs(f1_trades(spark, sf), f1_prices(spark, sf), "buy", START, END, N_ALL)
     return cmp.with_rate_1dp(t)
 
 
 def _both_tops(spark, sf, n_buy, n_sell):
-    return top_runs_sides(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END,
+    return top_runs_sides(f1_trades(spark, sf), f1_prices(spark, sf), START, END,
                           {"buy": n_buy, "sell": n_sell})
 
 
 @register("runs_per_symbol", O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, None)) + """
-SELECT 'buy' AS side, stock_symbol, count(*) AS runs FROM buy_ct GROUP BY stock_symbol
+SELECT 'buy' AS side, stock_symbol, count(*) AS runs FROM buy_largest GROUP BY stock_symbol
 UNION ALL
-SELECT 'sell' AS side, stock_symbol, count(*) AS runs FROM sell_ct GROUP BY stock_symbol""")
+SELECT 'sell' AS side, stock_symbol, count(*) AS runs FROM sell_largest GROUP BY stock_symbol""")
 def q_runs_per_symbol(spark, sf):
     return cmp.runs_per_symbol(_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
 @register("symbols_either_side", O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, None)) + """
-SELECT stock_symbol FROM buy_ct UNION SELECT stock_symbol FROM sell_ct""")
+SELECT stock_symbol FROM buy_largest UNION SELECT stock_symbol FROM sell_largest""")
 def q_symbols_either_side(spark, sf):
     return cmp.symbols_either_side(_both_tops(spark, sf, N_ALL, N_ALL + 1))
 
 
-def _compare_all_sql(start: str, end: str) -> str:
-    return O.with_ctes(F1, P1, *_two_sides_sql(N_ALL, N_ALL + 1, "round_even(cuml / cumq, 1)", start, end)) + f"""
+def _compare_all_sql(start: str, end: str, n: int = N_ALL) -> str:
+    return O.with_ctes(F1, P1, *_two_sides_sql(n, n + 1, "round_even(cuml / cumq, 1)", start, end)) + f"""
 SELECT coalesce(b.stock_symbol, s.stock_symbol) AS stock_symbol, coalesce(b.pos, s.pos) AS pos,
        {_PAIR_COLS}
 FROM buy_pos b FULL OUTER JOIN sell_pos s ON b.stock_symbol = s.stock_symbol AND b.pos = s.pos"""
@@ -288,7 +301,12 @@ COMPARE_ALL_SQL = _compare_all_sql(START, END)
 
 @register("compare_all", COMPARE_ALL_SQL)
 def q_compare_all(spark, sf):
-    return cmp.compare_all(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END, N_ALL)
+    return cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), START, END, N_ALL)
+
+
+@register("compare_all_1000", _compare_all_sql(START, END, 1000))
+def q_compare_all_1000(spark, sf):
+    return cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), START, END, 1000)
 
 
 # One trading day (start = end), the shape of the reference's own sample calls:
@@ -296,11 +314,11 @@ def q_compare_all(spark, sf):
 
 @register("top_runs_all_buy_one_day",
           O.with_ctes(F1, P1, O.runs_sql("buy", DAY, DAY), O.totals_sql("buy"), O.top_sql("buy", N_ALL, None))
-          + "SELECT * FROM ct")
+          + "SELECT * FROM largest")
 def q_top_runs_all_buy_one_day(spark, sf):
-    return top_runs(f1_trades(spark, sf, True, DAY, DAY), f1_prices(spark, sf), "buy", DAY, DAY, N_ALL)
+    return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), "buy", DAY, DAY, N_ALL)
 
 
 @register("compare_all_one_day", _compare_all_sql(DAY, DAY))
 def q_compare_all_one_day(spark, sf):
-    return cmp.compare_all(f1_trades(spark, sf, True, DAY, DAY), f1_prices(spark, sf), DAY, DAY, N_ALL)
+    return cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), DAY, DAY, N_ALL)

@@ -9,7 +9,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.snapshot import read_snapshot, write_snapshot_lines
 from . import oracle as O
-from .catalog import F1, P1, as_output, f1_prices, f1_trades, register
+from .catalog import F1, P1_ALL, as_output, f1_prices_all, f1_trades, register
 
 SECTOR_CASE = ("CASE stock_symbol " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.F4_SECTORS.items())
                + " END")
@@ -46,11 +46,11 @@ def _snapshot(spark, sf):
 
 
 @register("read_snapshot", O.with_ctes(SNAPSHOT_F5) + """
-SELECT id, '2021-06-09' AS business_date, symbol, security_name,
+SELECT id, '2024-02-15' AS business_date, symbol, security_name,
        CASE WHEN p_size = 1 THEN 0.0 ELSE round(p_retailprice, 4) END AS previous_close,
        CASE WHEN p_size = 2 THEN 0.0 ELSE round(p_retailprice * 3, 2) END AS market_cap,
        CAST(p_size AS BIGINT) AS total_trades,
-       '2021-06-09 14:' || lpad(CAST(p_partkey % 60 AS VARCHAR), 2, '0') || ':17.'
+       '2024-02-15 10:' || lpad(CAST(p_partkey % 60 AS VARCHAR), 2, '0') || ':17.'
          || rpad(substr(lpad(CAST((p_partkey * 7919) % 1000000 AS VARCHAR), 6, '0'), 1, CAST(p_partkey % 3 + 4 AS INTEGER)),
                  6, '0') AS last_updated
 FROM snap""")
@@ -65,26 +65,26 @@ def q_read_snapshot(spark, sf):
         F.date_format("lastUpdatedTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_updated"))
 
 
-@register("symbol_lookup", O.with_ctes(F1, P1, COMPANIES_F4) + """
+@register("symbol_lookup", O.with_ctes(F1, P1_ALL, COMPANIES_F4) + """
 , firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
 SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,
        CAST(p.closing_price AS DOUBLE) AS closing_price, p.pc_change
 FROM prices p LEFT JOIN firsts f ON p.stock_name = f.name""")
 def q_symbol_lookup(spark, sf):
-    prices = f1_prices(spark, sf)
+    prices = f1_prices_all(spark, sf)
     companies = fx.companies_from_trades(f1_trades(spark, sf))
     out = enrich.add_symbol(prices, companies)
     return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price", "pc_change"))
 
 
-@register("pc_change", O.with_ctes(F1, P1) + """
+@register("pc_change", O.with_ctes(F1, P1_ALL) + """
 SELECT date, stock_name, stock_symbol, num_trnx, CAST(max_price AS DOUBLE) AS max_price,
        CAST(min_price AS DOUBLE) AS min_price, CAST(closing_price AS DOUBLE) AS closing_price,
        CAST(traded_shares AS DOUBLE) AS traded_shares, CAST(amount AS DOUBLE) AS amount,
        CAST(previous_price AS DOUBLE) AS previous_price, CAST(difference AS DOUBLE) AS difference, pc_change
 FROM prices""")
 def q_pc_change(spark, sf):
-    return as_output(enrich.add_pc_change(f1_prices(spark, sf).drop("pc_change")))
+    return as_output(enrich.add_pc_change(f1_prices_all(spark, sf).drop("pc_change")))
 
 
 @register("known_symbols", O.with_ctes(SNAPSHOT_F5, COMPANIES_PARTS) + """

@@ -17,7 +17,7 @@ from ..sources import pages as P
 from ..sources import store
 from ..streaming.pages_stream import read_streamed_trades, start_page_stream
 from . import oracle as O
-from .catalog import END, F1, N_ALL, P1, START, COMPARE_ALL_SQL, as_output, f1_prices, f1_trades, register
+from .catalog import END, F1, N_ALL, P1_ALL, START, COMPARE_ALL_SQL, as_output, f1_prices, f1_prices_all, f1_trades, register
 from .catalog_enrich import COMPANIES_F4, COMPANIES_PARTS
 
 PAGE_SIZE = 100          # trades per page in the fixtures (the exchange serves up to 10,000)
@@ -33,7 +33,7 @@ paged2 AS (
          CAST(row_number() OVER (PARTITION BY date, block ORDER BY id) - 1 AS INTEGER) AS pos
   FROM paged)"""
 SQL_PAGED = O.with_ctes(F1, PAGED)
-NEW_ID = "CAST(replace(date, '-', '') AS BIGINT) * 1000000000 + CAST(page_no AS BIGINT) * 100000 + pos"
+NEW_ID = "CAST(replace(date, '-', '') AS BIGINT) * 100000000000 + CAST(page_no AS BIGINT) * 100000 + pos"
 
 
 def trade_pages(spark, sf, malformed=False):
@@ -99,6 +99,60 @@ def q_load_trades(spark, sf):
     return as_output(store.read_table(spark, _load_trades(spark, sf), "trades"))
 
 
+def _good_pages(pages):
+    return I.with_trade_ids(I.split_bad(I.parse_trade_pages(I.one_landing(pages)))[0])
+
+
+@register("load_trades_in_parts", LOADED_SQL)
+def q_load_trades_in_parts(spark, sf):
+    """Two loads of the same days: the second keeps the first one's pages."""
+    path, pages = scratch_path(spark, "trades-parts"), trade_pages(spark, sf)
+    store.append_days(_good_pages(pages.filter(F.col("page_no") % 2 == 1)), path, "trades")
+    store.append_days(_good_pages(pages.filter(F.col("page_no") % 2 == 0)), path, "trades")
+    return as_output(store.read_table(spark, path, "trades"))
+
+
+@register("load_trades_relanded", LOADED_SQL)
+def q_load_trades_relanded(spark, sf):
+    """The first pages land twice in one load and once more in a later one."""
+    path, pages = scratch_path(spark, "trades-relanded"), trade_pages(spark, sf)
+    again = pages.filter(F.col("page_no") == 1)
+    store.append_days(_good_pages(pages.unionByName(again)), path, "trades")
+    store.append_days(_good_pages(again), path, "trades")
+    return as_output(store.read_table(spark, path, "trades"))
+
+
+@register("trade_id_many_pages", SQL_PAGED + f"SELECT {NEW_ID.replace('page_no', 'page_no + 9999')} AS id, "
+          "id AS contract_no FROM paged2")
+def q_trade_id_many_pages(spark, sf):
+    pages = trade_pages(spark, sf).withColumn("page_no", F.col("page_no") + 9999)
+    good, _ = I.split_bad(I.parse_trade_pages(pages))
+    return good.select(I.trade_id(F.col("date"), F.col("page_no"), F.col("pos")).alias("id"), "contract_no")
+
+
+@register("quarantine_undated", SQL_PAGED + "SELECT page_no, pos, id AS contract_no FROM paged2 WHERE page_no = 1")
+def q_quarantine_undated(spark, sf):
+    html = F.when(F.col("page_no") == 1, F.replace("html", F.lit(P.DATE_DIV_CLASS), F.lit("other")))
+    pages = trade_pages(spark, sf).withColumn("html", F.coalesce(html, "html"))
+    _, bad = I.split_bad(I.parse_trade_pages(pages, date_from_page=True))
+    return bad.select("page_no", "pos", "contract_no")
+
+
+@register("missing_pages_no_pager", SQL_PAGED + f"SELECT DISTINCT date, {LOST_PAGE} AS page_no FROM paged2 WHERE pages > {LOST_PAGE}")
+def q_missing_pages_no_pager(spark, sf):
+    """The first page's pager holds no link: the day's other pages tell."""
+    pager = F.regexp_replace("html", r'(<div class="pager">).*?</div>', "$1</div>")
+    pages = trade_pages(spark, sf).filter(F.col("page_no") != LOST_PAGE)
+    landed = pages.withColumn("html", F.when(F.col("page_no") == 1, pager).otherwise(F.col("html")))
+    return P.missing_pages(landed, P.page_count(landed))
+
+
+@register("price_page_date", O.with_ctes(F1, P1_ALL) + "SELECT DISTINCT date FROM prices")
+def q_price_page_date(spark, sf):
+    pages = P.render_price_pages(f1_prices_all(spark, sf)).withColumn("date", F.lit(None).cast("string"))
+    return I.split_bad(I.parse_price_pages(pages, date_from_page=True))[0].select("date").distinct()
+
+
 @register("delete_day", LOADED_SQL + f" WHERE date <> '{DELETED_DAY}'")
 def q_delete_day(spark, sf):
     path = _load_trades(spark, sf)
@@ -121,21 +175,21 @@ def q_stream_load_trades(spark, sf):
 PRICE_COLS = ("max_price", "min_price", "closing_price", "traded_shares", "amount", "previous_price", "difference")
 
 
-@register("parse_price_pages", O.with_ctes(F1, P1) + "SELECT date, stock_name, num_trnx, "
+@register("parse_price_pages", O.with_ctes(F1, P1_ALL) + "SELECT date, stock_name, num_trnx, "
           + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in PRICE_COLS) + " FROM prices")
 def q_parse_price_pages(spark, sf):
-    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices(spark, sf))))
+    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices_all(spark, sf))))
     return as_output(good.select("date", "stock_name", "num_trnx", *PRICE_COLS))
 
 
-@register("load_prices", O.with_ctes(F1, P1, COMPANIES_F4) + """
+@register("load_prices", O.with_ctes(F1, P1_ALL, COMPANIES_F4) + """
 , firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
 SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,
        CAST(p.closing_price AS DOUBLE) AS closing_price, CAST(p.previous_price AS DOUBLE) AS previous_price,
        CAST(p.difference AS DOUBLE) AS difference, p.pc_change
 FROM prices p LEFT JOIN firsts f ON p.stock_name = f.name""")
 def q_load_prices(spark, sf):
-    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices(spark, sf))))
+    good, _ = I.split_bad(I.parse_price_pages(P.render_price_pages(f1_prices_all(spark, sf))))
     companies = fx.companies_from_trades(f1_trades(spark, sf))
     path = scratch_path(spark, "prices")
     store.load_days(I.prices_table(good, companies), path, "prices")
@@ -144,11 +198,11 @@ def q_load_prices(spark, sf):
                                 "previous_price", "difference", "pc_change"))
 
 
-COMPANY_SQL = O.with_ctes(COMPANIES_PARTS) + "SELECT id, stock_name, stock_symbol, sector FROM comp"
+COMPANY_SQL = O.with_ctes(COMPANIES_PARTS.replace(" WHERE p_size >= 10", "")) + "SELECT id, stock_name, stock_symbol, sector FROM comp"
 
 
-def _company_pages(spark, sf, min_size=10):
-    return P.render_company_pages(fx.companies_from_parts(fx.table(spark, sf, "part"), min_size), "2021-06-09")
+def _company_pages(spark, sf, min_size=0):
+    return P.render_company_pages(fx.companies_from_parts(fx.table(spark, sf, "part"), min_size), "2024-02-15")
 
 
 def _parsed_companies(pages):
@@ -171,20 +225,20 @@ def q_refresh_companies(spark, sf):
 
 @register("write_report", f"SELECT *, '{START}_{END}' AS period FROM ({COMPARE_ALL_SQL}) r")
 def q_write_report(spark, sf):
-    report = cmp.compare_all(f1_trades(spark, sf, ranged=True), f1_prices(spark, sf), START, END, N_ALL)
+    report = cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), START, END, N_ALL)
     path = scratch_path(spark, "reports")
     store.write_report(report, path, f"{START}_{END}")
     return store.read_report(spark, path, report.schema)
 
 
-@register("delete_price_day", O.with_ctes(F1, P1) + f"""
+@register("delete_price_day", O.with_ctes(F1, P1_ALL) + f"""
 SELECT date, stock_name, stock_symbol, num_trnx, CAST(closing_price AS DOUBLE) AS closing_price, pc_change
 FROM prices WHERE date <> '{DELETED_DAY}'""")
 def q_delete_price_day(spark, sf):
     """I-16 on the price table (where the reference deletes a day): load the
     daily prices partitioned by date, drop one day, read back."""
     path = scratch_path(spark, "prices-del")
-    store.load_days(f1_prices(spark, sf), path, "prices")
+    store.load_days(f1_prices_all(spark, sf), path, "prices")
     store.delete_day(spark, path, DELETED_DAY)
     out = store.read_table(spark, path, "prices")
     return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price", "pc_change"))

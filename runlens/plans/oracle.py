@@ -1,10 +1,9 @@
 """Reference-shaped SQL for the correctness oracle (DuckDB dialect).
 
-These strings restate each query the way the reference writes it -- a global
-``lag`` and running ``SUM`` without partitioning, windowed totals and
-``DISTINCT`` -- with the order made explicit.  The Spark side computes the
-same results with different operators (segmented scan, two-level totals), so
-agreement is a real check.  Decimals are cast to DOUBLE on output on both
+Independent formulations: run starts by ``IS DISTINCT FROM`` on the previous
+broker, run numbers as a count of starts, totals by a plain ``GROUP BY`` joined
+to the rows a run touches.  The Spark side uses other operators (segmented scan),
+so agreement is a real check.  Decimals are cast to DOUBLE on output on both
 sides; sums of decimals are exact, so the doubles agree bit for bit.
 """
 
@@ -78,52 +77,44 @@ def _range(start: str | None, end: str | None) -> str:
 
 def runs_sql(side: str, start: str | None, end: str | None, strict: bool = False,
              src: str = "trades", p: str = "") -> str:
-    """CTE bodies ``sorted``, ``ranges``, ``groups`` (names prefixed by ``p``)
-    with ``r`` and ``grp``."""
+    """CTE bodies ``seen`` and ``numbered`` (names prefixed by ``p``): a trade
+    starts a run when its broker is unknown or differs from the one before, and
+    the run number counts the starts so far."""
     b = broker_col(side)
-    if strict:
-        lag_w = "PARTITION BY stock_symbol, date ORDER BY id"
-        order = "stock_symbol NULLS LAST, date NULLS LAST, id"
-    else:
-        lag_w = "ORDER BY stock_symbol NULLS LAST, id"
-        order = "stock_symbol NULLS LAST, id"
+    over = "PARTITION BY stock_symbol, date ORDER BY id" if strict else "ORDER BY stock_symbol NULLS LAST, id"
+    order = "stock_symbol NULLS LAST, " + ("date NULLS LAST, id" if strict else "id")
     return f"""
-{p}sorted AS (SELECT * FROM {src} {_range(start, end)}),
-{p}ranges AS (
+{p}seen AS (
   SELECT id, date, stock_symbol, buyer, seller, quantity, rate, amount,
-         CASE WHEN lag({b}) OVER ({lag_w}) = {b} THEN NULL ELSE 1 END AS r
-  FROM {p}sorted),
-{p}groups AS (
-  SELECT *, CAST(SUM(r) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                 AS BIGINT) AS grp
-  FROM {p}ranges)"""
+         {b} IS NULL OR {b} IS DISTINCT FROM lag({b}) OVER ({over}) AS starts
+  FROM {src} {_range(start, end)}),
+{p}numbered AS (
+  SELECT * EXCLUDE (starts), CASE WHEN starts THEN 1 END AS r,
+         count(*) FILTER (WHERE starts) OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS grp
+  FROM {p}seen)"""
 
 
 def totals_sql(side: str, p: str = "") -> str:
-    """CTE bodies ``final`` and ``top_list`` (after ``groups``)."""
+    """CTE bodies ``run_sums`` (one row per run) and ``run_rows`` (its totals on
+    every date, symbol and broker it touches); after ``numbered``."""
     b = broker_col(side)
     return f"""
-{p}final AS (
-  SELECT date, stock_symbol, {b}, grp,
-         sum(amount) OVER (PARTITION BY grp) AS cuml,
-         sum(quantity) OVER (PARTITION BY grp) AS cumq,
-         count(*) OVER (PARTITION BY grp) AS trnxs
-  FROM {p}groups),
-{p}top_list AS (SELECT DISTINCT grp, date, stock_symbol, {b}, cuml, cumq, trnxs FROM {p}final)"""
+{p}run_sums AS (
+  SELECT grp, sum(amount) AS cuml, sum(quantity) AS cumq, count(*) AS trnxs FROM {p}numbered GROUP BY grp),
+{p}run_rows AS (
+  SELECT t.grp, t.date, t.stock_symbol, t.{b}, s.cuml, s.cumq, s.trnxs
+  FROM (SELECT grp, date, stock_symbol, {b} FROM {p}numbered GROUP BY ALL) t JOIN {p}run_sums s USING (grp))"""
 
 
-def top_sql(side: str, n: int, symbol: str | None, name: str = "ct", p: str = "") -> str:
+def top_sql(side: str, n: int, symbol: str | None, name: str = "largest", p: str = "") -> str:
     b = broker_col(side)
     where = f"WHERE stock_symbol = '{symbol}'" if symbol is not None else ""
     return f"""
-{name}_lim AS (
-  SELECT * FROM {p}top_list {where}
-  ORDER BY cuml DESC NULLS LAST, grp, date, stock_symbol LIMIT {int(n)}),
 {name} AS (
-  SELECT c.grp, c.date, c.stock_symbol, c.{b}, CAST(c.cuml AS DOUBLE) AS cuml,
-         CAST(c.cumq AS BIGINT) AS cumq, CAST(c.trnxs AS BIGINT) AS trnxs,
-         CAST(p.pc_change AS DOUBLE) AS pc_change
-  FROM {name}_lim c JOIN prices p ON c.date = p.date AND c.stock_symbol = p.stock_symbol)"""
+  SELECT grp, date, stock_symbol, {b}, CAST(cuml AS DOUBLE) AS cuml, CAST(cumq AS BIGINT) AS cumq,
+         CAST(trnxs AS BIGINT) AS trnxs, CAST(prices.pc_change AS DOUBLE) AS pc_change
+  FROM (FROM {p}run_rows {where} ORDER BY cuml DESC NULLS LAST, grp, date, stock_symbol LIMIT {int(n)})
+  JOIN prices USING (date, stock_symbol))"""
 
 
 def with_ctes(*bodies: str) -> str:

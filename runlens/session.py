@@ -67,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="runlens-ckpt-")
     if sc is None:
         return configured

@@ -36,31 +36,13 @@ F4_SECTORS = {
 }
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A supplied table.  The lazy handle is reused per session and path, so a
-    query that reads a table twice lists the file and reads its footer once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-def trades_from_events(events: DataFrame, start: str | None = None,
-                       end: str | None = None) -> DataFrame:
-    """F1.  With a range, an equivalent ``ts`` predicate is added so that the
-    filter reaches the Parquet scan (the text ``date`` is derived, a stored
-    trades table would prune partitions instead)."""
-    ev = events
-    if start is not None:
-        ev = ev.filter(F.col("ts") >= F.to_timestamp_ntz(F.lit(start)))
-    if end is not None:
-        ev = ev.filter(F.col("ts") < F.date_add(F.to_date(F.lit(end)), 1).cast("timestamp_ntz"))
+def trades_from_events(ev: DataFrame) -> DataFrame:
+    """F1."""
     quantity = F.get_json_object("props", "$.k").try_cast("int") + F.lit(1)
     rate = F.col("value").cast("decimal(18,2)")
     out = ev.select(
@@ -185,12 +167,12 @@ def snapshot_json_lines(part: DataFrame) -> DataFrame:
     price = F.col("p_retailprice")
     frac_digits = F.col("p_partkey") % 3 + 4
     micros = F.lpad(((F.col("p_partkey") * 7919) % 1000000).cast("string"), 6, "0")
-    ts = F.concat(F.lit("2021-06-09T14:"), F.lpad((F.col("p_partkey") % 60).cast("string"), 2, "0"),
+    ts = F.concat(F.lit("2024-02-15T10:"), F.lpad((F.col("p_partkey") % 60).cast("string"), 2, "0"),
                   F.lit(":17."), F.substring(micros, 1, 6).substr(F.lit(1), frac_digits))
     money = lambda c: F.format_string("%.4f", c)
     fields = [
         ("id", (F.lit(1300000) + F.col("p_partkey") + F.col("dup") * 100000).cast("string"), False),
-        ("businessDate", F.lit("2021-06-09"), True),
+        ("businessDate", F.lit("2024-02-15"), True),
         ("securityId", F.col("p_partkey").cast("string"), False),
         ("symbol", F.concat(F.lit("P"), F.col("p_partkey").cast("string")), True),
         ("securityName", F.col("p_name"), True),

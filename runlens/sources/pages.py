@@ -29,16 +29,31 @@ TRADE_ROW_SLICE = (2, 3)
 PRICE_ROW_SLICE = (2, 4)
 COMPANY_ROW_SLICE = (2, 1)
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
+             ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"),
+             ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"), ("&amp;", "&"))
 
 
 def _class_pattern(tag: str, cls: str) -> str:
     return rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["']{re.escape(cls)}["'][^>]*>"""
 
 
+def _numeric_entities(c: Column) -> Column:
+    """``&#8211;`` and ``&#x2013;`` as their characters; others stay."""
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^(x[0-9a-fA-F]{1,6}|[0-9]{1,7});", 1)
+        code = F.when(digits.startswith("x"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits)
+        char = F.decode(F.unhex(F.lpad(F.hex(code.try_cast("bigint")), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(digits) + F.lit(2), F.length(part))
+        return F.when(digits != "", F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+    parts = F.split(c, "&#")
+    return F.when(F.contains(c, F.lit("&#")), F.concat(
+        F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(c)
+
+
 def html_text(c: Column) -> Column:
-    """Text of an HTML fragment: tags removed, common entities decoded."""
-    out = F.regexp_replace(c, r"(?s)<[^>]*>", "")
+    """Text of an HTML fragment: tags removed, entities decoded."""
+    out = _numeric_entities(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
     for ent, ch in _ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
@@ -60,15 +75,16 @@ def page_date(html: Column) -> Column:
 
 def pager_total(html: Column) -> Column:
     """I-1: the part after ``/`` in the pager's first link text, as int."""
-    a = F.regexp_extract(html, _class_pattern("div", PAGER_DIV_CLASS) + r".*?<a\b[^>]*>(.*?)</a>", 1)
+    pager = F.regexp_extract(html, _class_pattern("div", PAGER_DIV_CLASS) + r"(.*?)</div>", 1)
+    a = F.regexp_extract(pager, r"(?is)<a\b[^>]*>(.*?)</a>", 1)
     return F.trim(F.get(F.split(html_text(a), "/"), 1)).try_cast("int")
 
 
 def page_count(pages: DataFrame, requested: int = 9999) -> DataFrame:
     """I-1 per date: ``requested`` pages, or all the pager reports when
-    ``requested`` is the sentinel 9999.  Pages of a day carry the same pager,
-    so the first landed page decides."""
-    per_day = pages.groupBy("date").agg(F.min_by(pager_total(F.col("html")), F.col("page_no")).alias("_total"))
+    ``requested`` is the sentinel 9999.  Pages of a day carry the same pager;
+    the largest readable one decides, and a day without one has NULL pages."""
+    per_day = pages.groupBy("date").agg(F.max(pager_total(F.col("html"))).alias("_total"))
     n = F.col("_total") if requested == 9999 else F.lit(int(requested))
     return per_day.select("date", n.alias("pages"))
 
@@ -79,7 +95,7 @@ def expected_pages(counts: DataFrame, url_template: str = "{page}?limit={limit}"
     pre, _, rest = url_template.partition("{page}")
     rest = rest.replace("{limit}", str(int(limit)))
     pre = pre.replace("{limit}", str(int(limit)))
-    out = counts.select("date", F.explode(F.sequence(F.lit(1), F.col("pages"))).alias("page_no"))
+    out = counts.filter(F.col("pages") >= 1).select("date", F.explode(F.sequence(F.lit(1), F.col("pages"))).alias("page_no"))
     return out.select("date", "page_no", F.concat(F.lit(pre), F.col("page_no").cast("string"), F.lit(rest)).alias("url"))
 
 
@@ -103,9 +119,11 @@ def table_rows(pages: DataFrame, cls: str, row_slice: tuple[int, int], keep: lis
     # referred to the extraction would re-run it for every element).
     sliced = pages.select(*keep, rows.alias("_rows"))
     data = F.slice(F.col("_rows"), head + 1, F.greatest(F.size("_rows") - head - tail, F.lit(0)))
-    exploded = sliced.select(*keep, F.posexplode(data).alias("pos", "_row"))
-    cells = F.transform(F.regexp_extract_all(F.col("_row"), F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1), html_text)
-    return exploded.select(*keep, "pos", cells.alias("cells"))
+    # Cells are cut before the explode: a filter on them cannot be pushed through
+    # it, so each row's cells are extracted once.
+    def cells(row: Column) -> Column:
+        return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1), html_text)
+    return sliced.select(*keep, F.posexplode(F.transform(data, cells)).alias("pos", "cells"))
 
 
 # --------------------------------------------------------------------------
@@ -144,9 +162,8 @@ def _pages_from_rows(rows: DataFrame, block: Column, order: Column, cls: str, ro
     span = b.groupBy("date").agg(F.min("_block").alias("_b0"), F.max("_block").alias("_b1"))
     grouped = b.groupBy("date", "_block").agg(
         F.array_sort(F.collect_list(F.struct(order.alias("k"), F.col("_html").alias("h")))).alias("_rows"))
-    # One row per date (bounded by the calendar): broadcast, so the pages of a
-    # hot date are never gathered into one join partition.
-    grouped = grouped.join(F.broadcast(span), "date")
+    # One row per date: small enough for the planner to broadcast by its size.
+    grouped = grouped.join(span, "date")
     page_no = (F.col("_block") - F.col("_b0") + 1).cast("int")
     total = (F.col("_b1") - F.col("_b0") + 1).cast("int")
     body = F.array_join(F.transform(F.col("_rows"), lambda s: s["h"]), "")
@@ -177,14 +194,14 @@ def render_trade_pages(trades: DataFrame, page_size: int = 500, malformed: bool
     return _pages_from_rows(rows, block, F.col("id"), TRADE_TABLE_CLASS, TRADE_ROW_SLICE, 8, "floorsheet/")
 
 
-def render_price_pages(prices: DataFrame) -> DataFrame:
-    """one price page per date (all securities of the day, as the
-    exchange lists them on one page)."""
+def render_price_pages(prices: DataFrame, blocks: int = 1) -> DataFrame:
+    """``blocks`` price pages per date, securities dealt by name (the exchange
+    lists 300 a page)."""
     cells = [F.lit(0), F.col("stock_name"), F.col("num_trnx"), F.col("max_price"), F.col("min_price"),
              F.col("closing_price"), F.col("traded_shares"), F.col("amount"), F.col("previous_price"),
              F.col("difference")]
     rows = prices.select("date", "stock_name", _tr(cells).alias("_html"))
-    return _pages_from_rows(rows, F.lit(0), F.col("stock_name"), PRICE_TABLE_CLASS, PRICE_ROW_SLICE, 10,
+    return _pages_from_rows(rows, F.pmod(F.xxhash64("stock_name"), F.lit(int(blocks))), F.col("stock_name"), PRICE_TABLE_CLASS, PRICE_ROW_SLICE, 10,
                             "todays_price/")
 
 

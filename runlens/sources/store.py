@@ -9,9 +9,11 @@ previous state of that day in place.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import COMPANIES, PRICES, TRADES
+from ..session import scratch_path
 
 TARGETS = {"trades": TRADES, "prices": PRICES, "companies": COMPANIES}
 
@@ -36,10 +38,10 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 def load_days(df: DataFrame, path: str, target: str = "trades") -> None:
     """I-11 / I-13: write rows partitioned by ``date``; the days present in
-    ``df`` are replaced, other days are kept.  Each task sorts its rows by
-    (symbol, id) before writing (no shuffle), which gives tight Parquet
-    min/max statistics for symbol and id filters."""
-    out = conform(df, target)
+    ``df`` are replaced, other days are kept.  Rows are rebalanced by date, so a
+    day has few files and a hot day several writers; each task sorts its rows by
+    (symbol, id), which gives tight Parquet min/max statistics."""
+    out = conform(df, target).hint("rebalance", "date")
     if target == "trades":
         out = out.sortWithinPartitions("date", "stock_symbol", "id")
     (out.write.mode("overwrite")
@@ -48,9 +50,37 @@ def load_days(df: DataFrame, path: str, target: str = "trades") -> None:
      .partitionBy("date").parquet(path))
 
 
+# What a later load replaces: the rows of the same landed page, or the same
+# security of a day.
+_REPLACED = {"trades": ["date", "id div 100000"], "prices": ["date", "stock_name"]}
+
+
+def append_days(df: DataFrame, path: str, target: str = "trades") -> None:
+    """I-11 / I-13: append.  Pages of a day may land in several loads: what the
+    table holds of the days in ``df`` stays, but for the pages (trades) or
+    securities (prices) that ``df`` brings again."""
+    spark = df.sparkSession
+
+    def staged(rows: DataFrame, name: str) -> DataFrame:
+        at = scratch_path(spark, name)
+        conform(rows, target).write.parquet(at)
+        return spark.read.schema(_check_target(target)).parquet(at)
+
+    new = staged(df, "append-new")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return load_days(new, path, target)
+    keys = [F.expr(k).alias(f"_k{i}") for i, k in enumerate(_REPLACED[target])]
+    names = [f"_k{i}" for i in range(len(keys))]
+    old = read_table(spark, path, target).join(new.select("date").distinct(), "date", "left_semi")
+    kept = old.select("*", *keys).join(new.select(*keys).distinct(), names, "left_anti").drop(*names)
+    load_days(staged(new.unionByName(kept.select(*new.columns)), "append-all"), path, target)
+
+
 def refresh(df: DataFrame, path: str, target: str = "companies") -> None:
-    """I-15: replace the whole table (truncate and reload)."""
-    conform(df, target).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    """I-15: replace the whole table (truncate and reload), dated tables by date."""
+    out = conform(df, target).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (out.partitionBy("date") if "date" in _check_target(target).fieldNames() else out).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, target: str) -> DataFrame:

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ingest import parse_trade_pages, split_bad, with_trade_ids
+from ..operators.ingest import one_landing, parse_trade_pages, split_bad, with_trade_ids
 from ..schema import PAGES, TRADES
 
 
 def _batch_writer(table_path: str, quarantine_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_bad(parse_trade_pages(batch))
+        good, bad = split_bad(parse_trade_pages(one_landing(batch)))
         (with_trade_ids(good).withColumn("load_batch", F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("date", "load_batch").parquet(table_path))
@@ -47,4 +47,7 @@ def start_page_stream(spark: SparkSession, landing_dir: str, table_path: str, qu
 
 def read_streamed_trades(spark: SparkSession, table_path: str) -> DataFrame:
     schema = T.StructType(list(TRADES.fields) + [T.StructField("load_batch", T.LongType(), True)])
-    return spark.read.schema(schema).parquet(table_path).select(*TRADES.fieldNames())
+    rows = spark.read.schema(schema).parquet(table_path).withColumn("_page", F.expr("id div 100000"))
+    # a page that landed again in a later batch counts once, as it landed last
+    last = rows.groupBy("_page").agg(F.max("load_batch").alias("load_batch"))
+    return rows.join(last, ["_page", "load_batch"], "left_semi").select(*TRADES.fieldNames())
