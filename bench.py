@@ -23,6 +23,8 @@ HEADLINE = [
     "top_runs_all_buy_x8",
     "run_ids_buy_x8",
     "run_ids_buy_naive_x8",
+    "run_ids_buy_x64",
+    "run_ids_buy_naive_x64",
     "top_runs_all_sell",
     "compare_all",
     "top_runs_symbol_buy",
@@ -62,6 +64,11 @@ def main() -> None:
 
     qs["run_ids_buy_x8"] = lambda spark, sf: runs.with_run_ids(x8(spark, sf), "buy")
     qs["run_ids_buy_naive_x8"] = lambda spark, sf: runs.with_run_ids_naive(x8(spark, sf), "buy")
+    def x64(spark, sf):
+        return fx.replicate_trades(catalog.f1_trades(spark, sf), 64)
+
+    qs["run_ids_buy_x64"] = lambda spark, sf: runs.with_run_ids(x64(spark, sf), "buy")
+    qs["run_ids_buy_naive_x64"] = lambda spark, sf: runs.with_run_ids_naive(x64(spark, sf), "buy")
     qs["top_runs_all_buy_x8"] = lambda spark, sf: top_runs(
         x8(spark, sf), fx.prices_from_trades(x8(spark, sf), None, None), "buy",
         catalog.START, catalog.END, catalog.N_ALL)
