@@ -150,42 +150,44 @@ def test_estimates_are_unbiased_and_bounded():
     assert abs(off.mean()) < 0.005 and (np.abs(off) <= slack.min()).mean() > 0.999
 
 
-def brute_tree(counts, bits):
-    """Weighted tree by direct recursion over one context's path."""
-    def kt(a, b):
-        return math.lgamma(a + .5) + math.lgamma(b + .5) - math.log(math.pi) - math.lgamma(a + b + 1)
-
-    def node(level, prefix, ones_of):
-        width = sum(bits[level:])
-        a, b = ones_of(counts[prefix << width:(prefix + 1) << width].sum(axis=0))
-        own = kt(a, b)
-        if level == len(bits):
-            return own
-        below = sum(node(level + 1, (prefix << bits[level]) + k, ones_of) for k in range(1 << bits[level]))
-        return np.logaddexp(own, below) - math.log(2)
-    return node
-
-
-def test_tree_predicts_as_the_weighted_probability_ratio():
-    """P(next bit) = weighted probability with the bit over that without it."""
-    bits, r = (1, 1), np.random.default_rng(6)
-    counts = np.zeros((4, 256), np.int64)
-    counts[:, [97, 98, 200]] = r.integers(0, 6, (4, 3))
-    got = lm_score.weighted_tree(counts, bits)
-    node = brute_tree(counts, bits)
-    for context in range(4):
-        want = 0.0
-        for k, bit in enumerate(f"{98:08b}"):
-            def at(row, extra=0, k=k):
-                cell = row.reshape(1 << k, 2, -1).sum(axis=2)[98 >> (8 - k)]
-                return cell[0], cell[1]
-            before = node(0, 0, at)
-            counts[context, 98] += 1   # one more byte down this path adds its bit at every depth
-            after = node(0, 0, at)
-            counts[context, 98] -= 1
-            want += (after - before) / math.log(10)
-        assert abs(want - got[context, 98]) < 1e-5
-    assert np.allclose((10.0 ** got.astype(float)).sum(axis=1), 1, atol=1e-5)
+def log_tree(seen, place, context=b""):
+    """Weighted log probability, by direct recursion, of one decision of the byte
+    (``place``: bits so far) in all contexts below ``context``; ``seen``: [(context,
+    nearest byte first; byte)]."""
+    here = [(c, s) for c, s in seen if c.startswith(context) and f"{s:08b}".startswith(place)]
+    a, b = (sum(f"{s:08b}"[len(place)] == bit for _, s in here) for bit in "01")
+    own = math.lgamma(a + .5) + math.lgamma(b + .5) - math.log(math.pi) - math.lgamma(a + b + 1)
+    if len(context) == lm_score.DEPTH or not here:
+        return own
+    below = sum(log_tree(here, place, context + bytes([k])) for k in {c[len(context)] for c, _ in here})
+    return np.logaddexp(own, below) - math.log(2)
+
+
+def brute_score(train, text):
+    """log10 of the weighted probability with each bit over that without it."""
+    def pairs(t):
+        full = b"\n" * lm_score.DEPTH + t
+        return [(full[i:i + lm_score.DEPTH][::-1], full[i + lm_score.DEPTH]) for i in range(len(t))]
+    seen, score = [x for t in train for x in pairs(t)], 0.0
+    for context, byte in pairs(text):
+        for k in range(8):
+            place = f"{byte:08b}"[:k]
+            score += log_tree(seen + [(context, byte)], place) - log_tree(seen, place)
+    return score / math.log(10)
+
+
+@pytest.mark.parametrize("shard", [1 << 18, 7])
+def test_tree_predicts_as_the_weighted_probability_ratio(docs, monkeypatch, shard):
+    monkeypatch.setattr(lm_score, "SHARD_GRAMS", shard)
+    r = random.Random(6)
+    table = [(i, "".join(r.choice("aab \n\u00e9") for _ in range(r.randint(0, 9)))) for i in range(24)] + [(90, None), (91, "xyzzy")]
+    train = [(t or "").encode() for i, t in table if zlib.crc32(str(i).encode()) % 7 != 2]
+    got = {x.doc_id: x for x in lm_score.score_documents(docs(table)).collect()}
+    assert sum(x.held_out for x in got.values()) > 1
+    for i, t in table:
+        want = brute_score(train, (t or "").encode())
+        assert abs(got[i].score - want) < 1e-6, (i, t)
+        assert abs(got[i].bits_per_byte + want / math.log10(2) / max(1, len((t or "").encode()))) < 1e-6
 
 
 def test_lm_scores(docs, odd):
