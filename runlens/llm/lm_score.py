@@ -44,10 +44,10 @@ from pyspark.sql import functions as F
 from .common import byte_list, flat_bytes, id_remainder, materialize, slices, text_blocks
 
 #: Bytes of the deepest context; a gram has one more and fits a long.
-DEPTH = 4
+DEPTH = 3
 BLOCK_BYTES = 16 << 20
 #: Grams of a shard, on average.
-SHARD_GRAMS = 1 << 18
+SHARD_GRAMS = 1 << 17
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 END = b""   # the end token; no word is empty
 
@@ -199,7 +199,7 @@ class _Counts:
         some, n = np.unique(grams, return_counts=True)
         self.parts.append((some, n if learn else np.zeros(len(some), np.int64)))
         self.rows += len(some)
-        if self.rows > 4 << 20:
+        if self.rows > 1 << 20:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +216,7 @@ def _stats(texts: DataFrame) -> DataFrame:
         tokens: dict[int, Counter] = {}
         grams: dict[int, _Counts] = {}
         for batch in batches:
-            for lo, hi in slices(batch.column(2), 4 << 20):
+            for lo, hi in slices(batch.column(2), 2 << 20):
                 part = batch.slice(lo, hi - lo)
                 blocks, held = part.column(0).to_numpy(), np.array(part.column(1).to_pylist(), bool)
                 for block, out, text in zip(blocks.tolist(), held, byte_list(part.column(2))):
