@@ -24,7 +24,7 @@ from .operators.enrich import backfill_companies
 from .schema import PAGES
 from .session import build_session
 from .sources import store
-from .sources.snapshot import read_snapshot
+from .sources.snapshot import snapshot_parts
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -98,8 +98,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             rep = compare.compare_symbol(trades, prices, args.start, args.end, args.symbol, args.n)
         store.write_report(rep, args.out, f"{args.start}_{args.end}")
     elif args.cmd == "drill":
-        numbered = runs.with_run_ids(read(args.trades, "trades"), args.side, args.start, args.end)
-        store.write_report(runs.run_detail(numbered, args.grp), args.out, f"{args.start}_{args.end}_{args.grp}")
+        detail = runs.run_trades(read(args.trades, "trades"), args.side, args.grp, args.start, args.end)
+        store.write_report(detail, args.out, f"{args.start}_{args.end}_{args.grp}")
     elif args.cmd == "load-trades":
         good = _split(args, ingest.parse_trade_pages(ingest.one_landing(pages(args.pages))))
         store.append_days(ingest.with_trade_ids(good), args.table, "trades")
@@ -113,7 +113,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         companies = read(args.companies, "companies")
         sectors = (spark.read.option("header", True).schema("stock_symbol string, sector string").csv(args.sectors)
                    if args.sectors else None)
-        out = backfill_companies(companies, read_snapshot(spark, args.snapshot, args.multiline), sectors)
+        records, malformed = snapshot_parts(spark, args.snapshot, args.multiline)
+        lost = args.table.rstrip("/") + ".quarantine"
+        malformed.write.mode("overwrite").text(lost)
+        print(f"backfill: {spark.read.text(lost).count()} malformed records in {lost}")
+        out = backfill_companies(companies, records, sectors)
         # The directory is read above; write the new version beside it first.
         tmp = args.table.rstrip("/") + ".next"
         store.refresh(out, tmp, "companies")

@@ -123,8 +123,8 @@ def _fanouts(fanout) -> tuple[int, ...]:
 def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout,
                      group: Sequence[str] = ()) -> DataFrame:
     """Steps 3-4 on a block summary ``(keys..., _seg, _nb, _first, _last)``:
-    per block the run-number offset ``_soff`` and ``_smerge`` = 1 when its
-    first local run continues the previous block's last run.
+    per block its runs ``_nb``, the run-number offset ``_soff`` and ``_smerge`` = 1
+    when its first local run continues the previous block's last run.
 
     Blocks are grouped into parent blocks that keep the order, whose summaries
     have the same shape and are solved the same way: ``K1`` blocks at a time, then
@@ -160,7 +160,7 @@ def _solve(s: DataFrame, group: list[str], cols: list[str], flags: list[str], le
     s = s.select("*", (F.col("_nb") - F.col("_m")).alias("_net"))
     s = s.select("*", (F.sum("_net").over(w.rowsBetween(*_ROWS_TO_HERE)) - F.col("_nb")).alias("_off"))
     if not levels:
-        return s.select(*group, *cols, F.col("_off").alias("_soff"), F.col("_m").alias("_smerge"))
+        return s.select(*group, *cols, "_nb", F.col("_off").alias("_soff"), F.col("_m").alias("_smerge"))
     at = F.struct(*cols)
     parent = s.groupBy(*inside).agg(
         F.sum("_net").alias("_nb"), F.min_by("_first", at).alias("_first"), F.max_by("_last", at).alias("_last"),
@@ -169,7 +169,7 @@ def _solve(s: DataFrame, group: list[str], cols: list[str], flags: list[str], le
     up = _solve(parent, group, parent_cols, flags, levels[1:]).select(
         *inside, F.col("_soff").alias("_poff"), F.col("_smerge").alias("_pmerge"))
     return s.join(up, inside).select(
-        *group, *cols, (F.col("_off") + F.col("_poff")).alias("_soff"),
+        *group, *cols, "_nb", (F.col("_off") + F.col("_poff")).alias("_soff"),
         F.when(F.col("_head"), F.col("_pmerge")).otherwise(F.col("_m")).alias("_smerge"))
 
 
@@ -184,15 +184,25 @@ def with_run_ids(trades: DataFrame, side: str, start: str | None = None, end: st
     offsets on the key they are already partitioned and sorted by."""
     b = broker_col(side)
     df, keys, seg = _segmented(trades, b, start, end, break_on, bucket_width)
+    return _numbered(df, _offsets(df, b, keys, seg, break_on, fanout), seg, trades.columns)
+
+
+def _offsets(df: DataFrame, b: str, keys: list[str], seg: list[str], break_on: Sequence[str], fanout,
+             group: Sequence[str] = ()) -> DataFrame:
+    """``_segment_offsets`` of the segments of ``_segmented``."""
     summ = df.groupBy(*seg).agg(
         F.max("_g0").alias("_nb"),
         F.min_by(b, "id").alias("_first"),
         F.max_by(b, "id").alias("_last"))
-    segs = _segment_offsets(summ, keys, list(break_on), fanout)
+    return _segment_offsets(summ, keys, list(break_on), fanout, group)
+
+
+def _numbered(df: DataFrame, segs: DataFrame, seg: list[str], columns: list[str]) -> DataFrame:
+    """Segmented trades with ``r`` and ``grp`` from the offsets of their segments."""
     out = df.join(segs, seg)
     first_row = (F.col("_r0") == 1) & (F.col("_g0") == 1)
     r = F.when(first_row & (F.col("_smerge") == 1), F.lit(None).cast("int")).otherwise(F.col("_r0"))
-    return out.select(*trades.columns, r.alias("r"), (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"))
+    return out.select(*columns, r.alias("r"), (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"))
 
 
 def run_pieces(trades: DataFrame, side: str, start: str | None = None, end: str | None = None,
@@ -216,11 +226,7 @@ def _pieces(trades: DataFrame, b: str, group: Sequence[str], start, end, break_o
         F.sum("quantity").cast("long").alias("_q"),
         F.count(F.lit(1)).alias("_c"))
     # The summary reads only (id, broker, keys): Spark plans it as a narrow pass.
-    summ = df.groupBy(*seg).agg(
-        F.max("_g0").alias("_nb"),
-        F.min_by(b, "id").alias("_first"),
-        F.max_by(b, "id").alias("_last"))
-    segs = _segment_offsets(summ, keys, list(break_on), fanout, group)
+    segs = _offsets(df, b, keys, seg, break_on, fanout, group)
     return local.join(segs, seg).select(
         *group, (F.col("_g0") + F.col("_soff")).cast("long").alias("grp"), "date", "stock_symbol", b,
         "_a", "_q", "_c")
@@ -305,3 +311,21 @@ def run_detail(numbered: DataFrame, grp) -> DataFrame:
     if isinstance(grp, DataFrame):
         return numbered.join(grp.select("grp").distinct(), "grp", "left_semi")
     return numbered.filter(F.col("grp") == F.lit(int(grp)))
+
+
+def run_trades(trades: DataFrame, side: str, grp: int, start: str | None = None, end: str | None = None,
+               break_on: Sequence[str] = (), bucket_width: int = DEFAULT_BUCKET_WIDTH,
+               fanout: int | Sequence[int] = DEFAULT_FANOUT) -> DataFrame:
+    """``run_detail`` straight from trades (R-16, R-17), without numbering the
+    others: the narrow pass over (id, broker, keys) gives each segment's run numbers,
+    and only trades of the segments that hold run ``grp`` are shuffled whole."""
+    b, g = broker_col(side), F.lit(int(grp))
+    narrow, keys, seg = _segmented(trades, b, start, end, break_on, bucket_width)
+    segs = _offsets(narrow, b, keys, seg, break_on, fanout)
+    hit = segs.filter((F.col("_soff") < g) & (F.col("_soff") + F.col("_nb") >= g))
+    key_exprs, _ = _key_cols(order_prefix(break_on))
+    bucket = F.coalesce(_bucket("id", bucket_width), F.lit(0).cast("long")).alias(_B1)
+    inside = (trades_in_range(trades, start, end).select(*trades.columns, *key_exprs, bucket)
+              .join(hit.select(*seg), seg, "left_semi").select(*trades.columns))
+    df, _, _ = _segmented(inside, b, None, None, break_on, bucket_width)
+    return _numbered(df, hit, seg, trades.columns).filter(F.col("grp") == g)

@@ -63,6 +63,12 @@ def top_runs(trades: DataFrame, prices: DataFrame, side: str, start: str | None,
     return out
 
 
+def with_position(top: DataFrame, side: str, all_symbols: bool) -> DataFrame:
+    """The rows of ``top_runs`` (at most its ``n`` and their price rows) with their
+    place ``pos`` in the report."""
+    return top.select("*", F.row_number().over(Window.orderBy(*report_order(side, all_symbols))).alias("pos"))
+
+
 def sorted_small(df: DataFrame, order: list) -> DataFrame:
     """Total order for a result bounded by ``n`` rows: one partition sorted in
     place (a range-partitioned ``orderBy`` would first run a sampling job)."""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators import compare as cmp
 from ..operators import runs
-from ..operators.top_runs import top_runs, top_runs_sides
+from ..operators.top_runs import top_runs, top_runs_sides, with_position
 from ..schema import broker_col
 from ..sources import fixtures as fx
 from . import oracle as O
@@ -158,6 +158,30 @@ def _register_side(side: str) -> None:
                          "best AS (SELECT grp FROM run_rows ORDER BY cuml DESC NULLS LAST, grp LIMIT 1)")
              + f"SELECT {TRADE_COLS}, r, grp FROM numbered WHERE grp IN (SELECT grp FROM best)")(detail)
 
+    def one_run(spark, sf):
+        # The same run read by segments; only its number comes to the driver.
+        trades = f1_trades(spark, sf)
+        best = (runs.run_summary(trades, side, START, END)
+                .orderBy(F.col("cuml").desc_nulls_last(), "grp").select("grp").first())
+        return as_output(runs.run_trades(trades, side, best.grp if best else 0, START, END, bucket_width=1000))
+
+    register(f"run_trades_{side}", _SQL[f"run_detail_{side}"])(one_run)
+
+    place = f"row_number() OVER (ORDER BY {{}}date NULLS LAST, {b} DESC NULLS FIRST, cuml DESC NULLS FIRST, grp)"
+
+    def placed_symbol(spark, sf):
+        return with_position(top_symbol(spark, sf), side, False)
+
+    register(f"report_order_symbol_{side}", _SQL[f"top_runs_symbol_{side}"].replace(
+        "SELECT * FROM largest", f"SELECT *, CAST({place.format('')} AS INTEGER) AS pos FROM largest"))(placed_symbol)
+
+    def placed_all(spark, sf):
+        return with_position(top_all(spark, sf), side, True)
+
+    register(f"report_order_all_{side}", _SQL[f"top_runs_all_{side}"].replace(
+        "SELECT * FROM largest",
+        f"SELECT *, CAST({place.format('stock_symbol NULLS LAST, ')} AS INTEGER) AS pos FROM largest"))(placed_all)
+
     def strict(spark, sf):
         return top_runs(f1_trades(spark, sf), f1_prices(spark, sf), side, START, END, N_ALL,
                         break_on=("stock_symbol", "date"))

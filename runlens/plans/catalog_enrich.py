@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import enrich
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.snapshot import read_snapshot, write_snapshot_lines
+from ..sources.snapshot import read_snapshot, snapshot_parts, write_snapshot_lines
 from . import oracle as O
 from .catalog import F1, P1_ALL, as_output, f1_prices_all, f1_trades, register
 
@@ -65,6 +65,37 @@ def q_read_snapshot(spark, sf):
         F.date_format("lastUpdatedTime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_updated"))
 
 
+@register("read_snapshot_prices", O.with_ctes(SNAPSHOT_F5) + """
+SELECT id, CAST(p_partkey AS BIGINT) AS security_id, round(p_retailprice, 4) AS open_price,
+       round(p_retailprice * 1.02, 4) AS high_price, round(p_retailprice * 0.98, 4) AS low_price,
+       round(p_retailprice * 1.01, 4) AS close_price, CAST(p_size * 25 AS BIGINT) AS traded_quantity,
+       round(p_retailprice * p_size * 25, 4) AS traded_value, round(p_retailprice * 1.5, 4) AS year_high,
+       round(p_retailprice * 0.5, 4) AS year_low, round(p_retailprice * 1.01, 4) AS last_price,
+       round(p_retailprice, 4) AS average_price
+FROM snap""")
+def q_read_snapshot_prices(spark, sf):
+    names = {"openPrice": "open_price", "highPrice": "high_price", "lowPrice": "low_price", "closePrice": "close_price",
+             "totalTradedQuantity": "traded_quantity", "totalTradedValue": "traded_value",
+             "fiftyTwoWeekHigh": "year_high", "fiftyTwoWeekLow": "year_low", "lastUpdatedPrice": "last_price",
+             "averageTradedPrice": "average_price"}
+    s = _snapshot(spark, sf)
+    return as_output(s.select("id", F.col("securityId").alias("security_id"),
+                              *[F.col(k).alias(v) for k, v in names.items()]))
+
+
+@register("snapshot_malformed", O.with_ctes(SNAPSHOT_F5) + "SELECT id, symbol, p_size = 3 AS bad FROM snap")
+def q_snapshot_malformed(spark, sf):
+    """Records of size-3 parts lose their closing brace; both parts come back."""
+    path = scratch_path(spark, "snapshot-bad")
+    lines = fx.snapshot_json_lines(fx.table(spark, sf, "part"))
+    cut = F.when(F.contains("value", F.lit('"totalTrades": 3,')), F.expr("left(value, length(value) - 1)"))
+    write_snapshot_lines(lines.select(F.coalesce(cut, "value").alias("value")), path)
+    good, bad = snapshot_parts(spark, path)
+    return good.select("id", "symbol", F.lit(False).alias("bad")).unionByName(bad.select(
+        F.regexp_extract("value", r'"id": (\d+)', 1).cast("bigint").alias("id"),
+        F.regexp_extract("value", r'"symbol": "([^"]*)"', 1).alias("symbol"), F.lit(True).alias("bad")))
+
+
 @register("symbol_lookup", O.with_ctes(F1, P1_ALL, COMPANIES_F4) + """
 , firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
 SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,
@@ -95,6 +126,20 @@ def q_known_symbols(spark, sf):
     return enrich.flag_known(snap.select("id", "symbol"), comp)
 
 
+def _existing(test):
+    def run(spark, sf):
+        snap = _snapshot(spark, sf).select("id", "symbol")
+        return test(snap, fx.companies_from_parts(fx.table(spark, sf, "part"))).select("id", "symbol")
+    return run
+
+
+for _name, _test, _sql in (("known_only", enrich.known_symbols, "EXISTS"),
+                           ("unknown_only", enrich.unknown_symbols, "NOT EXISTS")):
+    register(_name, O.with_ctes(SNAPSHOT_F5, COMPANIES_PARTS) + f"""
+SELECT s.id, s.symbol FROM snap s WHERE {_sql} (SELECT 1 FROM comp c WHERE c.stock_symbol = s.symbol)""")(
+        _existing(_test))
+
+
 @register("backfill_companies", O.with_ctes(SNAPSHOT_F5, COMPANIES_PARTS) + """
 , firsts AS (SELECT symbol, min(id) AS sid, arg_min(security_name, id) AS name FROM snap GROUP BY symbol),
 missing AS (SELECT * FROM firsts f WHERE NOT EXISTS (SELECT 1 FROM comp c WHERE c.stock_symbol = f.symbol)),

@@ -17,7 +17,7 @@ from ..sources import pages as P
 from ..sources import store
 from ..streaming.pages_stream import read_streamed_trades, start_page_stream
 from . import oracle as O
-from .catalog import END, F1, N_ALL, P1_ALL, START, COMPARE_ALL_SQL, as_output, f1_prices, f1_prices_all, f1_trades, register
+from .catalog import END, F1, N_ALL, P1_ALL, START, SYMBOL, COMPARE_ALL_SQL, as_output, f1_prices, f1_prices_all, f1_trades, register
 from .catalog_enrich import COMPANIES_F4, COMPANIES_PARTS
 
 PAGE_SIZE = 100          # trades per page in the fixtures (the exchange serves up to 10,000)
@@ -147,6 +147,26 @@ def q_missing_pages_no_pager(spark, sf):
     return P.missing_pages(landed, P.page_count(landed))
 
 
+@register("missing_pages_zero", SQL_PAGED + f"SELECT DISTINCT date, {LOST_PAGE} AS page_no FROM paged2 "
+          f"WHERE pages >= {LOST_PAGE} AND date <> '{DELETED_DAY}'")
+def q_missing_pages_zero(spark, sf):
+    """One day's pager reports 0 pages: nothing of it is missing."""
+    none = F.regexp_replace("html", r'(<div class="pager"><a href="#">\d+/)\d+', "$10")   # group 1, then 0
+    pages = trade_pages(spark, sf).filter(F.col("page_no") != LOST_PAGE)
+    landed = pages.withColumn("html", F.when(F.col("date") == DELETED_DAY, none).otherwise(F.col("html")))
+    return P.missing_pages(landed, P.page_count(landed))
+
+
+@register("create_table", LOADED_SQL)
+def q_create_table(spark, sf):
+    """An empty table, then an append; making it again leaves it as it is."""
+    path = scratch_path(spark, "trades-made")
+    store.create_table(spark, path, "trades")
+    store.append_days(_good_pages(trade_pages(spark, sf)), path, "trades")
+    store.create_table(spark, path, "trades")
+    return as_output(store.read_table(spark, path, "trades"))
+
+
 @register("price_page_date", O.with_ctes(F1, P1_ALL) + "SELECT DISTINCT date FROM prices")
 def q_price_page_date(spark, sf):
     pages = P.render_price_pages(f1_prices_all(spark, sf)).withColumn("date", F.lit(None).cast("string"))
@@ -172,6 +192,18 @@ def q_stream_load_trades(spark, sf):
     return as_output(read_streamed_trades(spark, table))
 
 
+@register("stream_relanded", LOADED_SQL)
+def q_stream_relanded(spark, sf):
+    """Pages that land again in a later batch count once."""
+    landing = scratch_path(spark, "landing-again")
+    pages = trade_pages(spark, sf)
+    at = [scratch_path(spark, f"stream-again-{n}") for n in ("trades", "bad", "ckpt")]
+    for rows in (pages, pages.filter(F.col("page_no") == 1)):
+        rows.write.mode("append").parquet(landing)
+        start_page_stream(spark, landing, *at, available_now=True).awaitTermination()
+    return as_output(read_streamed_trades(spark, at[0]))
+
+
 PRICE_COLS = ("max_price", "min_price", "closing_price", "traded_shares", "amount", "previous_price", "difference")
 
 
@@ -198,6 +230,15 @@ def q_load_prices(spark, sf):
                                 "previous_price", "difference", "pc_change"))
 
 
+@register("load_prices_quarantine", O.with_ctes(F1, P1_ALL) + f"""
+SELECT date, stock_name, stock_symbol = '{SYMBOL}' AS bad FROM prices""")
+def q_load_prices_quarantine(spark, sf):
+    """Rows of one security have no number of trades; both parts come back."""
+    known = F.when(F.col("stock_symbol") != SYMBOL, F.col("num_trnx"))
+    pages = P.render_price_pages(f1_prices_all(spark, sf).withColumn("num_trnx", known))
+    return I.parse_price_pages(pages).select("date", "stock_name", "bad")
+
+
 COMPANY_SQL = O.with_ctes(COMPANIES_PARTS.replace(" WHERE p_size >= 10", "")) + "SELECT id, stock_name, stock_symbol, sector FROM comp"
 
 
@@ -215,6 +256,15 @@ def q_parse_company_pages(spark, sf):
     return _parsed_companies(_company_pages(spark, sf))
 
 
+@register("company_names_messy", COMPANY_SQL)
+def q_company_names_messy(spark, sf):
+    """Names with numeric entities, between carriage returns and tabs."""
+    companies = fx.companies_from_parts(fx.table(spark, sf, "part"), 0)
+    coded = companies.withColumn("stock_name", F.replace("stock_name", F.lit(" "), F.lit("&#32;")))
+    pages = P.render_company_pages(coded, "2024-02-15")
+    return _parsed_companies(pages.withColumn("html", F.replace("html", F.lit("\n  "), F.lit("\r\n\t"))))
+
+
 @register("refresh_companies", COMPANY_SQL)
 def q_refresh_companies(spark, sf):
     path = scratch_path(spark, "companies")

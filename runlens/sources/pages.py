@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Markup the extractors look for.
@@ -194,14 +194,16 @@ def render_trade_pages(trades: DataFrame, page_size: int = 500, malformed: bool
     return _pages_from_rows(rows, block, F.col("id"), TRADE_TABLE_CLASS, TRADE_ROW_SLICE, 8, "floorsheet/")
 
 
-def render_price_pages(prices: DataFrame, blocks: int = 1) -> DataFrame:
-    """``blocks`` price pages per date, securities dealt by name (the exchange
-    lists 300 a page)."""
+def render_price_pages(prices: DataFrame, page_size: int = 300) -> DataFrame:
+    """price pages of ``page_size`` securities by name."""
     cells = [F.lit(0), F.col("stock_name"), F.col("num_trnx"), F.col("max_price"), F.col("min_price"),
              F.col("closing_price"), F.col("traded_shares"), F.col("amount"), F.col("previous_price"),
              F.col("difference")]
-    rows = prices.select("date", "stock_name", _tr(cells).alias("_html"))
-    return _pages_from_rows(rows, F.pmod(F.xxhash64("stock_name"), F.lit(int(blocks))), F.col("stock_name"), PRICE_TABLE_CLASS, PRICE_ROW_SLICE, 10,
+    # One row per security of a date: bounded by the listed securities.
+    place = F.row_number().over(Window.partitionBy("date").orderBy("stock_name")) - F.lit(1)
+    rows = prices.select("date", "stock_name", _tr(cells).alias("_html"),
+                         F.floor(place / F.lit(int(page_size))).alias("_page"))
+    return _pages_from_rows(rows, F.col("_page"), F.col("stock_name"), PRICE_TABLE_CLASS, PRICE_ROW_SLICE, 10,
                             "todays_price/")
 
 

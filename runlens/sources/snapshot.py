@@ -7,15 +7,32 @@ Accepts JSON lines (one object per line, splittable) or, with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import SNAPSHOT
 
+_RAW = "_malformed"
+
+
+def _read(spark: SparkSession, path: str, multiline: bool, schema: T.StructType, mode: str) -> DataFrame:
+    return (spark.read.schema(schema).option("multiLine", str(bool(multiline)).lower())
+            .option("mode", mode).option("columnNameOfCorruptRecord", _RAW).json(path))
+
 
 def read_snapshot(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    return (spark.read.schema(SNAPSHOT)
-            .option("multiLine", str(bool(multiline)).lower())
-            .option("mode", "PERMISSIVE")
-            .json(path))
+    """All records; a malformed one fails the read (see ``snapshot_parts``)."""
+    return _read(spark, path, multiline, SNAPSHOT, "FAILFAST")
+
+
+def snapshot_parts(spark: SparkSession, path: str, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, texts of malformed ones as ``value``): nothing is lost and no
+    record comes back with NULLs for what could not be read."""
+    schema = T.StructType([*SNAPSHOT.fields, T.StructField(_RAW, T.StringType(), True)])
+    rows = _read(spark, path, multiline, schema, "PERMISSIVE")
+    # The whole schema stays read beside the raw text: a read of that column alone is refused.
+    bad = rows.select(F.when(F.col("id").isNull() | F.col("id").isNotNull(), F.col(_RAW)).alias("value"))
+    return rows.filter(F.col(_RAW).isNull()).drop(_RAW), bad.filter(F.col("value").isNotNull())
 
 
 def write_snapshot_lines(lines: DataFrame, path: str) -> str:

@@ -32,6 +32,18 @@ def conform(df: DataFrame, target: str) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def create_table(spark: SparkSession, path: str, target: str) -> bool:
+    """I-10: an empty table of the target's schema, for later appends; a table that
+    is there stays as it is.  Returns whether it was made."""
+    schema = _check_target(target)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    out = spark.createDataFrame([], schema).write
+    (out.partitionBy("date") if "date" in schema.fieldNames() else out).parquet(path)
+    return True
+
+
 # Rows per written file: keeps files near a few hundred MB at trade-row widths.
 MAX_RECORDS_PER_FILE = 5_000_000
 

@@ -15,7 +15,7 @@ from runlens.schema import PAGES, TRADES
 from runlens.session import scratch_path
 from runlens.sources import pages as P
 from runlens.sources import store
-from runlens.sources.snapshot import read_snapshot
+from runlens.sources.snapshot import read_snapshot, snapshot_parts
 from runlens.streaming.pages_stream import read_streamed_trades, start_page_stream
 
 
@@ -225,3 +225,36 @@ def test_checkpoint_folder_is_required_off_local_masters(monkeypatch, spark):
     fake = types.SimpleNamespace(sparkContext=sc, conf=types.SimpleNamespace(get=lambda *a: None))
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(fake)
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_malformed_snapshot_records_come_back(spark, tmp_path, multiline):
+    f = os.path.join(tmp_path, "snap.json")
+    with open(f, "w") as fh:
+        fh.write('{"id": 1, "symbol": "A"}\n{"id": 2, "symbol": \n{"id": 3, "symbol": "C"}\n' if not multiline
+                 else '[{"id": 1, "symbol": }]')
+    good, bad = snapshot_parts(spark, f, multiline)
+    assert sorted(r.id for r in good.collect()) == ([] if multiline else [1, 3])
+    assert len(bad.collect()) == 1
+    with pytest.raises(Exception):
+        read_snapshot(spark, f, multiline).collect()
+
+
+def test_price_pages_of_many_securities(spark):
+    prices = spark.range(23).select(
+        F.lit("2024-01-01").alias("date"), F.format_string("S%02d LTD", "id").alias("stock_name"),
+        F.lit("S").alias("stock_symbol"), F.col("id").alias("num_trnx"),
+        *[F.lit(1).cast("decimal(18,2)").alias(c) for c in ("max_price", "min_price", "closing_price", "traded_shares",
+                                                            "amount", "previous_price", "difference")])
+    pages = P.render_price_pages(prices, 10)
+    assert sorted(r.page_no for r in pages.collect()) == [1, 2, 3]
+    good, bad = I.split_bad(I.parse_price_pages(pages))
+    assert good.count() == 23 and bad.count() == 0
+
+
+def test_made_table_is_empty_and_stays(spark):
+    for target in ("trades", "prices", "companies"):
+        path = scratch_path(spark, f"made-{target}")
+        assert store.create_table(spark, path, target) and not store.create_table(spark, path, target)
+        table = store.read_table(spark, path, target)
+        assert table.count() == 0 and table.columns == store.TARGETS[target].fieldNames()

@@ -158,3 +158,19 @@ def test_stacked_sides_equal_one_side_at_a_time(spark, seed, n, width, fanout, m
         got = sorted(((r.grp, r.date, r.stock_symbol, r.broker, r.cuml, r.cumq, r.trnxs) for r in both
                       if r.side == side), key=key)
         assert got == want
+
+
+@pytest.mark.parametrize("mode", [(), ("stock_symbol", "date")], ids=["global", "strict"])
+def test_run_trades_equals_the_numbered_rows(spark, mode):
+    """Every run, read by its segments: NULL symbols and brokers, runs over many
+    segments, runs across symbols."""
+    r = random.Random(11)
+    rows = [(r.choice(["A", "AB", "B", None]), r.choice(["1", "1", "1", "2", None]), r.choice(["2024-01-01", "2024-01-02"]))
+            for _ in range(80)]
+    trades = _trades(spark, rows)
+    want = {}
+    for x in runs.with_run_ids_naive(trades, "buy", break_on=mode).collect():
+        want.setdefault(x.grp, []).append(tuple(x))
+    for grp in [*sorted(want, key=lambda g: -len(want[g]))[:5], min(want), max(want), 0, max(want) + 1]:
+        got = runs.run_trades(trades, "buy", grp, break_on=mode, bucket_width=4, fanout=(2, 2))
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.get(grp, [])))
