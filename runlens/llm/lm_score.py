@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from .common import byte_list, flat_bytes, id_remainder, materialize, slices, text_blocks
 
 #: Bytes of the deepest context; a gram has one more and fits a long.
-DEPTH = 3
+DEPTH = 4
 BLOCK_BYTES = 16 << 20
 #: Grams of a shard, on average.
 SHARD_GRAMS = 1 << 17
@@ -253,12 +253,43 @@ def _stat_rows(block: int, token: list, gram, n) -> pa.RecordBatch:
          pa.array(n, pa.int64())], ["block", "token", "gram", "n"])
 
 
-def text_scores(raw: np.ndarray, offsets: np.ndarray, grams: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """log10 probability of each text, from the ``values`` of sorted ``grams``."""
+class GramTable:
+    """Values by gram: open addressing, whole arrays at a time."""
+
+    def __init__(self, grams: np.ndarray, values: np.ndarray):
+        self.bits = max(4, (3 * len(grams)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        left, at = np.arange(len(grams)), self._slots(grams)
+        while len(left):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = grams[left[free]]
+            done = self.keys[at] == grams[left]
+            self.values[at[done]] = values[left[done]]
+            left, at = left[~done], self._next(at[~done])
+
+    def _slots(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        at = self._slots(grams)
+        wrong = np.flatnonzero(self.keys[at] != grams)
+        while len(wrong):
+            if (self.keys[at[wrong]] < 0).any():
+                raise KeyError("a gram without a value")
+            at[wrong] = self._next(at[wrong])
+            wrong = wrong[self.keys[at[wrong]] != grams[wrong]]
+        return self.values[at]
+
+
+def text_scores(raw: np.ndarray, offsets: np.ndarray, table: GramTable) -> np.ndarray:
+    """log10 probability of each text; ``table`` holds every gram of theirs."""
     out = np.zeros(len(offsets) - 1)
     some = np.flatnonzero(np.diff(offsets) > 0)
     if len(some):
-        out[some] = np.add.reduceat(values[np.searchsorted(grams, byte_grams(raw, offsets))], offsets[some])
+        out[some] = np.add.reduceat(table.of(byte_grams(raw, offsets)), offsets[some])
     return out
 
 
@@ -287,8 +318,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         is_word = pc.is_valid(entries.column("token"))
         words, grams = entries.filter(is_word), entries.filter(pc.invert(is_word))
         known = dict(zip(words.column("token").to_pylist(), words.column("value").to_pylist()))
-        order = np.argsort(grams.column("gram").to_numpy())
-        grams, chance = (grams.column(c).to_numpy()[order] for c in ("gram", "value"))
+        table = GramTable(*[grams.column(c).to_numpy() for c in ("gram", "value")])
         log10 = math.log10
         value = {w: log10((c + 1) / per_token) for w, c in known.items()}
         unknown = {w for w, c in known.items() if c == 0}
@@ -301,9 +331,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             n_tokens.append(len(tokens))
             n_known.append(len(tokens) - sum(map(unknown.__contains__, tokens)) if unknown else len(tokens))
             base.append(math.fsum(map(value.__getitem__, tokens)))
-        for lo, hi in slices(column, 2 << 20):
+        for lo, hi in slices(column, 1 << 20):
             raw, offsets = flat_bytes(column.slice(lo, hi - lo))
-            part = text_scores(raw, offsets, grams, chance)
+            part = text_scores(raw, offsets, table)
             score.extend(part.tolist())
             bits.extend((-part / math.log10(2) / np.maximum(1, np.diff(offsets))).tolist())
         n = len(n_tokens)
