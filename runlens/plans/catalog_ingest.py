@@ -273,6 +273,17 @@ def q_refresh_companies(spark, sf):
     return store.read_table(spark, path, "companies")
 
 
+@register("append_companies", O.with_ctes(COMPANIES_PARTS.replace(" WHERE p_size >= 10", "")) + """
+SELECT (id // 400 - (SELECT min(id // 400) FROM comp) + 1) * 100000
+         + row_number() OVER (PARTITION BY id // 400 ORDER BY id) AS id, stock_name, stock_symbol, sector
+FROM comp""")
+def q_append_companies(spark, sf):
+    path = scratch_path(spark, "companies-append")
+    store.create_table(spark, path, "companies")
+    store.append_companies(I.split_bad(I.parse_company_pages(_company_pages(spark, sf)))[0], path)
+    return store.read_table(spark, path, "companies")
+
+
 @register("write_report", f"SELECT *, '{START}_{END}' AS period FROM ({COMPARE_ALL_SQL}) r")
 def q_write_report(spark, sf):
     report = cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), START, END, N_ALL)

@@ -89,6 +89,16 @@ def append_days(df: DataFrame, path: str, target: str = "trades") -> None:
     load_days(staged(new.unionByName(kept.select(*new.columns)), "append-all"), path, target)
 
 
+def append_companies(df: DataFrame, path: str) -> None:
+    """I-14: append listings (page_no, pos, stock_name, stock_symbol, sector) in
+    arrival order: their ids follow the table's largest by page and place, so the
+    first listing of a name stays the oldest.  The table must exist."""
+    spark = df.sparkSession
+    last = read_table(spark, path, "companies").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    place = F.col("page_no").cast("bigint") * F.lit(100_000) + F.col("pos") + F.lit(1)
+    conform(df.withColumn("id", F.lit(last) + place), "companies").write.mode("append").parquet(path)
+
+
 def refresh(df: DataFrame, path: str, target: str = "companies") -> None:
     """I-15: replace the whole table (truncate and reload), dated tables by date."""
     out = conform(df, target).write.mode("overwrite").option("partitionOverwriteMode", "static")

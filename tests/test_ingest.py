@@ -258,3 +258,16 @@ def test_made_table_is_empty_and_stays(spark):
         assert store.create_table(spark, path, target) and not store.create_table(spark, path, target)
         table = store.read_table(spark, path, target)
         assert table.count() == 0 and table.columns == store.TARGETS[target].fieldNames()
+
+
+def test_appended_companies_follow_those_there(spark):
+    path = scratch_path(spark, "append-companies")
+    store.create_table(spark, path, "companies")
+    rows = spark.createDataFrame([(1, 0, "A", "A1", "x"), (1, 1, "B", "B1", "x"), (2, 0, "C", "C1", "y")],
+                                 "page_no int, pos int, stock_name string, stock_symbol string, sector string")
+    store.append_companies(rows, path)
+    store.append_companies(rows.withColumn("stock_symbol", F.lower("stock_symbol")), path)
+    table = store.read_table(spark, path, "companies")
+    assert [r.stock_symbol for r in table.orderBy("id").collect()] == ["A1", "B1", "C1", "a1", "b1", "c1"]
+    first = enrich.first_symbol_per_name(table).collect()
+    assert {r._looked_up for r in first} == {"A1", "B1", "C1"}
