@@ -1,20 +1,26 @@
 """License scan: a positional rare-token index over licence templates.
 
-Built-in DataFrame functions only.  The index holds, for every template, its
-highest-IDF words (IDF over the template collection) with their positions.  A
-file is scanned in one pass and without a shuffle:
+Built-in DataFrame functions only.  The index holds, for every template, the
+highest-IDF words of its mandatory key phrase (IDF over the template collection)
+with their positions in the phrase.  A file is scanned in one pass and without a
+shuffle:
 
 1. its words are cut out and the positions of indexed words looked up (one hash
    set test a word);
-2. per template, the positions of its rare words, each less the word's place in
-   the template, are intersected: what is left are starts where the postings
+2. per template, the positions of its posted words, each less the word's place in
+   the key phrase, are intersected: what is left are places where the postings
    agree on the relative position;
-3. a start counts when the template's mandatory key phrase stands, word by word,
-   where the template has it;
-4. the share of the template's words found in place gives the coverage.
+3. a place counts when the key phrase stands there, word by word, whatever stands
+   around it;
+4. the share of the template's words found in place gives the coverage; words that
+   would stand before the text's first word are not found.
 
 The phrases of the base contract are templates whose key phrase is the whole
-phrase, so their places are complete.
+phrase.  The places of all templates are complete.
+
+``license_sql`` asks more of a notice: two rare words of the whole template in place
+and its start inside the text.  The results are equal where notices stand in the
+wording of their template; for other wordings the scan finds more.
 
 Defined results: NULL and empty texts have no words, no labels (empty strings),
 score 0 and NULL first/last word; repeated rows give repeated rows; every input
@@ -72,7 +78,7 @@ NOTICES = (
      "free and unencumbered software"),
 )
 
-#: Highest-IDF words of a template that the index holds.
+#: Highest-IDF words of a key phrase that the index holds.
 RARE_WORDS = 2
 #: Score of a bare base phrase; a notice scores by its coverage.
 BASE_SCORE = 0.5
@@ -88,7 +94,8 @@ class Template:
     words: tuple[str, ...]
     key: tuple[str, ...]
     key_at: int
-    rare: tuple[tuple[str, int], ...]   # (word, its place in the template)
+    rare: tuple[tuple[str, int], ...]   # (word, its place in the template), of the SQL
+    posted: tuple[tuple[str, int], ...]   # (word, its place in the key phrase)
     base: bool
 
 
@@ -101,40 +108,43 @@ def build_index(notices=NOTICES, base=BASE, rare_words: int = RARE_WORDS) -> lis
     for _, ws, _, _ in texts:
         for w in set(ws):
             df[w] = df.get(w, 0) + 1
+
+    def rarest(ws: list[str]) -> tuple[tuple[str, int], ...]:
+        first = {w: i for i, w in reversed(list(enumerate(ws)))}
+        ranked = sorted(first, key=lambda w: (-math.log(len(texts) / df[w]), first[w]))
+        return tuple((w, first[w]) for w in ranked[:rare_words])
+
     out = []
     for label, ws, key, is_base in texts:
         at = next(i for i in range(len(ws)) if ws[i:i + len(key)] == key)
-        first = {w: i for i, w in reversed(list(enumerate(ws)))}
-        ranked = sorted(first, key=lambda w: (-math.log(len(texts) / df[w]), first[w]))
-        rare = tuple((w, first[w]) for w in ranked[:rare_words])
-        out.append(Template(label, tuple(ws), tuple(key), at, rare, is_base))
+        out.append(Template(label, tuple(ws), tuple(key), at, rarest(ws), rarest(key), is_base))
     return out
 
 
-def _starts(t: Template) -> Column:
-    """Starts (from 0) where the rare words agree and the key phrase stands."""
-    def start_of(word: str, place: int) -> Column:
+def _places(t: Template) -> Column:
+    """Places (from 0) where the posted words agree and the key phrase stands."""
+    def place_of(word: str, place: int) -> Column:
         return F.transform(F.filter("__hits", lambda i: F.get("__words", i) == word), lambda i: i - place)
 
-    sides = [start_of(w, p) for w, p in t.rare]
+    sides = [place_of(w, p) for w, p in t.posted]
     both = sides[0]
     for side in sides[1:]:
         both = F.array_intersect(both, side)
 
-    def holds(s):
-        ok = s >= 0
+    def holds(p):
+        ok = p >= 0
         for k, w in enumerate(t.key):
-            ok = ok & (F.get("__words", s + (t.key_at + k)) == w)
+            ok = ok & (F.get("__words", p + k) == w)
         return F.coalesce(ok, F.lit(False))
     return F.filter(both, holds)
 
 
-def _coverage(t: Template, starts: Column) -> Column:
+def _coverage(t: Template, found: Column) -> Column:
     here = F.array(*[F.lit(w) for w in t.words])
     places = F.sequence(F.lit(0), F.lit(len(t.words) - 1))
-    return F.coalesce(F.array_max(F.transform(starts, lambda s: F.size(F.filter(
-        places, lambda k: F.coalesce(F.get("__words", s + k) == F.get(here, k), F.lit(False)))) / F.lit(len(t.words)))),
-        F.lit(0.0))
+    return F.coalesce(F.array_max(F.transform(found, lambda p: F.size(F.filter(
+        places, lambda k: F.coalesce(F.get("__words", p - t.key_at + k) == F.get(here, k), F.lit(False))))
+        / F.lit(len(t.words)))), F.lit(0.0))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -142,14 +152,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: id, n_words, n_base, first_word, last_word,
     base_labels, labels, score."""
     index = index or build_index()
-    rare = sorted({w for t in index for w, _ in t.rare})
+    posted = sorted({w for t in index for w, _ in t.posted})
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
     df = docs.select(F.col(id_col), F.array_remove(F.split(text, GAP), "").alias("__words"))
     df = df.select(id_col, "__words", F.filter(
         F.when(F.size("__words") > 0, F.sequence(F.lit(0), F.size("__words") - 1)).otherwise(
             F.array().cast("array<int>")),
-        lambda i: F.get("__words", i).isin(rare)).alias("__hits"))
-    df = df.select(id_col, "__words", *[_starts(t).alias(f"__t{k}") for k, t in enumerate(index)])
+        lambda i: F.get("__words", i).isin(posted)).alias("__hits"))
+    df = df.select(id_col, "__words", *[_places(t).alias(f"__t{k}") for k, t in enumerate(index)])
     base = [f"__t{k}" for k, t in enumerate(index) if t.base]
     places = F.concat(*base)
     labels = lambda ks: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(

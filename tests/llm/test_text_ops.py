@@ -50,6 +50,25 @@ def test_license_labels(docs):
     assert got[8].n_base == 2
 
 
+def test_license_labels_of_other_wordings(docs):
+    """The key phrase alone gives the label, also at the text's first word; the
+    template's other words only count for the score."""
+    table = [(100 + k, " ".join(t.key)) for k, t in enumerate(license_scan.build_index())]
+    table += [(200 + k, "x " * 30 + " ".join(t.key) + " y") for k, t in enumerate(license_scan.build_index())]
+    table += [(1, "Licensed under the MIT License"), (2, "apache license version 2"),
+              (3, "This program is licensed under the GNU General Public License, version 2"),
+              (4, "mit license. Released under the MIT License"), (5, "license mit"), (6, "MIT License\nCopyright")]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs(table)).collect()}
+    for k, t in enumerate(license_scan.build_index()):
+        for r in (got[100 + k], got[200 + k]):
+            assert t.label in r.labels.split(",")
+            assert r.score >= (0.5 if t.base else len(t.key) / len(t.words))
+    assert got[1].labels == got[6].labels == "mit" and got[1].score == 4 / 5 and got[6].score == 2 / 5
+    assert got[3].labels == "gpl,gpl-2.0" and got[3].score == 11 / 12
+    assert got[4].labels == "mit" and got[4].score == 1
+    assert got[2].labels == got[5].labels == "" and got[2].score == got[5].score == 0
+
+
 def test_license_scan_is_native(docs):
     plan = license_scan.scan_licenses(docs(LICENSED))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Exchange"))
