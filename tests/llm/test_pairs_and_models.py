@@ -251,6 +251,37 @@ def test_classifiers_on_odd_rows(spark, docs, odd):
     assert {r.lang_pred for r in language_id.identify(odd, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(docs, monkeypatch):
+    """More languages than a group and than one pass, the rare ones too; also one whose
+    rows have no id or one and the same."""
+    r, letters = random.Random(9), "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:02}": ["".join(r.choice(letters) for _ in range(6)) for _ in range(12)] for k in range(70)}
+    table = [(i, " ".join(r.choice(words[x]) for _ in range(25)), x)
+             for i, x in enumerate(x for k, x in enumerate(words) for _ in range(12 if k % 7 else 30))]
+    table += [(None, " ".join(r.choice(["ærø", "åsted", "øre"]) for _ in range(9)), "none") for _ in range(9)]
+    one = next(i for i in range(9000, 9999) if zlib.crc32(str(i).encode()) % 3 != 1)
+    table += [(one, " ".join(r.choice(["ĉiu", "ŝafo", "ĝojo"]) for _ in range(9)), "one") for _ in range(9)]
+    truth, frame = {t: x for _, t, x in table}, docs(table)
+    model = language_id.train_language_id(frame)
+    assert model["names"] == sorted(set(truth.values()))
+
+    def answers(model):
+        texts = frame.selectExpr("text as doc_id", "text")
+        return sorted((x.doc_id, x.lang_pred, round(x.score, 5)) for x in language_id.identify(texts, model).collect())
+
+    got = answers(model)
+    assert len(got) == len(table)
+    right = Counter(truth[t] for t, x, _ in got if x == truth[t])
+    assert set(right) == set(truth.values()) and sum(right.values()) >= 0.99 * len(table)
+    kept = sorted(x.text for x in language_id.accept_language(frame, model).collect())
+    assert len(kept) >= 0.98 * len(table)
+    monkeypatch.setattr(language_id, "PASS_LANGS", 32)
+    table_model = language_id.train_language_id(frame)
+    assert table_model.groups == 5 and answers(table_model) == got
+    passed = language_id.accept_language(frame, table_model)
+    assert sorted(x.text for x in passed.collect()) == kept and passed.columns == frame.columns
+
+
 def test_presence_kernel_ignores_piece_borders(monkeypatch):
     raw = np.frombuffer(b"the quick brown fox" * 3, np.uint8)
     offsets = np.array([0, 30, 30, len(raw)])
