@@ -212,7 +212,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
         def done():
             t, side, rep, n, vec, code, factor = (list(c) for c in zip(*held))
             v = np.frombuffer(b"".join(vec), "<f8").reshape(len(vec), -1)
-            c = np.unpackbits(np.frombuffer(b"".join(code), np.uint8).reshape(len(code), -1), axis=1).astype(bool)
+            c = np.unpackbits(np.frombuffer(b"".join(code), np.uint8).reshape(len(code), -1), axis=1,
+                              count=max(CODE_BITS, v.shape[1])).astype(bool)
             return compare_block(t[0], np.array(rep), np.array(side), np.array(n), v, c, np.array(factor),
                                  bits, tables)
         for batch in batches:

@@ -138,6 +138,16 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_wider_than_the_code(spark):
+    """300 dimensions: the code is as wide and no whole number of bytes."""
+    r = np.random.default_rng(7)
+    centres = [r.standard_normal(300) for _ in range(6)]
+    table = [(i, (centres[i % 6] + 0.05 * r.standard_normal(300)).tolist()) for i in range(60)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<float>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_duplicate_vectors(df).collect())
+    assert got == brute_vectors(table)
+
+
 def test_estimates_are_unbiased_and_bounded():
     r = np.random.default_rng(5)
     v = r.standard_normal((300, 64))
