@@ -1,14 +1,18 @@
 """Token ids of a byte-level BPE vocabulary file (``tokenizers`` JSON).
 
-The vocabulary and its split pattern are read from the file; the merging itself
-is done by ``tiktoken``, whose ranks are the file's merge order (checked when the
-file is loaded), at several times the speed of the ``tokenizers`` library.  The
-tests hold the ids against that library.
+The vocabulary is read from the file; the merging itself is done by ``tiktoken``,
+whose ranks are the file's merge order, at several times the speed of the
+``tokenizers`` library.  Loading checks that order, and that the file asks for the
+byte-level split that ``PATTERN`` states.  The tests hold the ids against that library.
+
+Runs of very many blanks are cut out before the split, whose look-ahead would
+recurse once per blank; their ids are those of the whole run.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -16,6 +20,13 @@ import numpy as np
 #: Fixed value: the split pattern of byte-level BPE vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Fixed value: the white space of the split pattern's ``\s``.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs from this length on are merged apart from the split.
+LONG_RUN = 10_000
+#: ``array`` takes texts in parts of about this length.
+PART_CHARS = 1 << 20
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in such vocabularies:
@@ -38,13 +49,52 @@ class ByteBpe:
         ids = [vocab[a + b] for a, b in pairs]
         if ids != sorted(ids):
             raise ValueError("merge order and id order differ")
+        split = spec["pre_tokenizer"] or {}
+        if (spec["normalizer"] or split.get("type") != "ByteLevel" or not split.get("use_regex")
+                or split.get("add_prefix_space")):
+            raise ValueError("the file asks for another split than the byte-level pattern")
         self.special = special
+        self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.part_end = re.compile(f"(?<![{BLANKS}])[{BLANKS}]")
+        self.long_run = re.compile(f"[{BLANKS}]{{{LONG_RUN},}}")
         self.encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
-            return self.encoding.encode(text, allowed_special="all")
-        return self.encoding.encode_ordinary(text)
+        if not any(s in text for s in self.special):
+            return self._ordinary(text)
+        ids: list[int] = []
+        for part in self.cut.split(text):
+            ids += [self.special[part]] if part in self.special else self._ordinary(part)
+        return ids
+
+    def array(self, text: str, end_id: int | None = None) -> np.ndarray:
+        """``encode`` as little-endian unsigned 32-bit ids, and the end id behind them.
+        Texts are taken in parts, so that no list holds the ids of a very long one: a
+        token never reaches from a letter, digit or sign into a blank behind it."""
+        parts, at = [], 0
+        while len(text) - at > PART_CHARS:
+            found = self.part_end.search(text, at + PART_CHARS)
+            if not found:
+                break
+            parts.append(little_endian(self.encode(text[at:found.start()])))
+            at = found.start()
+        parts.append(little_endian(self.encode(text[at:] if at else text)))
+        if end_id is not None:
+            parts.append(little_endian([end_id]))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def _ordinary(self, text: str) -> list[int]:
+        """Ids of a text without special tokens.  The split takes a run of blanks as
+        one word, but for its last blank where something follows."""
+        if len(text) < LONG_RUN:
+            return self.encoding.encode_ordinary(text)
+        ids, at = [], 0
+        for run in self.long_run.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at:run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start():stop])
+            at = stop
+        return ids + self.encoding.encode_ordinary(text[at:])
 
 
 @lru_cache(maxsize=2)

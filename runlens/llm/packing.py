@@ -18,7 +18,9 @@
    sequences of its own.
 
 Defined results: NULL counts as the empty text (one piece with the end id only);
-repeated rows are packed as often as they occur; an empty table gives no rows.
+repeated rows are packed as often as they occur; an empty table gives no rows; only
+the id and text columns are read, so other columns never clash; very long texts are
+encoded in parts and become as many pieces as they need.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import byte_bpe, little_endian
+from .byte_bpe import byte_bpe
 from .common import materialize, text_list
 
 CAPACITY = 1024
@@ -62,7 +64,7 @@ def cut_pieces(docs: DataFrame, vocab_path: str, capacity: int = CAPACITY, end_i
         for batch in batches:
             rows, cols = [], ([], [], [], [])
             for r, text in enumerate(text_list(batch.column(1))):
-                ids = little_endian([*bpe.encode(text), end_id])
+                ids = bpe.array(text, end_id)
                 start, end = 0, (len(ids) - 1) % capacity + 1
                 piece = 0
                 while start < len(ids):
