@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (embedding_dedup, exact_dedup, language_id, license_scan, lm_score, minhash, packing, quality_cnn,
-               sentencepiece_codec, toxicity_cnn)
+               sentencepiece_codec, token_output, toxicity_cnn)
 from .common import configure, documents, labels
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.score_toxicity(docs, toxicity_cnn.train_toxicity(docs, labels(spark, sf_dir)))
 
 
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.token_output(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, QueryFn]:
     def wrap(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +76,7 @@ def queries() -> dict[str, QueryFn]:
         return run
     return {f.__name__: wrap(f) for f in (
         op1_license_scan, op2_sentencepiece, op3_lm_score, op4_embedding_dedup, op5_quality, op6_minhash,
-        op7_language_id, op8_packing, op9_exact_dedup, op10_toxicity)}
+        op7_language_id, op8_packing, op9_exact_dedup, op10_toxicity, op11_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
