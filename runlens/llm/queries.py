@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (embedding_dedup, exact_dedup, language_id, license_scan, lm_score, minhash, packing, quality_cnn,
-               sentencepiece_codec, token_output, toxicity_cnn)
+               sentencepiece_codec, token_output, toxicity_cnn, whitening)
 from .common import configure, documents, labels
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,11 @@ def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def queries() -> dict[str, QueryFn]:
     def wrap(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +82,8 @@ def queries() -> dict[str, QueryFn]:
         return run
     return {f.__name__: wrap(f) for f in (
         op1_license_scan, op2_sentencepiece, op3_lm_score, op4_embedding_dedup, op5_quality, op6_minhash,
-        op7_language_id, op8_packing, op9_exact_dedup, op10_toxicity, op11_token_output)}
+        op7_language_id, op8_packing, op9_exact_dedup, op10_toxicity, op11_token_output,
+        op12_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
