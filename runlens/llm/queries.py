@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (embedding_dedup, exact_dedup, language_id, license_scan, lm_score, minhash, packing, quality_cnn,
-               sentencepiece_codec, token_output, toxicity_cnn, whitening)
+               sentencepiece_codec, spelling, token_output, toxicity_cnn, whitening)
 from .common import configure, documents, labels
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, QueryFn]:
     def wrap(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +87,7 @@ def queries() -> dict[str, QueryFn]:
     return {f.__name__: wrap(f) for f in (
         op1_license_scan, op2_sentencepiece, op3_lm_score, op4_embedding_dedup, op5_quality, op6_minhash,
         op7_language_id, op8_packing, op9_exact_dedup, op10_toxicity, op11_token_output,
-        op12_whitening)}
+        op12_whitening, op13_spelling)}
 
 
 def oracle_sql() -> dict[str, str]:
