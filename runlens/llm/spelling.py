@@ -12,9 +12,12 @@
 4. Pivots meet prefixes on the gram and its position limits: an edit behind the gram
    leaves its place and all before it, an edit before it moves it by the difference of
    lengths and leaves all behind it.  So the equality join has, besides gram, place and
-   length, a hash of the untouched side of the word.
+   length, a hash of the untouched side of the word.  Where that side is short, many
+   words share it; there the rest is cut in two, of which one part is untouched as well
+   (the first if the edit is in the second), so the key has that part too.
 5. Candidates are verified by their exact distance.  Groups are small, as the words that
-   share a key agree on the whole untouched side; the adaptive planner splits a skewed one.
+   share a key agree on at least half of their letters; the adaptive planner splits a
+   skewed one.
 6. A word's form is the near word with the largest count, if ten times its own; forms
    are followed to the root by pointer jumping (counts grow tenfold at every step, so
    chains are short).
@@ -45,6 +48,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LETTERS = "[A-Za-z\\u00C0-\\u00FF]"
 #: Sides of a word that an edit leaves untouched.
 BEHIND, BEFORE = 0, 1
+#: Untouched sides up to this length have a part of the rest in their keys.
+SHORT = 6
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = MIN_LENGTH,
@@ -110,11 +115,31 @@ def _keys(words: DataFrame, rank: dict[str, int]) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "word string, n bigint, pivot boolean, place int, end int")
 
 
-def _untouched(side: int) -> Column:
-    """Hash of the gram and all before it (an edit behind it), or all behind it."""
-    part = (F.substring(F.col("word"), F.lit(1), F.col("place") + 2) if side == BEHIND
-            else F.substring(F.col("word"), F.col("place") + 1, F.length("word")))
-    return F.xxhash64(part)
+def _key(rest_of_holder: Column) -> Column:
+    """Hash of the untouched side (the gram and all before it for an edit behind it, the
+    gram and all behind it for one before it) and, by ``half``, of none (0), the first
+    (1) or the second (2) part of the rest.  The parts are cut by the length of the
+    rest of the word that holds the gram in its prefix, which both words of a pair know."""
+    word, u, m = F.col("word"), F.col("u"), F.col("m")
+    behind = F.col("side") == BEHIND
+    untouched = F.when(behind, F.substring(word, F.lit(1), u)).otherwise(F.substring(word, m + 1, u))
+    rest = F.when(behind, F.substring(word, u + 1, m)).otherwise(F.substring(word, F.lit(1), m))
+    first = F.greatest(F.lit(1), F.floor(rest_of_holder / 2).cast("int"))
+    second = F.greatest(F.lit(0), rest_of_holder - first)
+    part = (F.when(F.col("half") == 0, F.lit("")).when(F.col("half") == 1, F.substring(rest, F.lit(1), first))
+            .otherwise(F.substring(rest, m - second + 1, second)))
+    return F.xxhash64(untouched, part, F.col("half")).alias("key")
+
+
+def _sides(keys: DataFrame) -> DataFrame:
+    """``keys`` once per side (``u``, ``m``: lengths of the untouched side and the rest)
+    and part of the rest that its keys have."""
+    size = F.length("word")
+    both = F.explode(F.array(*[F.lit(side) for side in (BEHIND, BEFORE)])).alias("side")
+    u = F.when(F.col("side") == BEHIND, F.col("place") + 2).otherwise(size - F.col("place"))
+    parts = F.when(F.col("u") <= SHORT, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    return (keys.select("word", "n", "end", "place", both).select("*", u.alias("u"))
+            .select("*", (size - F.col("u")).alias("m"), F.explode(parts).alias("half")))
 
 
 def near_words(words: DataFrame) -> DataFrame:
@@ -122,19 +147,13 @@ def near_words(words: DataFrame) -> DataFrame:
     (word, n) is read twice: pass a written table."""
     rank = {r["gram"]: k for k, r in enumerate(gram_ranks(words).orderBy("n", "gram").collect())}   # bounded
     keys = materialize(_keys(words, rank), "spelling-keys")
-    other = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.lit(d).alias("d"))
-                                for side in (BEHIND, BEFORE) for d in (-1, 0, 1)]))
-    # A pivot of a word looks for prefixes of words of each length it may have.  In the
-    # prefix's own terms the gram stands at the same place from the untouched end.
-    size = F.length("word")
-    looks = (keys.filter("pivot").select("*", other.alias("o")).select(
-        F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("end").alias("end_a"),
-        F.col("o.side").alias("side"), (size + F.col("o.d")).alias("len"),
-        F.when(F.col("o.side") == BEHIND, _untouched(BEHIND)).otherwise(_untouched(BEFORE)).alias("key")))
-    holds = (keys.filter(~F.col("pivot")).select("*", F.explode(F.array(F.lit(BEHIND), F.lit(BEFORE))).alias("side"))
-             .select(F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("end").alias("end_b"), "side",
-                     size.alias("len"),
-                     F.when(F.col("side") == BEHIND, _untouched(BEHIND)).otherwise(_untouched(BEFORE)).alias("key")))
+    # A pivot of a word looks for prefixes of words of each length it may have.
+    looks = (_sides(keys.filter("pivot")).select("*", F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)])).alias("d"))
+             .select(F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("end").alias("end_a"), "side",
+                     (F.length("word") + F.col("d")).alias("len"), _key(F.col("m") + F.col("d"))))
+    holds = _sides(keys.filter(~F.col("pivot"))).select(
+        F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("end").alias("end_b"), "side",
+        F.length("word").alias("len"), _key(F.col("m")))
     found = (looks.join(holds, ["side", "len", "key"])
              .filter((F.col("a") != F.col("b")) & (F.col("end_a") <= F.col("end_b")))
              .filter(F.levenshtein("a", "b", 1) == 1).select("a", "b", "n_a", "n_b"))
