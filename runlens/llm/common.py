@@ -55,11 +55,11 @@ def id_remainder(col: str | Column, mod: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the
     lineage with a table every executor (and a replacement of one) can read."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -24,7 +24,7 @@ STEP = 16
 #: A pair is replaced if it stands this often: a rule takes eight bytes.
 LEAST = 12
 #: Rounds at the lowest threshold go on while they shorten by one part in so many.
-GAIN = 16
+GAIN = 8
 #: Symbols between two stored positions.
 SAMPLE = 1024
 #: Symbols of two bytes as long as they are fewer than this, else of four.

@@ -46,32 +46,36 @@ RANGE_IDS = 1 << 22
 
 INDEX = "ids array<{0}>, lengths array<int>, before array<bigint>, pieces array<int>"
 RECORD = "range int, shard int, n_ids bigint, " + INDEX + ", grammar binary"
-PIECE = "id {0}, crc bigint, piece int, pieces int, before bigint, tokens binary"
+PIECE = "id {0}, crc bigint, piece int, pieces int, before bigint, n int, width int, tokens binary"
 READ = "range int, shard int, doc_id {0}, at bigint, n_tokens bigint, before bigint, pieces int, ids_crc32 bigint"
 
 
 def token_pieces(docs: DataFrame, vocab_path: str, end_id: int = END_ID, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Pieces of ids: id, crc (of the whole document's ids), piece, pieces, before
-    (ids of the document before the piece), tokens (little-endian)."""
-    names = ["id", "crc", "piece", "pieces", "before", "tokens"]
+    (ids of the document before the piece), n (its ids), width (bytes an id: two where
+    the vocabulary allows it), tokens (little-endian)."""
+    names = ["id", "crc", "piece", "pieces", "before", "n", "width", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(vocab_path)
+        width = 2 if max(bpe.largest, end_id) < 1 << 16 else 4
         for batch in batches:
-            rows, cols = [], ([], [], [], [], [])
+            rows, cols = [], ([], [], [], [], [], [])
             for r, text in enumerate(text_list(batch.column(1))):
                 ids = bpe.array(text, end_id)
                 crc, pieces = zlib.crc32(ids), -(-len(ids) // PIECE_IDS)
                 for k in range(pieces):
                     rows.append(r)
                     part = ids[k * PIECE_IDS:(k + 1) * PIECE_IDS]
-                    for col, v in zip(cols, (crc, k, pieces, k * PIECE_IDS, part.tobytes())):
+                    tokens = part.astype(f"<u{width}").tobytes()
+                    for col, v in zip(cols, (crc, k, pieces, k * PIECE_IDS, len(part), tokens)):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(cols[0], pa.int64()),
                  pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()),
-                 pa.array(cols[4], pa.binary())], names)
+                 pa.array(cols[4], pa.int32()), pa.repeat(pa.scalar(width, pa.int32()), len(rows)),
+                 pa.array(cols[5], pa.binary())], names)
 
     id_type = docs.schema[id_col].dataType.simpleString()
     # The number of a row is written with it: the same for all its pieces.
@@ -83,10 +87,10 @@ def token_pieces(docs: DataFrame, vocab_path: str, end_id: int = END_ID, id_col:
 def write_shards(docs: DataFrame, vocab_path: str, path: str, end_id: int = END_ID, id_col: str = "doc_id",
                  text_col: str = "text", shard_ids: int = SHARD_IDS, range_ids: int = RANGE_IDS) -> None:
     """Writes the shard records of ``docs`` as Parquet files below ``path``."""
-    pieces = materialize(token_pieces(docs, vocab_path, end_id, id_col, text_col), "token-pieces")
-    total = pieces.agg(F.sum(F.octet_length("tokens")).alias("n")).first()["n"] or 0
+    pieces = materialize(token_pieces(docs, vocab_path, end_id, id_col, text_col), "token-pieces", "zstd")
+    total = pieces.agg(F.sum("n").alias("n")).first()["n"] or 0
     order = ["id", "crc", "row", "piece"]
-    ranges = max(1, -(-int(total) // (4 * range_ids)))
+    ranges = max(1, -(-int(total) // range_ids))
     id_type = pieces.schema["id"].dataType
     record = RECORD.format(id_type.simpleString())
 
@@ -94,34 +98,32 @@ def write_shards(docs: DataFrame, vocab_path: str, path: str, end_id: int = END_
         at, shard, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def close() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            data = table.column("tokens").combine_chunks()
-            lengths = [len(x) // 4 for x in data.to_pylist()]
-            ids = np.frombuffer(b"".join(data.to_pylist()), dtype="<u4")
-            index = [table.column("id"), pa.array(lengths, pa.int32()), table.column("before"), table.column("pieces")]
-            whole = [pa.ListArray.from_arrays([0, len(lengths)], c.combine_chunks() if isinstance(c, pa.ChunkedArray)
-                                              else c) for c in index]
+            table = pa.Table.from_batches(held).combine_chunks()
+            lengths = table.column("n")
+            ids = np.concatenate([np.frombuffer(x.as_py(), dtype=f"<u{w.as_py()}") for x, w in
+                                  zip(table.column("tokens"), table.column("width"))])
+            index = [pa.ListArray.from_arrays([0, len(lengths)], table.column(c).combine_chunks())
+                     for c in ("id", "n", "before", "pieces")]
             return pa.RecordBatch.from_arrays(
-                [pa.array([at], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), *whole,
+                [pa.array([at], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), *index,
                  pa.array([repair.encode(ids)], pa.binary())],
                 ["range", "shard", "n_ids", "ids", "lengths", "before", "pieces", "grammar"])
 
         for batch in batches:
-            ends = np.cumsum([len(x.as_py()) // 4 for x in batch.column("tokens")])
             start = 0
-            for k, end in enumerate(ends):
-                if size + end - (ends[start - 1] if start else 0) >= shard_ids:
+            for k, n in enumerate(batch.column("n").to_pylist()):
+                size += n
+                if size >= shard_ids:
                     held.append(batch.slice(start, k + 1 - start))
                     yield close()
                     shard, held, size, start = shard + 1, [], 0, k + 1
-            if start < len(ends):
+            if start < batch.num_rows:
                 held.append(batch.slice(start))
-                size += int(ends[-1] - (ends[start - 1] if start else 0))
         if held:
             yield close()
 
     (pieces.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-     .select("id", "before", "pieces", "tokens").mapInArrow(write, record)
+     .select("id", "before", "pieces", "n", "width", "tokens").mapInArrow(write, record)
      .write.option("compression", "zstd").parquet(path))
     drop_materialized(pieces)
 
