@@ -174,14 +174,20 @@ def read_documents(shards: DataFrame) -> DataFrame:
         first = pdf.iloc[:1]
         return first.assign(n_tokens=pdf["n_tokens"].sum(), ids_crc32=crc)
 
-    read = shards.select("range", "shard", "ids", "lengths", "before", "pieces", "grammar").mapInArrow(
-        decode, READ.format(id_type))
-    placed = read.join(_starts(shards), ["range", "shard"]).select(
-        "doc_id", (F.col("first") + F.col("at") - F.col("before")).alias("start"), "n_tokens", "ids_crc32",
-        "before", "pieces")
-    many = placed.filter("pieces > 1").groupBy("start").applyInPandas(joined, placed.schema)
+    firsts = _starts(shards)
+
+    def placed(records: DataFrame) -> DataFrame:
+        read = records.select("range", "shard", "ids", "lengths", "before", "pieces", "grammar").mapInArrow(
+            decode, READ.format(id_type))
+        return read.join(firsts, ["range", "shard"]).select(
+            "doc_id", (F.col("first") + F.col("at") - F.col("before")).alias("start"), "n_tokens", "ids_crc32",
+            "before", "pieces")
+
+    # Records without a part of a long document are decoded once, the others twice.
+    parts = placed(shards.filter(F.exists("pieces", lambda p: p > 1))).filter("pieces > 1")
+    whole = placed(shards).filter("pieces = 1")
     columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
-    return placed.filter("pieces = 1").select(*columns).union(many.select(*columns))
+    return whole.select(*columns).union(parts.groupBy("start").applyInPandas(joined, parts.schema).select(*columns))
 
 
 def fetch_ids(shards: DataFrame, doc_ids: list) -> DataFrame:
