@@ -5,13 +5,15 @@
     python -m runlens drill         --trades T --side buy|sell --start D --end D --grp G --out DIR
     python -m runlens load-trades   --pages DIR --table DIR [--quarantine DIR]
     python -m runlens load-prices   --pages DIR --companies DIR --table DIR
-    python -m runlens load-companies --pages DIR --table DIR
+    python -m runlens load-companies --pages DIR --table DIR [--append]
     python -m runlens backfill      --companies DIR --snapshot FILE [--multiline] [--sectors CSV] --table DIR
     python -m runlens delete-day    --table DIR --date D
 
-Tables are the Parquet folders written by ``runlens.sources.store``; pages are
-Parquet rows ``(date, page_no, url, html)``.  Reports are CSV with a header,
-one folder per period.
+Tables are published folders (``runlens.sources.publish``): a load that dies leaves
+them as they were; plain Parquet folders are read too and become published ones at their
+first load.  Pages are Parquet rows ``(date, page_no, url, html)``; those without a date
+take the one they show, and of a page that landed twice the newest file's counts.
+Reports are CSV with a header, one folder per period.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
 from .operators import compare, ingest, runs
 from .operators.enrich import backfill_companies
 from .schema import PAGES
 from .session import build_session
-from .sources import store
+from .sources import publish, store
 from .sources.snapshot import snapshot_parts
 
 
@@ -59,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("load-companies")
     c.add_argument("--pages", required=True)
     c.add_argument("--table", required=True)
+    c.add_argument("--append", action="store_true", help="keep the listings of earlier loads")
     for s in (t, pp, c):
         s.add_argument("--quarantine", default=None, help="folder of the parsed rows (default: TABLE.quarantine)")
     b = sub.add_parser("backfill")
@@ -74,22 +79,32 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _split(args, parsed):
-    """Parses once into the quarantine folder (``bad=true`` and ``bad=false``
-    parts), reports the counts and returns the good rows."""
+    """Parses once into a folder of this load in the quarantine, reports the counts and
+    returns the good rows."""
     path = args.quarantine or args.table.rstrip("/") + ".quarantine"
-    parsed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bad").parquet(path)
-    stored = parsed.sparkSession.read.schema(parsed.schema).parquet(path).select(*parsed.columns)
-    good, bad = ingest.split_bad(stored)
+    good, bad = store.keep_parsed(parsed, path)
     print(f"{args.cmd}: {good.count()} rows good, {bad.count()} quarantined in {path}")
     return good
 
 
+def _last_id(table) -> int:
+    return table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     own = spark is None
     spark = spark or build_session(args.master)
     read = lambda path, target: store.read_table(spark, path, target)
-    pages = (lambda path: spark.read.schema(PAGES).parquet(path))
+
+    def pages(path):
+        landed = F.col("_metadata.file_modification_time").alias("landed")
+        return ingest.one_landing(ingest.dated(spark.read.schema(PAGES).parquet(path).select("*", landed)))
+
+    def last_id(target):
+        there = publish.exists(spark, args.table)
+        return _last_id(read(args.table, target)) if there else 0
+
     if args.cmd in ("report-all", "report-symbol"):
         trades, prices = read(args.trades, "trades"), read(args.prices, "prices")
         if args.cmd == "report-all":
@@ -101,14 +116,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         detail = runs.run_trades(read(args.trades, "trades"), args.side, args.grp, args.start, args.end)
         store.write_report(detail, args.out, f"{args.start}_{args.end}_{args.grp}")
     elif args.cmd == "load-trades":
-        good = _split(args, ingest.parse_trade_pages(ingest.one_landing(pages(args.pages))))
-        store.append_days(ingest.with_trade_ids(good), args.table, "trades")
+        good = _split(args, ingest.parse_trade_pages(pages(args.pages)))
+        publish.publish_append(ingest.with_trade_ids(good), args.table, "trades")
     elif args.cmd == "load-prices":
-        good = _split(args, ingest.parse_price_pages(ingest.one_landing(pages(args.pages))))
-        store.append_days(ingest.prices_table(good, read(args.companies, "companies")), args.table, "prices")
+        good = ingest.arrival_ids(_split(args, ingest.parse_price_pages(pages(args.pages))), last_id("price_list"))
+        rows = ingest.prices_table(good, read(args.companies, "companies"))
+        publish.publish_append(rows, args.table, "price_list")
     elif args.cmd == "load-companies":
-        good = _split(args, ingest.parse_company_pages(ingest.one_landing(pages(args.pages))))
-        store.refresh(good.withColumnRenamed("no", "id"), args.table, "companies")
+        # ids go on from the table's largest, also where the load replaces all rows
+        good = ingest.arrival_ids(_split(args, ingest.parse_company_pages(pages(args.pages))), last_id("companies"))
+        (publish.publish_append if args.append else publish.publish_table)(good, args.table, "companies")
     elif args.cmd == "backfill":
         companies = read(args.companies, "companies")
         sectors = (spark.read.option("header", True).schema("stock_symbol string, sector string").csv(args.sectors)
@@ -118,12 +135,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         malformed.write.mode("overwrite").text(lost)
         print(f"backfill: {spark.read.text(lost).count()} malformed records in {lost}")
         out = backfill_companies(companies, records, sectors)
-        # The directory is read above; write the new version beside it first.
-        tmp = args.table.rstrip("/") + ".next"
-        store.refresh(out, tmp, "companies")
-        store.refresh(read(tmp, "companies"), args.table, "companies")
+        publish.publish_table(out, args.table, "companies")
     elif args.cmd == "delete-day":
-        store.delete_day(spark, args.table, args.date)
+        (publish.unpublish_day if publish.is_published(spark, args.table) else store.delete_day)(
+            spark, args.table, args.date)
     if own:
         spark.stop()
     return 0

@@ -14,7 +14,7 @@ from ..operators import ingest as I
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import pages as P
-from ..sources import store
+from ..sources import publish, store
 from ..streaming.pages_stream import read_streamed_trades, start_page_stream
 from . import oracle as O
 from .catalog import END, F1, N_ALL, P1_ALL, START, SYMBOL, COMPARE_ALL_SQL, as_output, f1_prices, f1_prices_all, f1_trades, register
@@ -303,3 +303,133 @@ def q_delete_price_day(spark, sf):
     store.delete_day(spark, path, DELETED_DAY)
     out = store.read_table(spark, path, "prices")
     return as_output(out.select("date", "stock_name", "stock_symbol", "num_trnx", "closing_price", "pc_change"))
+
+
+# -- nested markup, quarantine of pages and loads
+
+NESTED_QTY = "99"        # quantity of the trades whose row holds a table of its own
+
+@register("parse_nested_tables", SQL_PAGED + f"""
+, rows AS (
+  SELECT date, page_no, id, 0 AS inner_row, id AS contract_no, stock_symbol, buyer, seller, quantity,
+         CAST(rate AS DOUBLE) AS rate, CAST(amount AS DOUBLE) AS amount FROM paged2
+  UNION ALL SELECT date, page_no, id, 1, 0, 'IN', '7', '8', 1, 2.5, 2.5 FROM paged2 WHERE quantity = {NESTED_QTY})
+SELECT date, page_no, CAST(row_number() OVER (PARTITION BY date, page_no ORDER BY id, inner_row) - 1 AS INTEGER) AS pos,
+       contract_no, stock_symbol, buyer, seller, quantity, rate, amount FROM rows""")
+def q_parse_nested_tables(spark, sf):
+    """A table inside a last cell: its rows are rows, and the outer table goes on
+    behind it; the class attribute has more blanks than words."""
+    inner = "".join(f"<td>{c}</td>" for c in ("n", "0", "IN", "7", "8", "1", "2.5", "2.5"))
+    nested = F.regexp_replace("html", f"(<td>{NESTED_QTY}</td><td>[^<]*</td><td>[^<]*</td>)</tr>",
+                              f'$1<td><table class="x"><tr>{inner}</tr></table></td></tr>')
+    html = F.replace(nested, F.lit(f'"{P.TRADE_TABLE_CLASS}"'), F.lit('"table  my-table "'))
+    good, _ = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf).withColumn("html", html)))
+    return as_output(good)
+
+
+@register("quarantine_no_table", SQL_PAGED + f"""
+SELECT DISTINCT date, page_no, CASE WHEN page_no = 1 THEN '{P.NO_TABLE}' ELSE '{P.NO_ROWS}' END AS raw
+FROM paged2 WHERE page_no <= 2""")
+def q_quarantine_no_table(spark, sf):
+    """Each day's first page has another table, its second one no rows."""
+    html = (F.when(F.col("page_no") == 1, F.replace("html", F.lit(P.TRADE_TABLE_CLASS), F.lit("other")))
+            .when(F.col("page_no") == 2, F.regexp_replace("html", "(?s)(my-table\">).*(</table>)", "$1$2"))
+            .otherwise(F.col("html")))
+    _, bad = I.split_bad(I.parse_trade_pages(trade_pages(spark, sf).withColumn("html", html)))
+    return bad.select("date", "page_no", "raw")
+
+
+@register("quarantine_two_loads", SQL_PAGED + """
+SELECT date, page_no, pos, id AS contract_no FROM paged2
+WHERE (quantity = 99 OR (quantity = 100 AND amount >= 1000)) AND page_no % 2 = 1""")
+def q_quarantine_two_loads(spark, sf):
+    """The odd pages land malformed, then the even ones well: the first load's bad rows
+    are still there."""
+    path = scratch_path(spark, "quarantine")
+    odd = I.parse_trade_pages(trade_pages(spark, sf, malformed=True).filter("page_no % 2 = 1"))
+    even = I.parse_trade_pages(trade_pages(spark, sf).filter("page_no % 2 = 0"))
+    for parsed in (odd, even):
+        store.keep_parsed(parsed, path)
+    return store.read_quarantine(spark, path, odd.schema).select("date", "page_no", "pos", "contract_no")
+
+
+# -- dates of the page, newest landing
+
+@register("load_trades_page_date", LOADED_SQL)
+def q_load_trades_page_date(spark, sf):
+    """Pages that landed without a date load under the one they show."""
+    undated = trade_pages(spark, sf).withColumn("date", F.when(F.col("page_no") % 2 == 0, F.col("date")))
+    path = scratch_path(spark, "trades-undated")
+    store.load_days(_good_pages(I.dated(undated)), path, "trades")
+    return as_output(store.read_table(spark, path, "trades"))
+
+
+@register("stream_page_date", LOADED_SQL)
+def q_stream_page_date(spark, sf):
+    landing = scratch_path(spark, "landing-undated")
+    trade_pages(spark, sf).withColumn("date", F.lit(None).cast("string")).write.parquet(landing)
+    at = [scratch_path(spark, f"stream-undated-{n}") for n in ("trades", "bad", "ckpt")]
+    start_page_stream(spark, landing, *at, available_now=True).awaitTermination()
+    return as_output(read_streamed_trades(spark, at[0]))
+
+
+@register("newest_landing", SQL_PAGED + f"SELECT {NEW_ID} AS id, quantity FROM paged2")
+def q_newest_landing(spark, sf):
+    """Each page landed twice, the older time with a larger url and other quantities."""
+    pages = trade_pages(spark, sf)
+    older = pages.select("date", "page_no", F.lit("zzz").alias("url"),
+                         F.regexp_replace("html", "<td>9", "<td>8").alias("html"), F.lit(1).alias("landed"))
+    return _good_pages(pages.withColumn("landed", F.lit(2)).unionByName(older)).select("id", "quantity")
+
+
+# -- published tables and ids in arrival order
+
+@register("published_append", LOADED_SQL)
+def q_published_append(spark, sf):
+    """Loads of the odd pages, of the first page again and of the even pages: three
+    versions, each swapped in whole."""
+    path, pages = scratch_path(spark, "trades-published"), trade_pages(spark, sf)
+    for part in ("page_no % 2 = 1", "page_no = 1", "page_no % 2 = 0"):
+        publish.publish_append(_good_pages(pages.filter(part)), path, "trades")
+    return as_output(publish.read_published(spark, path, "trades"))
+
+
+@register("published_unswapped", LOADED_SQL + f" WHERE date <> '{DELETED_DAY}'")
+def q_published_unswapped(spark, sf):
+    """A load that is written but never swapped in (it died) is not seen; a day is taken
+    out, and the folders that no version names are deleted."""
+    path, good = scratch_path(spark, "trades-unswapped"), _good_pages(trade_pages(spark, sf))
+    publish.publish_days(good, path, "trades")
+    publish.stage(good.limit(10), path, "trades")
+    publish.unpublish_day(spark, path, DELETED_DAY)
+    publish.vacuum(spark, path)
+    return as_output(publish.read_published(spark, path, "trades"))
+
+
+@register("load_companies_appended", O.with_ctes(COMPANIES_PARTS.replace(" WHERE p_size >= 10", "")) + f"""
+, loads AS (SELECT 2 AS load, * FROM comp UNION ALL SELECT 1, * FROM comp WHERE sector IN (
+  SELECT sector FROM comp GROUP BY sector ORDER BY sector LIMIT 2))
+SELECT row_number() OVER (ORDER BY load, loads.id) AS id, stock_name, stock_symbol, sector FROM loads""")
+def q_load_companies_appended(spark, sf):
+    """Two sectors' listings, then all of them: ids go on densely from the largest."""
+    path, companies = scratch_path(spark, "companies-ids"), fx.companies_from_parts(fx.table(spark, sf, "part"), 0)
+    two = companies.select("sector").distinct().orderBy("sector").limit(2)
+    for rows in (companies.join(two, "sector", "left_semi"), companies):
+        good, _ = I.split_bad(I.parse_company_pages(P.render_company_pages(rows, "2024-02-15")))
+        last = publish.read_published(spark, path, "companies").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        publish.publish_append(I.arrival_ids(good, last), path, "companies")
+    return publish.read_published(spark, path, "companies")
+
+
+@register("load_prices_ids", O.with_ctes(F1, P1_ALL) + """
+SELECT row_number() OVER (ORDER BY date, stock_name) AS id, date, stock_name,
+       CAST(closing_price AS DOUBLE) AS closing_price FROM prices""")
+def q_load_prices_ids(spark, sf):
+    """The price table with ids in order of arrival."""
+    pages = P.render_price_pages(f1_prices_all(spark, sf))
+    companies = fx.companies_from_trades(f1_trades(spark, sf))
+    path = scratch_path(spark, "prices-ids")
+    good = I.arrival_ids(I.split_bad(I.parse_price_pages(pages))[0])
+    publish.publish_days(I.prices_table(good, companies), path, "price_list")
+    out = publish.read_published(spark, path, "price_list")
+    return as_output(out.select("id", "date", "stock_name", "closing_price"))

@@ -36,6 +36,9 @@ PRICES = T.StructType([
     T.StructField("pc_change", T.DoubleType(), True),
 ])
 
+# Daily prices as loaded: with the id of their arrival.
+PRICE_LIST = T.StructType([T.StructField("id", T.LongType(), False), *PRICES.fields])
+
 # Security directory.
 COMPANIES = T.StructType([
     T.StructField("id", T.LongType(), False),

@@ -1,10 +1,11 @@
 """Saved exchange pages: extraction with built-in functions (I-1 .. I-7).
 
-A page is one row ``(date, page_no, url, html)``.  Tables are cut out with
-``regexp_extract``, rows with ``regexp_extract_all``, the reference's row
-slices (``rows[2:-3]`` etc.) with ``slice``, and cells
-with ``posexplode`` + ``get``.  Everything stays in the JVM; pages are
-independent, so extraction is a map-only stage.
+A page is one row ``(date, page_no, url, html)``.  A table is cut out at its
+balanced end tag; its rows, and the cells of a row, are all elements of that
+tag inside, nested ones too, in the order in which they begin.  Well-formed flat
+markup takes one regular expression; only where elements nest or stay open does a
+fold over the tags count depths.  Row slices (``rows[2:-3]`` etc.) are ``slice``.
+Everything stays in the JVM; pages are independent, so extraction is map-only.
 
 Rendering (``render_*``) turns tables back into pages.  The exchange pages
 themselves are not available, so the fixtures render them from the supplied
@@ -13,7 +14,11 @@ tables and the round trip is checked against plain SQL.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
+from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,13 +34,14 @@ TRADE_ROW_SLICE = (2, 3)
 PRICE_ROW_SLICE = (2, 4)
 COMPANY_ROW_SLICE = (2, 1)
 
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
-             ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"),
-             ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"), ("&amp;", "&"))
+# Deepest nesting of rows or cells that is followed; a page beyond it is a problem.
+MAX_DEPTH = 16
+NO_TABLE, NO_ROWS, TOO_DEEP = "no table", "no data rows", "nested too deeply"
 
 
 def _class_pattern(tag: str, cls: str) -> str:
-    return rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["']{re.escape(cls)}["'][^>]*>"""
+    words = r"\s+".join(map(re.escape, cls.split()))
+    return rf"""(?is)<{tag}\b[^>]*\bclass\s*=\s*["']\s*{words}\s*["'][^>]*>"""
 
 
 def _numeric_entities(c: Column) -> Column:
@@ -51,17 +57,103 @@ def _numeric_entities(c: Column) -> Column:
         F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(c)
 
 
+@lru_cache(maxsize=1)
+def _named_entities() -> str:
+    """Name -> characters of every named entity that ends with a semicolon, as JSON."""
+    return json.dumps({name[:-1]: chars for name, chars in html5.items() if name.endswith(";")})
+
+
+def _named(c: Column) -> Column:
+    """Named entities as their characters; unknown names stay."""
+    # one literal, folded to a map when the query is planned
+    table = F.from_json(F.lit(_named_entities()), "map<string,string>")
+
+    def one(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+        char = F.try_element_at(table, name)
+        rest = F.substring(part, F.length(name) + F.lit(2), F.length(part))
+        return F.when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+    parts = F.split(c, "&")
+    decoded = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))
+    return F.when(c.rlike("&[A-Za-z]"), decoded).otherwise(c)
+
+
 def html_text(c: Column) -> Column:
-    """Text of an HTML fragment: tags removed, entities decoded."""
-    out = _numeric_entities(F.regexp_replace(c, r"(?s)<[^>]*>", ""))
-    for ent, ch in _ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Text of an HTML fragment: tags removed, numeric and all named entities decoded.
+    Named ones come first: ``&amp;#32;`` is the text ``&#32;`` (its number stays)."""
+    bare = F.regexp_replace(c, r"(?s)<[^>]*>", "")
+    plain = _numeric_entities(bare)
+    # With an ampersand among them, names are decoded part by part, so that no text is
+    # decoded twice.
+    return F.when(bare.rlike("&[A-Za-z]"), F.array_join(F.transform(
+        F.split(bare, "(?=&)"), lambda part: F.when(part.startswith("&#"), _numeric_entities(part))
+        .otherwise(_named(part))), "")).otherwise(plain)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once (a lambda's variable)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _without_comments(html: Column) -> Column:
+    return F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, "(?s)<!--.*?(-->|$)", "")).otherwise(html)
+
+
+def elements(html: Column, tag: str) -> Column:
+    """Inner HTML of every ``tag`` element of ``html``, nested ones too, in the order in
+    which they begin; one that is never closed ends with ``html``.  NULL where they
+    nest deeper than ``MAX_DEPTH``.
+
+    If each opening tag begins a match of its own, nothing nests and the matches are
+    the elements.  Else the tags cut ``html`` into parts, and a fold keeps the parts
+    where the open elements began and (first, last) parts of the closed ones."""
+    flat = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), 1)
+    opens = F.regexp_count(html, F.lit(rf"(?i)<{tag}\b"))
+    return _once(flat, lambda found: F.when(F.size(found) == opens, found).otherwise(_nested(html, tag)))
+
+
+def _nested(html: Column, tag: str) -> Column:
+    span = "struct<first:int,last:int>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("open"),
+                     F.array().cast(f"array<{span}>").alias("done"), F.lit(False).alias("deep"))
+
+    def step(s: Column, part: Column) -> Column:
+        at = s["at"] + 1
+        opening, closing = part.rlike(rf"(?i)^<{tag}\b"), part.rlike(rf"(?i)^</{tag}\b") & (F.size(s["open"]) > 0)
+        closed = F.struct(F.element_at(s["open"], -1).alias("first"), s["at"].alias("last"))
+        return F.struct(
+            at.alias("at"),
+            F.when(opening, F.array_append(s["open"], at))
+            .when(closing, F.slice(s["open"], 1, F.size(s["open"]) - 1)).otherwise(s["open"]).alias("open"),
+            F.when(closing, F.array_append(s["done"], closed)).otherwise(s["done"]).alias("done"),
+            (s["deep"] | (F.size(s["open"]) >= MAX_DEPTH)).alias("deep"))
+
+    def cut(parts: Column) -> Column:
+        def all_of(s: Column) -> Column:
+            left = F.transform(s["open"], lambda o: F.struct(o.alias("first"), s["at"].alias("last")))
+            spans = F.array_sort(F.concat(s["done"], left))   # by the part where they begin
+            inner = F.transform(spans, lambda x: F.regexp_replace(
+                F.array_join(F.slice(parts, x["first"], x["last"] - x["first"] + 1), ""), r"(?s)^<[^>]*>", ""))
+            return F.when(~s["deep"], inner)
+        return _once(F.aggregate(parts, start, step), all_of)
+    return _once(F.split(html, rf"(?i)(?=</?{tag}\b)"), cut)
 
 
 def first_table(html: Column, cls: str) -> Column:
-    """Inner HTML of the first ``<table>`` whose class attribute is exactly ``cls``."""
-    return F.regexp_extract(html, _class_pattern("table", cls) + r"(.*?)</table>", 1)
+    """Inner HTML of the first ``<table>`` whose class attribute is exactly ``cls``
+    (blanks between its words count as one), up to its own end tag, whatever tables lie
+    inside; NULL without such a table."""
+    rest = F.regexp_extract(_without_comments(html), _class_pattern("table", cls) + "(.*)$", 1)
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("size"))
+
+    def step(s: Column, part: Column) -> Column:
+        depth = s["depth"] + F.when(part.rlike(r"(?i)^<table\b"), 1).when(part.rlike(r"(?i)^</table\b"), -1).otherwise(0)
+        inside = s["depth"] > 0
+        return F.struct(F.when(inside, depth).otherwise(0).alias("depth"),
+                        (s["size"] + F.when(inside & (depth > 0), F.length(part)).otherwise(0)).alias("size"))
+    inner = _once(rest, lambda r: F.substring(r, F.lit(1), F.aggregate(
+        F.split(r, r"(?i)(?=</?table\b)"), start, step, lambda s: s["size"])))
+    return F.when(_without_comments(html).rlike(_class_pattern("table", cls)), inner)
 
 
 def div_text(html: Column, cls: str) -> Column:
@@ -106,24 +198,31 @@ def missing_pages(pages: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def table_rows(pages: DataFrame, cls: str, row_slice: tuple[int, int], keep: list[str] | None = None) -> DataFrame:
-    """One row per data row of the page's table: ``(keep..., pos, cells)``.
+    """One row per data row of the page's table: ``(keep..., pos, cells, problem)``.
 
     ``pos`` is the 0-based position among the data rows; ``cells`` are the
     texts of the row's ``<td>`` cells (``<th>`` are not cells, as in the
-    reference's parser).  A page without the table gives no rows.
+    reference's parser), those of a table inside a cell too.  Rows of inner tables
+    are rows of the table.  A page without the table or without data rows gives one row
+    with its ``problem`` and neither pos nor cells, so no page is lost unnoticed.
     """
     head, tail = row_slice
     keep = keep if keep is not None else [c for c in pages.columns if c != "html"]
-    rows = F.regexp_extract_all(first_table(F.col("html"), cls), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1)
     # rows[head:-tail] as one slice of the materialised array (a lambda that
     # referred to the extraction would re-run it for every element).
-    sliced = pages.select(*keep, rows.alias("_rows"))
+    tables = pages.select(*keep, first_table(F.col("html"), cls).alias("_table"))
+    sliced = tables.select(*keep, F.col("_table").isNull().alias("_none"), elements(F.col("_table"), "tr").alias("_rows"))
     data = F.slice(F.col("_rows"), head + 1, F.greatest(F.size("_rows") - head - tail, F.lit(0)))
+    problem = (F.when(F.col("_none"), NO_TABLE).when(F.col("_rows").isNull(), TOO_DEEP)
+               .when(F.size("_rows") <= head + tail, NO_ROWS))
     # Cells are cut before the explode: a filter on them cannot be pushed through
     # it, so each row's cells are extracted once.
     def cells(row: Column) -> Column:
-        return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), 1), html_text)
-    return sliced.select(*keep, F.posexplode(F.transform(data, cells)).alias("pos", "cells"))
+        return F.transform(elements(row, "td"), html_text)
+    return (sliced.select(*keep, problem.alias("problem"),
+                          F.posexplode_outer(F.when(problem.isNull(), F.transform(data, cells))).alias("pos", "cells"))
+            .select(*keep, "pos", "cells", F.when(F.col("pos").isNull(), F.col("problem"))
+                    .when(F.col("cells").isNull(), TOO_DEEP).alias("problem")))
 
 
 # --------------------------------------------------------------------------

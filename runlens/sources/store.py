@@ -8,14 +8,18 @@ previous state of that day in place.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import COMPANIES, PRICES, TRADES
+from ..schema import COMPANIES, PRICE_LIST, PRICES, TRADES
+from ..operators.ingest import split_bad
 from ..session import scratch_path
 
-TARGETS = {"trades": TRADES, "prices": PRICES, "companies": COMPANIES}
+TARGETS = {"trades": TRADES, "prices": PRICES, "price_list": PRICE_LIST, "companies": COMPANIES}
 
 
 def _check_target(target: str) -> T.StructType:
@@ -64,7 +68,8 @@ def load_days(df: DataFrame, path: str, target: str = "trades") -> None:
 
 # What a later load replaces: the rows of the same landed page, or the same
 # security of a day.
-_REPLACED = {"trades": ["date", "id div 100000"], "prices": ["date", "stock_name"]}
+REPLACED = {"trades": ["date", "id div 100000"], "prices": ["date", "stock_name"],
+            "price_list": ["date", "stock_name"]}
 
 
 def append_days(df: DataFrame, path: str, target: str = "trades") -> None:
@@ -82,13 +87,30 @@ def append_days(df: DataFrame, path: str, target: str = "trades") -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return load_days(new, path, target)
-    keys = [F.expr(k).alias(f"_k{i}") for i, k in enumerate(_REPLACED[target])]
+    keys = [F.expr(k).alias(f"_k{i}") for i, k in enumerate(REPLACED[target])]
     names = [f"_k{i}" for i in range(len(keys))]
     old = read_table(spark, path, target).join(new.select("date").distinct(), "date", "left_semi")
     kept = old.select("*", *keys).join(new.select(*keys).distinct(), names, "left_anti").drop(*names)
     load_days(staged(new.unionByName(kept.select(*new.columns)), "append-all"), path, target)
 
 
+def keep_parsed(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """I-8: writes parsed rows once, into a folder of this load below ``path`` (parts
+    ``bad=true`` and ``bad=false``), and returns (good, quarantined) rows read from it.
+    What earlier loads left there stays."""
+    spark = parsed.sparkSession
+    load = f"{path.rstrip('/')}/load={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    parsed.write.partitionBy("bad").parquet(load)
+    stored = spark.read.schema(parsed.schema).parquet(load).select(*parsed.columns)
+    return split_bad(stored)
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Quarantined rows of all loads, with the column ``load``."""
+    full = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
+    return spark.read.schema(full).parquet(path).filter("bad").drop("bad")
+
+
 def append_companies(df: DataFrame, path: str) -> None:
     """I-14: append listings (page_no, pos, stock_name, stock_symbol, sector) in
     arrival order: their ids follow the table's largest by page and place, so the
@@ -106,6 +128,13 @@ def refresh(df: DataFrame, path: str, target: str = "companies") -> None:
 
 
 def read_table(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """The rows of a table: the live folders of a published one, else all of ``path``."""
+    from .publish import is_published, read_published   # built on this module
+    _check_target(target)
+    return (read_published if is_published(spark, path) else read_plain)(spark, path, target)
+
+
+def read_plain(spark: SparkSession, path: str, target: str) -> DataFrame:
     schema = _check_target(target)
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 

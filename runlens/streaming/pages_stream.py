@@ -6,7 +6,9 @@ written to the date-partitioned trades table.  Every batch writes its own
 ``load_batch`` partition with dynamic overwrite, so a batch replayed after a
 failure replaces exactly what it wrote before (idempotent sink); the
 checkpoint in the shared folder records which files were consumed.
-Bad rows go to a quarantine table the same way.
+Bad rows go to a quarantine table the same way.  A batch is parsed once and held
+while its two parts are written.  Pages without a landed date take the one they
+show; of pages that land twice in a batch the newest file's counts.
 """
 
 from __future__ import annotations
@@ -15,19 +17,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ingest import one_landing, parse_trade_pages, split_bad, with_trade_ids
+from ..operators.ingest import dated, one_landing, parse_trade_pages, split_bad, with_trade_ids
 from ..schema import PAGES, TRADES
 
 
 def _batch_writer(table_path: str, quarantine_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_bad(parse_trade_pages(one_landing(batch)))
-        (with_trade_ids(good).withColumn("load_batch", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "load_batch").parquet(table_path))
-        (bad.withColumn("load_batch", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date", "load_batch").parquet(quarantine_path))
+        parsed = parse_trade_pages(one_landing(dated(batch))).persist()
+        try:
+            good, bad = split_bad(parsed)
+            (with_trade_ids(good).withColumn("load_batch", F.lit(int(batch_id)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date", "load_batch").parquet(table_path))
+            (bad.withColumn("load_batch", F.lit(int(batch_id)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date", "load_batch").parquet(quarantine_path))
+        finally:
+            parsed.unpersist()
     return write
 
 
@@ -38,7 +44,7 @@ def start_page_stream(spark: SparkSession, landing_dir: str, table_path: str, qu
     reader = spark.readStream.schema(PAGES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    pages = reader.parquet(landing_dir)
+    pages = reader.parquet(landing_dir).select("*", F.col("_metadata.file_modification_time").alias("landed"))
     writer = (pages.writeStream.foreachBatch(_batch_writer(table_path, quarantine_path))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

@@ -66,7 +66,10 @@ def test_page_without_table_or_rows(spark):
         ("2024-01-01", 2, "u", '<table class="table my-table"><tr><th>h</th></tr><tr><th>h</th></tr>'
                                "<tr><td>a</td></tr><tr><td>b</td></tr><tr><td>c</td></tr></table>"),
     ], PAGES)
-    assert I.parse_trade_pages(pages).count() == 0
+    good, bad = I.split_bad(I.parse_trade_pages(pages))
+    assert good.count() == 0
+    assert [(r.page_no, r.pos, r.raw) for r in bad.orderBy("page_no").collect()] == [
+        (1, None, P.NO_TABLE), (2, None, P.NO_ROWS)]
 
 
 def test_missing_pages(spark):
