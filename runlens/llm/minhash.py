@@ -5,8 +5,8 @@ sets; the result is the connected components of all links.
 
 1. Sketch, one pass: ``HASHES`` minima of universal hashes over the shingles, 16
    bits of each kept.
-2. Documents with one and the same word sequence form a class (grouped minimum);
-   everything after works on one representative of each class.
+2. Rows with one and the same word sequence form a class with a number of its own;
+   everything after works on one text of each class.
 3. Banding: ``BANDS`` keys of ``ROWS`` minima.  A linked pair misses every band
    with a probability of at most (1 - 0.85 ** ROWS) ** BANDS = 4.3e-7.
 4. Star: every member of a bucket (band, key) is compared with the smallest
@@ -17,17 +17,19 @@ sets; the result is the connected components of all links.
 5. Buckets whose members are not in one component yet: up to ``PAIR_ROWS`` members
    are compared pair by pair; larger buckets are dealt as pairs of sub-blocks, and
    in each one matrix product of shingle incidences gives all intersection sizes,
-   of which only a spanning forest of the links leaves the task.  So every pair of
-   a bucket is linked, compared, or inside one component, and no list of pairs
-   grows with the square of a group.
-6. Components by alternating large-star and small-star.
+   of which only a spanning forest of links leaves the task; these are confirmed on the
+   full sets like all others.  So every pair of a bucket is linked, compared, or inside
+   one component, and no list of pairs grows with the square of a group.
+6. Components by alternating large-star and small-star, of classes first, then of
+   the components that meet in a document with several texts.
 
 No bucket is gathered in a task and nothing but counts reaches the driver.
 
 Defined results: NULL and empty texts, and texts without words, have 0 shingles
 and are linked with nothing; with fewer than five words the whole sequence is the
 one shingle; rows with a NULL id stay alone with a NULL component.  Rows that
-share an id must be equal rows.
+share an id are one document: it is linked with what any of its texts is linked with.
+Only the id and text columns are read, so others never clash.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_list, flat_bytes, materialize, slices
@@ -146,8 +148,14 @@ def minima(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_hash(text_col: str = "text") -> Column:
+    """Tells the texts of rows that share an id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles (size of the set), seq (digest of the word sequence), sig."""
+    """id, hash (of the text), n_shingles (size of the set), seq (digest of the word
+    sequence), sig."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,14 +165,14 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 sig = minima(*shingle_hashes(*flat_bytes(text)))
                 words = [words_of(t) for t in byte_list(text)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
                      pa.array([len(shingle_set(w)) for w in words], pa.int64()),
                      pa.array([hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words], pa.binary()),
                      pa.array([s.tobytes() for s in sig], pa.binary())],
-                    [id_col, "n_shingles", "seq", "sig"])
+                    [id_col, "hash", "n_shingles", "seq", "sig"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        run, f"{id_col} {id_type}, n_shingles bigint, seq binary, sig binary")
+    return docs.select(F.col(id_col), F.col(text_col), text_hash(text_col).alias("__hash")).mapInArrow(
+        run, f"{id_col} {id_type}, hash bigint, n_shingles bigint, seq binary, sig binary")
 
 
 def _agree(pairs: DataFrame) -> DataFrame:
@@ -234,17 +242,22 @@ def block_links(h: np.ndarray, bounds: np.ndarray, left: np.ndarray, right: np.n
 
 
 def forest(linked: np.ndarray, ids: list) -> list[tuple]:
-    """Star edges (id, smallest id of its component) of a symmetric link matrix."""
+    """Links (id, id) that span each component of a symmetric link matrix: from its
+    smallest id outwards, each other one by a link to one reached before."""
     order = np.array(sorted(range(len(ids)), key=lambda i: ids[i]))
     linked = linked[np.ix_(order, order)]
-    label = np.arange(len(ids))
-    while True:
-        best = np.where(linked, label[None, :], len(ids)).min(axis=1, initial=len(ids))
-        new = np.minimum(label, best)
-        new = new[new]
-        if (new == label).all():
-            return [(ids[order[i]], ids[order[r]]) for i, r in enumerate(label) if r != i]
-        label = new
+    seen, out = np.zeros(len(ids), bool), []
+    for root in range(len(ids)):
+        front = np.array([], int) if seen[root] else np.array([root])
+        seen[root] = True
+        while len(front):
+            reach = linked[front] & ~seen
+            new = np.flatnonzero(reach.any(axis=0))
+            by = front[reach[:, new].argmax(axis=0)]
+            out += [(ids[order[a]], ids[order[b]]) for a, b in zip(new, by)]
+            seen[new] = True
+            front = new
+    return out
 
 
 def _blocked(rows: DataFrame) -> DataFrame:
@@ -287,12 +300,15 @@ def _blocked(rows: DataFrame) -> DataFrame:
     return rows.select("band", "key", "lo", "hi", "side", "rep", "text").mapInArrow(run, f"a {id_type}, b {id_type}")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+def row_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, hash (of its text), n_shingles, component (number of the
+    class that its component has; NULL without shingles or id)."""
     sketches = materialize(sketch(docs, id_col, text_col), "sketches")
     some = sketches.filter((F.col("n_shingles") > 0) & F.col(id_col).isNotNull())
+    # the number of a class is written with it
     classes = materialize(some.groupBy("seq").agg(
-        F.min(id_col).alias("rep"), F.first("n_shingles").alias("shingles"), F.first("sig").alias("sig")), "classes")
+        F.min(F.struct(F.col(id_col).alias("id"), "hash")).alias("owner"), F.first("n_shingles").alias("shingles"),
+        F.first("sig").alias("sig")).withColumn("rep", F.monotonically_increasing_id()), "classes")
     keys = classes.select("rep", "shingles", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))).alias("band", "key"))
@@ -300,18 +316,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialize(keys.join(shared, ["band", "key"]).filter("rep != centre").drop("n"), "buckets")
 
     reps = members.select(F.col("rep").alias("__rep")).union(members.select("centre")).distinct()
-    texts = materialize(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-                        .join(reps, F.col("__id") == F.col("__rep"), "left_semi")
-                        .dropDuplicates(["__id"]), "candidate-texts")
+    owners = (classes.join(reps.withColumnRenamed("__rep", "rep"), "rep")
+              .select(F.col("rep").alias("__id"), F.col("owner.id").alias("__owner"), F.col("owner.hash").alias("__hash")))
+    texts = materialize(docs.select(F.col(id_col).alias("__owner"), text_hash(text_col).alias("__hash"),
+                                    F.col(text_col).alias("__text"))
+                        .join(owners, ["__owner", "__hash"]).select("__id", "__text").dropDuplicates(["__id"]),
+                        "candidate-texts")
 
     def side(table: DataFrame, key: str, value: str, name: str) -> DataFrame:
         return table.select(F.col(key).alias(name), F.col(value).alias(f"{value.strip('_')}_{name}"))
 
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links by their full sets."""
+        return _confirm(pairs.join(side(texts, "__id", "__text", "a"), "a")
+                        .join(side(texts, "__id", "__text", "b"), "b"))
+
     def compared(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links; neighbouring rows share b."""
         signed = pairs.join(side(classes, "rep", "sig", "a"), "a").join(side(classes, "rep", "sig", "b"), "b")
-        return _confirm(_agree(signed).join(side(texts, "__id", "__text", "a"), "a")
-                        .join(side(texts, "__id", "__text", "b"), "b"))
+        return confirmed(_agree(signed))
 
     stars = materialize(members.select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), "stars")
     links = materialize(compared(stars), "links")
@@ -336,13 +359,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("side", (F.col("own") > F.col("lo")).cast("int"))
              .join(texts.select(F.col("__id").alias("rep"), F.col("__text").alias("text")), "rep")
              .repartition("band", "key", "lo", "hi").sortWithinPartitions("band", "key", "lo", "hi"))
-    links = materialize(links.union(compared(pairs)).union(_blocked(large)), "links")
+    links = materialize(links.union(compared(pairs)).union(confirmed(_blocked(large).distinct())), "links")
     comps = connected_components(links)
 
     return (sketches.join(classes.select("seq", "rep"), "seq", "left")
             .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
-            .select(id_col, "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep", id_col))
-                    .otherwise(F.col(id_col)).alias("component_id"))
-            .withColumn("component_id", F.when(F.col(id_col).isNotNull(), F.col("component_id")))
+            .select(id_col, "hash", "n_shingles", F.when(
+                (F.col("n_shingles") > 0) & F.col(id_col).isNotNull(), F.coalesce("component", "rep")).alias("component")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept."""
+    rows = materialize(row_components(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "row-components")
+    some = rows.filter(F.col("component").isNotNull())
+    # components that meet in a document with several texts are one
+    spread = some.groupBy("id").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter(
+        "least < most")
+    met = connected_components(some.join(spread, "id").select("component", "least"), "component", "least")
+    number = (some.join(met.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
+              .select("id", "component", F.coalesce("whole", "component").alias("whole")))
+    least = number.groupBy("whole").agg(F.min("id").alias("component_id"))
+    of = number.select("component", "whole").distinct().join(least, "whole").select("component", "component_id")
+    return (rows.join(of, "component", "left")
+            .select(F.col("id").alias(id_col), "n_shingles",
+                    F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False))))

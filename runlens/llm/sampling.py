@@ -1,8 +1,10 @@
 """Bounded training samples and training in one task.
 
 A sample holds at most ``per_class`` rows of each class, the first by a hash of
-the id: the same rows at every run, whatever the partitioning.  Only ids and
-classes are ranked; the texts are fetched by a broadcast of that bounded list.
+the id: the same rows at every run, whatever the partitioning.  Ids and classes are
+ranked first; the texts are fetched by a broadcast of that bounded list and ranked again
+as rows, so an id with many rows or labels takes no more than its share.  Of a class at
+most ``SAMPLE_BYTES`` of text are taken, longer texts last.
 """
 
 from __future__ import annotations
@@ -11,21 +13,32 @@ import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Text of a class that a sample takes (a documented bound, as the number of rows).
+SAMPLE_BYTES = 256 << 20
+
 
 def sample_texts(docs: DataFrame, classes: DataFrame, values: list, per_class: int,
                  id_col: str = "doc_id", text_col: str = "text", extra: list[Column] = ()) -> DataFrame:
-    """(text, class, *extra) of the sampled rows.  ``classes``: (id, class)."""
+    """(text, class, *extra) of the sampled rows.  ``classes``: (id, class).  Only the
+    named columns of ``docs`` are read, under names of their own."""
     ranked = classes.select(F.col(id_col).alias("__sid"), F.col(classes.columns[1]).alias("class"))
     parts = [ranked.filter(F.col("class") == F.lit(v)).orderBy(F.xxhash64("__sid"), "__sid").limit(per_class)
              for v in values]
     chosen = parts[0]
     for p in parts[1:]:
         chosen = chosen.union(p)
-    return (docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__sid"))   # bounded: per_class rows a class
-            .select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), "class", *extra, F.col("__sid")))
+    texts = docs.select(F.col(id_col).alias("__did"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                        *[c.alias(f"__x{k}") for k, c in enumerate(extra)])
+    found = texts.join(F.broadcast(chosen.distinct()), F.col("__did") == F.col("__sid"))   # bounded: per_class a class
+    rows = (Window.partitionBy("class").orderBy(F.xxhash64("__sid"), "__sid", F.octet_length("text"), F.xxhash64("text")))
+    short = Window.partitionBy("class").orderBy(F.octet_length("text"), "_row").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_row", F.row_number().over(rows)).filter(F.col("_row") <= per_class)
+    found = found.withColumn("_bytes", F.sum(F.octet_length("text")).over(short)).filter(F.col("_bytes") <= SAMPLE_BYTES)
+    names = [c for c in docs.select(*extra).columns] if extra else []
+    return found.select("text", "class", *[F.col(f"__x{k}").alias(n) for k, n in enumerate(names)], "__sid")
 
 
 def train_in_task(sample: DataFrame, train: Callable[[pa.Table], object]):

@@ -10,7 +10,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from runlens.llm import byte_bpe, eigen, repair, spelling, token_output, whitening
+import corpus_pipeline
+from runlens.llm import (byte_bpe, eigen, minhash, quality_cnn, repair, sampling, spelling, token_output,
+                         toxicity_cnn, whitening)
 from runlens.llm.queries import vocabulary
 
 from .conftest import ODD
@@ -131,6 +133,58 @@ def test_token_output_with_clashing_columns(spark):
     assert [tuple(r)[:3] for r in token_output.token_output(df, vocabulary(VOCAB)).collect()] == [(4, 0, 3)]
 
 
+# -- rows that share an id, columns that clash
+
+
+LONG_A, LONG_B = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+
+
+def test_minhash_keeps_links_of_an_id_with_two_texts(docs):
+    table = [(1, LONG_A), (1, LONG_B), (2, LONG_A + " x"), (3, LONG_B + " y"), (4, "one two"), (1, None), (1, LONG_A)]
+    got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash.near_duplicates(docs(table)).collect()}
+    assert got == {(1, 56): (1, True), (2, 57): (1, False), (3, 57): (1, False), (4, 1): (4, True), (1, 0): (1, True)}
+
+
+def test_pipeline_stages_judge_rows_not_ids(spark):
+    stages = dict(corpus_pipeline.STAGES)
+    names = ["class", "__sid", "keep_id", "__keep", "__sha", "sha", "row", "hash", "id", "component", "points", "owner"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+
+    def kept(stage, rows):
+        df = spark.createDataFrame([(i, t, "en", "s", 0, *names) for i, t in rows], schema)
+        out = stages[stage](spark, df, "")
+        assert out.columns == df.columns
+        got = out.collect()
+        assert all(tuple(r)[5:] == tuple(names) for r in got)
+        return sorted(((r.doc_id, r.text) for r in got), key=repr)
+
+    near = "MinHash near-dedup"
+    assert kept(near, [(0, LONG_A), (1, LONG_A), (1, LONG_B)]) == [(0, LONG_A), (1, LONG_B)]
+    assert kept(near, [(None, LONG_A), (5, LONG_A + " x"), (6, LONG_A), (7, ""), (8, None)]) == [
+        (5, LONG_A + " x"), (7, ""), (8, None), (None, LONG_A)]
+    exact = "exact dedup"
+    assert kept(exact, [(1, "ab"), (1, "a  b"), (2, "a b"), (3, None), (4, " ")]) == [(1, "a  b"), (4, " ")]
+    assert kept(exact, [(1, "ab"), (1, "ab"), (None, "ab")]) in ([(1, "ab")], [(None, "ab")])
+
+
+@pytest.mark.parametrize("train", [quality_cnn.train_quality, toxicity_cnn.train_toxicity])
+def test_classifiers_train_on_tables_with_clashing_columns(spark, train):
+    rows = [(k, f"{'good fine' if k % 2 else 'bad awful'} text {k}", "en", "x", "y", "z", 1) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, class string, __sid string, __x0 string, _row int")
+    marks = spark.createDataFrame([(k, k % 2, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    assert train(df, marks.unionByName(marks)) is not None
+
+
+def test_samples_bound_rows_and_bytes(spark, monkeypatch):
+    rows = [(1, f"text {k}") for k in range(50)] + [(2, "x" * 5000), (3, "short"), (4, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 4, 1)], "doc_id long, class int")
+    assert sampling.sample_texts(df, classes, [0, 1], 10).groupBy("class").count().collect() != []
+    assert max(r["count"] for r in sampling.sample_texts(df, classes, [0, 1], 10).groupBy("class").count().collect()) <= 10
+    monkeypatch.setattr(sampling, "SAMPLE_BYTES", 1000)
+    assert "x" * 5000 not in {r.text for r in sampling.sample_texts(df, classes, [0, 1], 100).collect()}
+
+
 # -- eigenpairs and whitening
 
 
