@@ -8,8 +8,9 @@ return the columns of ``documents`` (extra columns stay).
 * language: documents without a letter, or that no language's machine accepts, go;
 * exact dedup: of equal texts the one with the most code points, then the
   smallest id stays;
-* near dedup: of each component of near copies the smallest id stays; rows with a
-  NULL id stay;
+* near dedup: of each component of near copies the row with the smallest id (then the
+  smallest hash of its text) stays; a row whose id another row shares is judged by its
+  own text; rows with a NULL id stay;
 * packing: one row per piece with its sequence and offset.
 
 An empty table passes through every stage as an empty table.
@@ -40,17 +41,25 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    own = exact_dedup.owners(docs).select("keep_id", F.col("text_sha256").alias("__keep"))
-    marked = docs.withColumn("__sha", exact_dedup.text_digest("text"))
-    kept = marked.join(own, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("__sha") == F.col("__keep")),
-                       "left_semi")
-    return kept.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    # Whole rows travel in one column, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), exact_dedup.text_digest("text").alias("sha"),
+                       F.char_length(F.coalesce(F.col("text"), F.lit(""))).alias("points"))
+    own = exact_dedup.owners(docs).select("keep_id", F.col("text_sha256").alias("sha"))
+    theirs = rows.join(own, "sha").filter(F.col("id").eqNullSafe(F.col("keep_id")))
+    # An id may have several rows with this text: the longest of them, one of equal ones.
+    longest = theirs.groupBy("sha").agg(F.max("points").alias("points"))
+    return theirs.join(longest, ["sha", "points"]).dropDuplicates(["sha"]).select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull())
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), minhash.text_hash("text").alias("hash"))
+    found = minhash.row_components(docs).select(F.col("doc_id").alias("id"), "hash", "component").filter(
+        F.col("component").isNotNull()).distinct()
+    # The first row by (id, hash) of each component stays; rows are told apart by both.
+    first = found.groupBy("component").agg(F.min(F.struct("id", "hash")).alias("first"))
+    gone = found.join(first, "component").filter(F.struct("id", "hash") != F.col("first")).select("id", "hash")
+    return rows.join(gone, ["id", "hash"], "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
