@@ -121,7 +121,7 @@ def _fanouts(fanout) -> tuple[int, ...]:
 
 
 def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fanout,
-                     group: Sequence[str] = ()) -> DataFrame:
+                     group: Sequence[str] = (), inner: Sequence[str] = ()) -> DataFrame:
     """Steps 3-4 on a block summary ``(keys..., _seg, _nb, _first, _last)``:
     per block its runs ``_nb``, the run-number offset ``_soff`` and ``_smerge`` = 1
     when its first local run continues the previous block's last run.
@@ -130,11 +130,12 @@ def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fa
     have the same shape and are solved the same way: ``K1`` blocks at a time, then
     ``K2`` of those, ... for fanouts ``(K1, K2, ...)``; then all blocks of a symbol
     (where a date stands between), then the symbols that share their first two
-    characters.  Only the last scan is one task: a row per two characters."""
+    characters.  Only the last scan is one task: a row per two characters.  ``inner``
+    orders the parts of a segment where a block is one of those."""
     flags = [f"_{w}_{c}" for c in breaks for w in ("n", "v")]
     summ = summ.select("*", *[F.col(k).alias(f"{end}{k}") for k in flags for end in ("_a", "_z")])
     order = [k for k in keys if k not in group]
-    levels, cols = [], [*order, _B1]
+    levels, cols = [([], [*order, _B1])] if inner else [], [*order, _B1]
     for i, k in enumerate(_fanouts(fanout)):
         made = F.coalesce(_bucket(cols[-1], k), F.lit(0).cast("long")).alias(f"{_B2}{i}")
         levels.append(([made], [*order, f"{_B2}{i}"]))
@@ -142,7 +143,7 @@ def _segment_offsets(summ: DataFrame, keys: list[str], breaks: Sequence[str], fa
     if len(order) > 2:
         levels.append(([], order[:2]))
     levels.append(([F.substring(order[1], 1, 2).alias("_chars")], [order[0], "_chars"]))
-    return _solve(summ, list(group), [*order, _B1], flags, levels)
+    return _solve(summ, list(group), [*order, _B1, *inner], flags, levels)
 
 
 def _solve(s: DataFrame, group: list[str], cols: list[str], flags: list[str], levels: list) -> DataFrame:

@@ -12,7 +12,7 @@ from ..schema import broker_col
 from .runs import DEFAULT_BUCKET_WIDTH, DEFAULT_FANOUT, run_summary, run_summary_sides
 
 
-#: Hash parts of the first step of a per-side top-n.
+#: Groups of tasks of the first merge of a per-side top-n.
 TOP_PARTS = 64
 
 
@@ -83,9 +83,11 @@ def top_runs_sides(trades: DataFrame, prices: DataFrame, start: str | None, end:
     to its ``n`` (e.g. ``{"buy": 800, "sell": 801}``).  Columns: side, grp,
     date, stock_symbol, broker, cuml, cumq, trnxs, pc_change.
 
-    The per-side top-n has two steps, one plan for every ``n``: the ``n`` best
-    of each of ``TOP_PARTS`` hash parts of the runs, then the ``n`` best of those,
-    so no task sees more than ``n * TOP_PARTS`` rows of a side."""
+    The per-side top-n is merged in two steps, one plan for every ``n``
+    (``session.DEFAULT_CONF`` lifts the planner's limit on it): each task keeps the ``n``
+    best of its own runs, ``TOP_PARTS`` groups of tasks the best of those, and one task a
+    side the best of the groups.  So at most ``n`` rows of a task leave it, and no
+    more than ``n * TOP_PARTS`` rows of a side meet at the end."""
     if not limits or min(limits.values()) < 0:
         raise ValueError("limits must map sides to n >= 0")
     totals = run_summary_sides(trades, tuple(limits), start, end, break_on=break_on,
@@ -94,7 +96,8 @@ def top_runs_sides(trades: DataFrame, prices: DataFrame, start: str | None, end:
         totals = totals.filter(F.col("stock_symbol") == F.lit(symbol))
     order = [F.col("cuml").desc_nulls_last(), "grp", "date", "stock_symbol"]
     most = F.lit(int(max(limits.values())))
-    part = F.pmod(F.xxhash64("grp"), F.lit(TOP_PARTS))
+    # Which rows share a group does not matter for the result.
+    part = F.pmod(F.spark_partition_id(), F.lit(TOP_PARTS))
     ranked = totals.withColumn("_part", part)
     for by in (["side", "_part"], ["side"]):
         ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))

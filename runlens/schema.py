@@ -39,6 +39,33 @@ PRICES = T.StructType([
 # Daily prices as loaded: with the id of their arrival.
 PRICE_LIST = T.StructType([T.StructField("id", T.LongType(), False), *PRICES.fields])
 
+# Runs inside one part (side, day, symbol, segment of ids) of the trades: ``local`` counts
+# them from 1, ``lo`` and ``hi`` are the ids of the run there.
+RUN_PIECES = T.StructType([
+    T.StructField("side", T.StringType(), False),
+    T.StructField("date", T.StringType(), True),
+    T.StructField("stock_symbol", T.StringType(), True),
+    T.StructField("seg", T.LongType(), False),
+    T.StructField("local", T.LongType(), False),
+    T.StructField("broker", T.StringType(), True),
+    T.StructField("lo", T.LongType(), False),
+    T.StructField("hi", T.LongType(), False),
+    T.StructField("amount", T.DecimalType(28, 4), True),
+    T.StructField("quantity", T.LongType(), True),
+    T.StructField("trades", T.LongType(), False),
+])
+
+# Run numbers of each part: where a drill-down finds a run's trades.
+RUN_INDEX = T.StructType([
+    T.StructField("side", T.StringType(), False),
+    T.StructField("first_grp", T.LongType(), False),
+    T.StructField("last_grp", T.LongType(), False),
+    T.StructField("date", T.StringType(), True),
+    T.StructField("stock_symbol", T.StringType(), True),
+    T.StructField("lo", T.LongType(), False),
+    T.StructField("hi", T.LongType(), False),
+])
+
 # Security directory.
 COMPANIES = T.StructType([
     T.StructField("id", T.LongType(), False),

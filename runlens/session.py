@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Ranks with a limit keep their best rows per task before the shuffle at every limit,
+    # not below 1,000 only.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
 }
 
 

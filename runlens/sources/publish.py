@@ -49,7 +49,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def is_published(spark: SparkSession, path: str) -> bool:
-    return bool(_names(spark, f"{path}/{POINTERS}"))
+    """Also where the first load died before its pointer: that table is empty."""
+    return any(n == POINTERS or n.startswith("load=") for n in _names(spark, path))
 
 
 def live(spark: SparkSession, path: str) -> tuple[int, list[str]]:
@@ -106,6 +107,11 @@ def _read(spark: SparkSession, path: str, folders: list[str], target: str) -> Da
             .select(*full.fieldNames()))
 
 
+def read_folders(spark: SparkSession, path: str, folders: list[str], target: str) -> DataFrame:
+    """Rows of some folders of the table, live or staged."""
+    return _read(spark, path, folders, target).drop("load")
+
+
 def read_published(spark: SparkSession, path: str, target: str) -> DataFrame:
     return _read(spark, path, live(spark, path)[1], target).drop("load")
 

@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import COMPANIES, PRICE_LIST, PRICES, TRADES
+from ..schema import COMPANIES, PRICE_LIST, PRICES, RUN_PIECES, TRADES
 from ..operators.ingest import split_bad
 from ..session import scratch_path
 
-TARGETS = {"trades": TRADES, "prices": PRICES, "price_list": PRICE_LIST, "companies": COMPANIES}
+TARGETS = {"trades": TRADES, "prices": PRICES, "price_list": PRICE_LIST, "companies": COMPANIES,
+           "run_pieces": RUN_PIECES}
 
 
 def _check_target(target: str) -> T.StructType:
