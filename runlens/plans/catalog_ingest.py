@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compare as cmp
 from ..operators import ingest as I
+from ..operators import run_store
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import pages as P
@@ -433,3 +434,20 @@ def q_load_prices_ids(spark, sf):
     publish.publish_days(I.prices_table(good, companies), path, "price_list")
     out = publish.read_published(spark, path, "price_list")
     return as_output(out.select("id", "date", "stock_name", "closing_price"))
+
+
+# -- runs stored by the day
+
+@register("stored_run_totals_buy", O.with_ctes(F1, PAGED, f"""
+loaded AS (SELECT {NEW_ID} AS id, date, stock_symbol, buyer, seller, quantity, rate, amount FROM paged2)""",
+          O.runs_sql("buy", None, None, src="loaded"), O.totals_sql("buy")) + """
+SELECT grp, date, stock_symbol, buyer, CAST(cuml AS DOUBLE) AS cuml, CAST(cumq AS BIGINT) AS cumq, trnxs FROM run_rows""")
+def q_stored_run_totals_buy(spark, sf):
+    """The days up to one, then the later ones: all runs from the stored rows."""
+    trades = store.read_table(spark, _load_trades(spark, sf), "trades")
+    path = scratch_path(spark, "runs-stored")
+    for days in (F.col("date") > DELETED_DAY, F.col("date") <= DELETED_DAY):
+        run_store.put_days(spark, path, trades.filter(days))
+    out = run_store.stored_totals(spark, path).filter(F.col("side") == "buy")
+    return out.select("grp", "date", "stock_symbol", F.col("broker").alias("buyer"), F.col("cuml").cast("double").alias("cuml"),
+                      F.col("cumq").cast("long").alias("cumq"), "trnxs")
