@@ -10,14 +10,18 @@ Vectors are linked when their cosine, in double precision, is at least 0.9.
    width of its confidence interval.
 3. Candidates meet in hash tables keyed by some bits of the code.  The number of
    bits grows with the logarithm of the number of vectors, so buckets keep their
-   size, and the number of tables follows from the recall asked for a pair
-   exactly at the threshold (closer pairs are missed less).
-4. A bucket of any size is dealt as pairs of sub-blocks.  In a pair of blocks all
-   estimates are one matrix product; only pairs whose upper confidence bound
-   reaches the threshold are recomputed exactly, so no link is below it.
-5. A pair counts as a link in the first table where its keys agree, so links are
-   counted without listing them; each block pair also sends a spanning forest of
-   its links, and components follow by star rounds.
+   size.  All tables draw from the same bits of a pair, so the number of tables
+   follows from the distribution of the bits in which a pair exactly at the
+   threshold differs (closer pairs are missed less).
+4. A table row is an id and a code, no vector.  A bucket of any size is dealt as
+   pairs of sub-blocks.  In a pair of blocks the differing bits, an unbiased
+   estimate of the angle, leave the pairs whose lower bound of the angle allows a
+   link, each in the first table where its keys agree.
+5. Only vectors with such a pair are fetched, by block pair.  There the estimates
+   of all pairs are one matrix product; those whose upper confidence bound reaches
+   the threshold are recomputed exactly, so no link is below it.
+6. Links are counted without listing them; each block pair also sends a spanning
+   forest of its links, and components follow by star rounds.
 
 Defined results: NULL, zero and non-finite vectors, vectors with NULL components,
 and rows with a NULL id link with nothing (component their own id).  Vectors of
@@ -36,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop_materialized, materialize
 from .components import connected_components
 
 THRESHOLD = 0.9
@@ -46,8 +50,10 @@ WIDTH = 4.0
 #: Recall asked of the tables for a pair exactly at the threshold.
 RECALL = 0.98
 #: Vectors that a bucket is meant to hold, and the rows of a sub-block.
-BUCKET_ROWS = 16
+BUCKET_ROWS = 64
 BLOCK_ROWS = 1024
+#: Bytes of vectors gathered at once for exact cosines.
+EXACT_BYTES = 32 << 20
 SEED = 20240110
 
 
@@ -58,11 +64,29 @@ def rotation(dim: int) -> np.ndarray:
     return np.linalg.qr(rng.standard_normal((max(CODE_BITS, dim), dim)))[0]
 
 
+def missed(bits: int, tables: int) -> float:
+    """Probability that a pair exactly at the threshold meets in no table: the mean,
+    over the number of bits in which its codes differ, of missing every table."""
+    turn = math.acos(THRESHOLD) / math.pi
+    out = 0.0
+    for differ in range(CODE_BITS - bits + 1):
+        weight = (math.lgamma(CODE_BITS + 1) - math.lgamma(differ + 1) - math.lgamma(CODE_BITS - differ + 1)
+                  + differ * math.log(turn) + (CODE_BITS - differ) * math.log1p(-turn))
+        meet = math.comb(CODE_BITS - differ, bits) / math.comb(CODE_BITS, bits)
+        out += math.exp(weight) * (1 - meet) ** tables
+    return out
+
+
 def tables_for(n: int) -> tuple[int, int]:
     """(bits of a key, tables) for ``n`` vectors."""
     bits = max(8, math.ceil(math.log2(max(n, 1) / BUCKET_ROWS)))
-    meet = (1 - math.acos(THRESHOLD) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - meet))
+    low, high = 0, 1
+    while missed(bits, high) > 1 - RECALL:
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if missed(bits, middle) > 1 - RECALL else (low, middle)
+    return bits, high
 
 
 @lru_cache(maxsize=4)
@@ -95,8 +119,9 @@ def links_between(va: np.ndarray, ca: np.ndarray, fa: np.ndarray, vb: np.ndarray
     slack = WIDTH * np.sqrt(np.maximum(0, 1 - fa ** 2)) / fa / math.sqrt(width - 1)
     i, j = np.nonzero(estimate + slack[:, None] >= THRESHOLD)
     out = np.zeros((len(va), len(vb)), bool)
-    for lo in range(0, len(i), 1 << 16):
-        p, q = i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
+    step = max(1, EXACT_BYTES // (8 * va.shape[1]))
+    for lo in range(0, len(i), step):
+        p, q = i[lo:lo + step], j[lo:lo + step]
         dot = np.einsum("ij,ij->i", va[p], vb[q])
         norm = np.linalg.norm(va[p], axis=1) * np.linalg.norm(vb[q], axis=1)
         ok = dot / norm >= THRESHOLD
@@ -104,6 +129,35 @@ def links_between(va: np.ndarray, ca: np.ndarray, fa: np.ndarray, vb: np.ndarray
     return out
 
 
+def most_differing(width: int) -> float:
+    """Bits in which the codes of a link may differ, at the confidence bound."""
+    turn = math.acos(THRESHOLD) / math.pi
+    return width * turn + WIDTH * math.sqrt(width * turn * (1 - turn))
+
+
+def first_pairs(table: int, sides: np.ndarray, codes: np.ndarray, bits: int, tables: int):
+    """(p, q) rows of one block pair whose codes allow a link and whose keys agree in
+    no table before this one; each pair once.  Without rows of side 1 the block is
+    paired with itself."""
+    signs = np.where(codes, 1, -1).astype(np.float32)
+    a, b = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    inner = len(b) == 0
+    other = a if inner else b
+    differ = (codes.shape[1] - signs[a] @ signs[other].T) / 2
+    near = differ <= most_differing(codes.shape[1])
+    if inner:
+        near = np.triu(near, 1)
+    p, q = np.nonzero(near)
+    p, q = a[p], other[q]
+    keys = table_keys(codes, bits, tables)
+    for earlier in range(table):
+        if not len(p):
+            break
+        fresh = keys[p, earlier] != keys[q, earlier]
+        p, q = p[fresh], q[fresh]
+    return p, q
+
+
 def _forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Smallest id of each row's component under a symmetric link matrix."""
     label = ids.copy()
@@ -116,38 +170,43 @@ def _forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def compare_block(table: int, ids, sides, counts, vectors, codes, factors, bits: int, tables: int):
-    """(id, links first met in this table, smallest id of its component here) for
-    the rows of one block pair; side 0 holds both of a block paired with itself."""
-    keys = table_keys(codes, bits, tables)
-
-    def first_here(p, q):
-        return ~(keys[p][:, :table] == keys[q][:, :table]).any(axis=1)
-
-    n = np.zeros(len(ids), np.int64)
+    """(row, its links first met in this table, smallest id of its component here)
+    for the linked rows of one block pair."""
+    p, q = first_pairs(table, sides, codes, bits, tables)
+    rows, cols = np.unique(p), np.unique(q)
     linked = np.zeros((len(ids), len(ids)), bool)
-    a = np.flatnonzero(sides == 0)
-    b = np.flatnonzero(sides == 1)
-    if len(b) == 0:
-        part = links_between(vectors[a], codes[a], factors[a], vectors[a])
-        part |= part.T
-        np.fill_diagonal(part, False)
-        linked = part
-        p, q = np.nonzero(part)
-        keep = first_here(p, q)
-        np.add.at(n, p[keep], counts[q[keep]])
-    elif len(a):
-        part = links_between(vectors[a], codes[a], factors[a], vectors[b])
-        p, q = np.nonzero(part)
-        p, q = a[p], b[q]
+    if len(p):
+        part = links_between(vectors[rows], codes[rows], factors[rows], vectors[cols])
+        ok = part[np.searchsorted(rows, p), np.searchsorted(cols, q)]
+        p, q = p[ok], q[ok]
         linked[p, q] = linked[q, p] = True
-        keep = first_here(p, q)
-        np.add.at(n, p[keep], counts[q[keep]])
-        np.add.at(n, q[keep], counts[p[keep]])
     some = np.flatnonzero(linked.any(axis=1))
     if not len(some):
-        return [], [], []
-    label = _forest(linked[np.ix_(some, some)], ids[some])
-    return ids[some], n[some], label
+        return some, some, some
+    n = np.zeros(len(ids), np.int64)
+    np.add.at(n, p, counts[q])
+    np.add.at(n, q, counts[p])
+    return some, n[some], _forest(linked[np.ix_(some, some)], ids[some])
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list]]:
+    """((t, key, lo, hi), the other columns) of one block pair at a time."""
+    held: list = []
+    current = None
+    for batch in batches:
+        for t, key, lo, hi, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+            if (t, key, lo, hi) != current:
+                if len(held) > 1:
+                    yield current, list(zip(*held))
+                held, current = [], (t, key, lo, hi)
+            held.append(rest)
+    if len(held) > 1:
+        yield current, list(zip(*held))
+
+
+def _unpack(codes, width: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1), axis=1,
+                         count=width).astype(bool)
 
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -167,73 +226,86 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()),
                                               pa.array(vec, pa.binary())], ["id", "digest", "vec"])
 
+    def to_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vecs = batch.column("vec").to_pylist()
+            codes, factors = [b""] * len(vecs), [0.0] * len(vecs)
+            for dim in {len(v) for v in vecs}:
+                at = [i for i, v in enumerate(vecs) if len(v) == dim]
+                code, factor = encode_vectors(np.frombuffer(b"".join(vecs[i] for i in at), "<f8").reshape(len(at), -1))
+                for i, packed, f in zip(at, np.packbits(code, axis=1), factor.tolist()):
+                    codes[i], factors[i] = packed.tobytes(), f
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary()), pa.array(factors)],
+                                             [*batch.schema.names, "code", "factor"])
+
     rows = materialize(vectors.select(F.col(id_col).cast("bigint"), F.col(vec_col)).mapInArrow(
         encode, "id bigint, digest binary, vec binary"), "vectors")
+    # The class number is written with the row, so it stays the same when a task is run again.
     classes = materialize(rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec")), "vector-classes")
+        F.min("id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec"))
+        .withColumn("cid", F.monotonically_increasing_id()).mapInArrow(
+            to_codes, "digest binary, rep bigint, n bigint, vec binary, cid bigint, code binary, factor double"),
+        "vector-codes")
     bits, tables = tables_for(classes.count())
 
-    def codes_of(vecs: list[bytes]):
-        v = np.frombuffer(b"".join(vecs), "<f8").reshape(len(vecs), -1)
-        return v, *encode_vectors(v)
-
     def to_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vecs = batch.column(2).to_pylist()
-            for dim in sorted({len(v) for v in vecs}):
-                at = [i for i, v in enumerate(vecs) if len(v) == dim]
-                _, code, factor = codes_of([vecs[i] for i in at])
-                keys = table_keys(code, bits, tables)
-                packed = [c.tobytes() for c in np.packbits(code, axis=1)]
-                rep, n = batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))
+            sizes = batch.column("size").to_numpy()
+            for dim in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == dim))
+                keys = table_keys(_unpack(part.column("code").to_pylist(), max(CODE_BITS, int(dim))), bits, tables)
                 for t in range(tables):
                     yield pa.RecordBatch.from_arrays(
-                        [rep, n, batch.column(2).take(pa.array(at)), pa.array(packed, pa.binary()),
-                         pa.array(factor), pa.array([t] * len(at), pa.int32()),
-                         pa.array(keys[:, t] * 65536 + dim // 8, pa.int64())],
-                        ["rep", "n", "vec", "code", "factor", "t", "key"])
-
-    placed = classes.select("rep", "n", "vec").mapInArrow(
-        to_tables, "rep bigint, n bigint, vec binary, code binary, factor double, t int, key bigint")
-    placed = materialize(placed, "vector-tables")
-    sizes = (placed.groupBy("t", "key").agg(F.count("*").alias("__m")).filter("__m > 1")
-             .select("t", "key", F.ceil(F.col("__m") / BLOCK_ROWS).cast("int").alias("blocks")))
-    dealt = placed.join(sizes, ["t", "key"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                        [pa.array([t] * part.num_rows, pa.int32()), pa.array(keys[:, t] * 65536 + dim, pa.int64()),
+                         *part.columns], ["t", "key", *part.schema.names])
+
+    coded = classes.select("cid", (F.octet_length("vec") / 8).cast("int").alias("size"), "code")
+    placed = coded.mapInArrow(to_tables, "t int, key bigint, cid bigint, size int, code binary")
+    # Only buckets beyond one block: fewer than a row per BLOCK_ROWS table rows.
+    large = materialize(placed.groupBy("t", "key").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK_ROWS)
+                        .select("t", "key", F.ceil(F.col("m") / BLOCK_ROWS).cast("int").alias("blocks")), "vector-large")
+    own = F.pmod(F.xxhash64("cid"), F.coalesce("blocks", F.lit(1))).cast("int")
+    dealt = (placed.join(large, ["t", "key"], "left").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
              .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
              .withColumn("side", (F.col("own") > F.col("lo")).cast("int"))
-             .select("t", "key", "lo", "hi", "side", "rep", "n", "vec", "code", "factor")
+             .select("t", "key", "lo", "hi", "side", "cid", "size", "code")
              .repartition("t", "key", "lo", "hi").sortWithinPartitions("t", "key", "lo", "hi"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        current = None
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (t, key, lo, hi), (side, cid, size, code) in _block_pairs(batches):
+            if lo < hi and len(set(side)) < 2:   # one block of a pair of two is empty
+                continue
+            p, q = first_pairs(t, np.array(side), _unpack(code, max(CODE_BITS, size[0])), bits, tables)
+            at = np.union1d(p, q).tolist()
+            if at:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([t] * len(at), pa.int32()), pa.array([key] * len(at), pa.int64()),
+                     pa.array([lo] * len(at), pa.int32()), pa.array([hi] * len(at), pa.int32()),
+                     pa.array([side[i] for i in at], pa.int32()), pa.array([cid[i] for i in at], pa.int64())],
+                    ["t", "key", "lo", "hi", "side", "cid"])
+
+    hits = materialize(dealt.mapInArrow(candidates, "t int, key bigint, lo int, hi int, side int, cid bigint"),
+                       "vector-candidates")
+    fetched = (hits.join(classes.select("cid", "rep", "n", "vec", "code", "factor"), "cid")
+               .select("t", "key", "lo", "hi", "side", "cid", "rep", "n", "vec", "code", "factor")
+               .repartition("t", "key", "lo", "hi").sortWithinPartitions("t", "key", "lo", "hi"))
 
-        def done():
-            t, side, rep, n, vec, code, factor = (list(c) for c in zip(*held))
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (t, *_), (side, cid, rep, n, vec, code, factor) in _block_pairs(batches):
             v = np.frombuffer(b"".join(vec), "<f8").reshape(len(vec), -1)
-            c = np.unpackbits(np.frombuffer(b"".join(code), np.uint8).reshape(len(code), -1), axis=1,
-                              count=max(CODE_BITS, v.shape[1])).astype(bool)
-            return compare_block(t[0], np.array(rep), np.array(side), np.array(n), v, c, np.array(factor),
-                                 bits, tables)
-        for batch in batches:
-            out: list[list] = [[], [], []]
-            for t, key, lo, hi, *rest in zip(*[c.to_pylist() for c in batch.columns]):
-                if (t, key, lo, hi) != current:
-                    if len(held) > 1:
-                        for col, got in zip(out, done()):
-                            col.extend(got)
-                    held, current = [], (t, key, lo, hi)
-                held.append((t, *rest))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["node", "links", "to"])
-        if len(held) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in done()], ["node", "links", "to"])
-
-    found = materialize(dealt.mapInArrow(compare, "node bigint, links bigint, to bigint"), "vector-links")
+            at, links, to = compare_block(t, np.array(rep), np.array(side), np.array(n), v,
+                                          _unpack(code, max(CODE_BITS, v.shape[1])), np.array(factor), bits, tables)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(cid)[at], pa.int64()), pa.array(np.array(rep)[at], pa.int64()),
+                 pa.array(links, pa.int64()), pa.array(to, pa.int64())], ["cid", "node", "links", "to"])
+
+    found = materialize(fetched.mapInArrow(compare, "cid bigint, node bigint, links bigint, to bigint"), "vector-links")
+    drop_materialized(hits)
+    drop_materialized(large)
     comps = connected_components(found, "node", "to")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    per_class = (classes.select("digest", "rep", "n")
-                 .join(links.withColumnRenamed("node", "rep"), "rep", "left")
+    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    per_class = (classes.select("digest", "cid", "rep", "n").join(links, "cid", "left")
                  .join(comps.withColumnRenamed("node", "rep"), "rep", "left")
                  .select("digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
                          F.coalesce("component", "rep").alias("component")))
