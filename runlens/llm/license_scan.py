@@ -1,26 +1,24 @@
 """License scan: a positional rare-token index over licence templates.
 
-Built-in DataFrame functions only.  The index holds, for every template, the
-highest-IDF words of its mandatory key phrase (IDF over the template collection)
-with their positions in the phrase.  A file is scanned in one pass and without a
+Built-in DataFrame functions only.  The index posts, for every template, the
+highest-IDF words of its mandatory key phrase (IDF over the template collection):
+one map from a word to (template, place in the key phrase) for the rarest word of
+each key phrase, one for the next.  A file is scanned in one pass and without a
 shuffle:
 
 1. its words are cut out and the positions of indexed words looked up (one hash
    set test a word);
-2. per template, the positions of its posted words, each less the word's place in
-   the key phrase, are intersected: what is left are places where the postings
-   agree on the relative position;
-3. a place counts when the key phrase stands there, word by word, whatever stands
-   around it;
+2. the postings of its rarest words, each position less the posted place, give
+   (template, relative start); those of the next words are intersected with them,
+   all templates at once, and what is left are starts where the postings agree;
+3. a start counts when the template's key phrase stands there, word by word,
+   whatever stands around it;
 4. the share of the template's words found in place gives the coverage; words that
-   would stand before the text's first word are not found.
+   would stand before the text's first word or after its last are not found.
 
 The phrases of the base contract are templates whose key phrase is the whole
-phrase.  The places of all templates are complete.
-
-``license_sql`` asks more of a notice: two rare words of the whole template in place
-and its start inside the text.  The results are equal where notices stand in the
-wording of their template; for other wordings the scan finds more.
+phrase.  The places of all templates are complete.  Templates are short notices
+and whole licence texts; a file scores by its best covered one.
 
 Defined results: NULL and empty texts have no words, no labels (empty strings),
 score 0 and NULL first/last word; repeated rows give repeated rows; every input
@@ -76,6 +74,53 @@ NOTICES = (
      "mozilla public license v 2 0"),
     ("unlicense", "This is free and unencumbered software released into the public domain",
      "free and unencumbered software"),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+language governing permissions and limitations under the License.""", "apache license version 2 0"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
+associated documentation files (the "Software"), to deal in the Software without restriction, including without
+limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
+copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+     "permission is hereby granted free of charge"),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+     "distribute this software for any purpose with or without fee"),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""", "source and binary forms with or without modification"),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors
+be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the
+following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the
+original software. If you use this software in a product, an acknowledgment in the product documentation would be
+appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+misrepresented as being the original software. 3. This notice may not be removed or altered from any source
+distribution.""", "altered source versions must be plainly marked as such"),
+    ("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+details. You should have received a copy of the GNU General Public License along with this program. If not, see
+<https://www.gnu.org/licenses/>.""", "under the terms of the gnu general public license"),
 )
 
 #: Highest-IDF words of a key phrase that the index holds.
@@ -94,7 +139,6 @@ class Template:
     words: tuple[str, ...]
     key: tuple[str, ...]
     key_at: int
-    rare: tuple[tuple[str, int], ...]   # (word, its place in the template), of the SQL
     posted: tuple[tuple[str, int], ...]   # (word, its place in the key phrase)
     base: bool
 
@@ -117,34 +161,38 @@ def build_index(notices=NOTICES, base=BASE, rare_words: int = RARE_WORDS) -> lis
     out = []
     for label, ws, key, is_base in texts:
         at = next(i for i in range(len(ws)) if ws[i:i + len(key)] == key)
-        out.append(Template(label, tuple(ws), tuple(key), at, rarest(ws), rarest(key), is_base))
+        out.append(Template(label, tuple(ws), tuple(key), at, rarest(key), is_base))
     return out
 
 
-def _places(t: Template) -> Column:
-    """Places (from 0) where the posted words agree and the key phrase stands."""
-    def place_of(word: str, place: int) -> Column:
-        return F.transform(F.filter("__hits", lambda i: F.get("__words", i) == word), lambda i: i - place)
+def _strings(words) -> Column:
+    return F.array(*[F.lit(w) for w in words])
+
 
-    sides = [place_of(w, p) for w, p in t.posted]
-    both = sides[0]
-    for side in sides[1:]:
-        both = F.array_intersect(both, side)
+def _starts(index: list[Template], rank: int) -> Column:
+    """(template, start) of every hit of the ``rank``-th rarest words; a key phrase
+    of fewer different words is posted by its last one."""
+    postings: dict[str, list[Column]] = {}
+    for k, t in enumerate(index):
+        word, place = t.posted[min(rank, len(t.posted) - 1)]
+        postings.setdefault(word, []).append(F.struct(F.lit(k).alias("t"), F.lit(place).alias("place")))
+    posted = F.create_map(*[x for w in sorted(postings) for x in (F.lit(w), F.array(*postings[w]))])
+    return F.flatten(F.array_compact(F.transform("__hits", lambda i: F.transform(
+        F.element_at(posted, F.get("__words", i)),
+        lambda e: F.struct(e["t"].alias("t"), (i - e["place"]).alias("s"))))))
 
-    def holds(p):
-        ok = p >= 0
-        for k, w in enumerate(t.key):
-            ok = ok & (F.get("__words", p + k) == w)
-        return F.coalesce(ok, F.lit(False))
-    return F.filter(both, holds)
 
+def _coverage(index: list[Template]) -> Column:
+    """Share of the words of the best covered template among the found notices."""
+    texts, at = F.array(*[_strings(t.words) for t in index]), F.array(*[F.lit(t.key_at) for t in index])
 
-def _coverage(t: Template, found: Column) -> Column:
-    here = F.array(*[F.lit(w) for w in t.words])
-    places = F.sequence(F.lit(0), F.lit(len(t.words) - 1))
-    return F.coalesce(F.array_max(F.transform(found, lambda p: F.size(F.filter(
-        places, lambda k: F.coalesce(F.get("__words", p - t.key_at + k) == F.get(here, k), F.lit(False))))
-        / F.lit(len(t.words)))), F.lit(0.0))
+    def share(x: Column) -> Column:
+        words = F.get(texts, x["t"])
+        in_place = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda k: F.coalesce(
+            F.get("__words", x["s"] - F.get(at, x["t"]) + k) == F.get(words, k), F.lit(False)))
+        return F.size(in_place) / F.size(words)
+    notices = F.filter("__found", lambda x: ~F.get(F.array(*[F.lit(t.base) for t in index]), x["t"]))
+    return F.coalesce(F.array_max(F.transform(notices, share)), F.lit(0.0))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -159,33 +207,40 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.when(F.size("__words") > 0, F.sequence(F.lit(0), F.size("__words") - 1)).otherwise(
             F.array().cast("array<int>")),
         lambda i: F.get("__words", i).isin(posted)).alias("__hits"))
-    df = df.select(id_col, "__words", *[_places(t).alias(f"__t{k}") for k, t in enumerate(index)])
-    base = [f"__t{k}" for k, t in enumerate(index) if t.base]
-    places = F.concat(*base)
-    labels = lambda ks: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(
-        *[F.when(F.size(f"__t{k}") > 0, F.lit(index[k].label)) for k in ks])))), ",")
-    score = F.greatest(F.when(F.size(places) > 0, F.lit(BASE_SCORE)).otherwise(F.lit(0.0)),
-                       *[_coverage(t, F.col(f"__t{k}")) for k, t in enumerate(index) if not t.base])
+    both = _starts(index, 0)
+    for rank in range(1, max(len(t.posted) for t in index)):
+        both = F.array_intersect(both, _starts(index, rank))
+    keys = F.array(*[_strings(t.key) for t in index])
+    df = df.select(id_col, "__words", F.filter(both, lambda x: F.when(x["s"] >= 0, F.slice(
+        "__words", x["s"] + 1, F.size(F.get(keys, x["t"]))) == F.get(keys, x["t"])).otherwise(False)).alias("__found"))
+
+    is_base = F.array(*[F.lit(t.base) for t in index])
+    df = df.select(id_col, "__words", "__found", F.filter("__found", lambda x: F.get(is_base, x["t"])).alias("__base"))
+    places = F.transform("__base", lambda x: x["s"])
+    names = _strings(t.label for t in index)
+
+    def labels(found: str) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda x: F.get(names, x["t"])))), ",")
+    score = F.greatest(F.when(F.size("__base") > 0, F.lit(BASE_SCORE)).otherwise(F.lit(0.0)), _coverage(index))
     return df.select(
         F.col(id_col),
         F.size("__words").cast("long").alias("n_words"),
-        F.size(places).cast("long").alias("n_base"),
+        F.size("__base").cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"),
         F.array_max(places).cast("long").alias("last_word"),
-        labels([k for k, t in enumerate(index) if t.base]).alias("base_labels"),
-        labels(range(len(index))).alias("labels"),
+        labels("__base").alias("base_labels"),
+        labels("__found").alias("labels"),
         score.cast("double").alias("score"))
 
 
 def license_sql(table: str = "documents", index: list[Template] | None = None) -> str:
-    """The same result in DuckDB SQL, by scanning every place of every template."""
+    """The same result in DuckDB SQL: every place is held against the key phrase of
+    every template."""
     index = index or build_index()
     rx = WORD.replace("'", "''")
 
-    def at(t: Template, s: str = "i") -> str:
-        ws = [f"w[{s} + {t.key_at + k + 1}] = '{x}'" for k, x in enumerate(t.key)]
-        ws += [f"w[{s} + {p + 1}] = '{x}'" for x, p in t.rare]
-        return " AND ".join(ws)
+    def at(t: Template) -> str:
+        return " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(t.key))
 
     cols = ",\n".join(f"list_filter(range(len(w)), lambda i: coalesce({at(t)}, false)) AS t{k}"
                       for k, t in enumerate(index))
@@ -197,8 +252,10 @@ def license_sql(table: str = "documents", index: list[Template] | None = None) -
         return f"array_to_string(list_sort(list_distinct(list_filter([{one}], lambda x: x IS NOT NULL))), ',')"
 
     def coverage(k: int, t: Template) -> str:
-        hit = " + ".join(f"CASE WHEN w[s + {j + 1}] = '{x}' THEN 1 ELSE 0 END" for j, x in enumerate(t.words))
-        return f"coalesce(list_max(list_transform(t{k}, lambda s: ({hit}) / {len(t.words)}.0::DOUBLE)), 0.0)"
+        words = "[" + ", ".join(f"'{x}'" for x in t.words) + "]"
+        hit = (f"len(list_filter(range({len(t.words)}), lambda j: s - {t.key_at} + j >= 0 "
+               f"AND coalesce(w[s - {t.key_at - 1} + j] = ({words})[j + 1], false)))")
+        return f"coalesce(list_max(list_transform(t{k}, lambda s: {hit} / {len(t.words)}.0::DOUBLE)), 0.0)"
 
     scores = ", ".join(coverage(k, t) for k, t in enumerate(index) if not t.base)
     return f"""

@@ -34,7 +34,11 @@ def duck(sql, table):
 LICENSED = [(1, "CC BY and cc-by; All rights reserved."), (2, "GNU GENERAL PUBLIC LICENSE general public license"),
             (3, "This work is licensed under the GNU General Public License, version 3."), (4, "general publiclicense"),
             (5, "Licensed under CC BY-NC 4.0. Released under the MIT License."), (6, "all\nrights\x00reserved cc by"),
-            (7, "version 2.0 of the Apache License"), (8, "cc cc by by cc by"), (9, "İcc by K cc by")]
+            (7, "version 2.0 of the Apache License"), (10, "Licensed under the MIT License"),
+            (11, "MIT License. mit license"), (12, "GNU General Public License version 2 or later"),
+            (13, "apache license version 2.0 applies"), (14, "the license mit, and the public general license"),
+            (15, "see: " + license_scan.NOTICES[16][1] + " " + license_scan.NOTICES[18][1][:300]),
+            (16, "x " * 50 + " ".join(license_scan.NOTICES[17][1].split()[20:])), (8, "cc cc by by cc by"), (9, "İcc by K cc by")]
 
 
 @pytest.mark.parametrize("table", [LICENSED, ODD, []])
@@ -48,6 +52,7 @@ def test_license_labels(docs):
     assert got[3].labels == "gpl,gpl-3.0" and got[3].score == 1.0
     assert got[4].n_base == 0 and got[4].first_word is None and got[4].labels == "" and got[4].score == 0
     assert got[8].n_base == 2
+    assert got[15].labels == "bsd,mit" and got[15].score == 1.0
 
 
 def test_license_labels_of_other_wordings(docs):
