@@ -6,6 +6,7 @@
     python -m runlens load-trades   --pages DIR --table DIR [--quarantine DIR]
     python -m runlens load-prices   --pages DIR --companies DIR --table DIR
     python -m runlens load-companies --pages DIR --table DIR [--append]
+    python -m runlens coverage      --pages DIR [--calendar CSV] --out DIR
     python -m runlens backfill      --companies DIR --snapshot FILE [--multiline] [--sectors CSV] --table DIR
     python -m runlens delete-day    --table DIR --date D
 
@@ -28,6 +29,7 @@ from .operators.enrich import backfill_companies
 from .schema import PAGES
 from .session import build_session
 from .sources import publish, store
+from .sources.pages import page_count, page_gaps
 from .sources.snapshot import snapshot_parts
 
 
@@ -72,6 +74,10 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--multiline", action="store_true")
     b.add_argument("--sectors", default=None, help="CSV with header: stock_symbol,sector")
     b.add_argument("--table", required=True)
+    g = sub.add_parser("coverage")
+    g.add_argument("--pages", required=True)
+    g.add_argument("--calendar", default=None, help="CSV with header: date; days expected")
+    g.add_argument("--out", required=True)
     x = sub.add_parser("delete-day")
     x.add_argument("--table", required=True)
     x.add_argument("--date", required=True)
@@ -131,11 +137,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         sectors = (spark.read.option("header", True).schema("stock_symbol string, sector string").csv(args.sectors)
                    if args.sectors else None)
         records, malformed = snapshot_parts(spark, args.snapshot, args.multiline)
-        lost = args.table.rstrip("/") + ".quarantine"
-        malformed.write.mode("overwrite").text(lost)
+        lost = store.load_folder(args.table.rstrip("/") + ".quarantine")
+        malformed.write.text(lost)
         print(f"backfill: {spark.read.text(lost).count()} malformed records in {lost}")
         out = backfill_companies(companies, records, sectors)
         publish.publish_table(out, args.table, "companies")
+    elif args.cmd == "coverage":
+        days = (spark.read.option("header", True).schema("date string").csv(args.calendar) if args.calendar else None)
+        landed = pages(args.pages)
+        page_gaps(landed, page_count(landed), days).write.mode("overwrite").option("header", True).csv(args.out)
     elif args.cmd == "delete-day":
         (publish.unpublish_day if publish.is_published(spark, args.table) else store.delete_day)(
             spark, args.table, args.date)

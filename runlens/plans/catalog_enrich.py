@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import enrich
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.snapshot import read_snapshot, snapshot_parts, write_snapshot_lines
+from ..sources.snapshot import drifting_snapshot, read_snapshot, snapshot_parts, write_snapshot_lines
 from . import oracle as O
 from .catalog import F1, P1_ALL, as_output, f1_prices_all, f1_trades, register
 
@@ -96,6 +96,30 @@ def q_snapshot_malformed(spark, sf):
         F.regexp_extract("value", r'"symbol": "([^"]*)"', 1).alias("symbol"), F.lit(True).alias("bad")))
 
 
+@register("snapshot_drift", O.with_ctes(SNAPSHOT_F5) + """
+SELECT id, symbol, CASE WHEN p_size <> 3 THEN CAST(p_size AS BIGINT) END AS total_trades,
+       CASE WHEN p_size = 3 THEN 'three' END AS odd_trades, CASE WHEN p_size > 25 THEN CAST(p_size AS BIGINT) END AS lot,
+       CASE WHEN p_size > 25 THEN 'B' || CAST(p_size AS VARCHAR) END AS board,
+       CAST(CASE WHEN p_size > 25 THEN 2 ELSE 0 END + CASE WHEN p_size = 3 THEN 1 ELSE 0 END AS INTEGER) AS n_extra
+FROM snap""")
+def q_snapshot_drift(spark, sf):
+    """Records of large parts hold two keys more, one of them nested; those of size-3
+    parts a word for a count."""
+    path = scratch_path(spark, "snapshot-drift")
+    lines = fx.snapshot_json_lines(fx.table(spark, sf, "part"))
+    trades = F.regexp_extract("value", r'"totalTrades": (\d+)', 1)
+    more = F.concat(F.expr("left(value, length(value) - 1)"), F.lit(', "lotSize": '), trades,
+                    F.lit(', "listing": {"board": "B'), trades, F.lit('"}}'))
+    drift = F.when(trades == "3", F.replace("value", F.lit('"totalTrades": 3,'), F.lit('"totalTrades": "three",'))
+                   ).when(trades.cast("int") > 25, more).otherwise(F.col("value"))
+    write_snapshot_lines(lines.select(drift.alias("value")), path)
+    extra = lambda key, at, kind: F.try_variant_get(F.try_element_at("extra", F.lit(key)), at, kind)
+    return drifting_snapshot(spark, path).select(
+        "id", "symbol", F.col("totalTrades").alias("total_trades"),
+        extra("totalTrades", "$", "string").alias("odd_trades"), extra("lotSize", "$", "bigint").alias("lot"),
+        extra("listing", "$.board", "string").alias("board"), F.size("extra").alias("n_extra"))
+
+
 @register("symbol_lookup", O.with_ctes(F1, P1_ALL, COMPANIES_F4) + """
 , firsts AS (SELECT stock_name AS name, arg_min(stock_symbol, id) AS sym FROM companies GROUP BY stock_name)
 SELECT p.date, p.stock_name, coalesce(f.sym, '-') AS stock_symbol, p.num_trnx,

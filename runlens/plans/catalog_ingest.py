@@ -24,6 +24,7 @@ from .catalog_enrich import COMPANIES_F4, COMPANIES_PARTS
 PAGE_SIZE = 100          # trades per page in the fixtures (the exchange serves up to 10,000)
 LOST_PAGE = 2            # page number that never landed, per day, in the coverage check
 DELETED_DAY = "2024-01-10"
+UNREADABLE_DAY = "2024-01-11"   # day whose only landed page holds no readable pager
 STALE_MIN_SIZE = 30      # the stale directory load before a refresh keeps larger parts only
 
 PAGED = f"""
@@ -148,6 +149,28 @@ def q_missing_pages_no_pager(spark, sf):
     return P.missing_pages(landed, P.page_count(landed))
 
 
+@register("page_gaps", SQL_PAGED + f"""
+, kept AS (SELECT DISTINCT date, page_no, pages FROM paged2
+           WHERE page_no NOT IN ({LOST_PAGE}, {LOST_PAGE + 1}) AND date NOT IN ('{DELETED_DAY}', '{UNREADABLE_DAY}')),
+lost AS (SELECT DISTINCT p.date, p.page_no FROM paged2 p ANTI JOIN kept k ON p.date = k.date AND p.page_no = k.page_no
+         WHERE p.date NOT IN ('{DELETED_DAY}', '{UNREADABLE_DAY}')),
+islands AS (SELECT *, page_no - row_number() OVER (PARTITION BY date ORDER BY page_no) AS island FROM lost)
+SELECT date, CAST(min(page_no) AS INTEGER) AS first_page, CAST(max(page_no) AS INTEGER) AS last_page, 'pages lost' AS reason
+FROM islands GROUP BY date, island
+UNION ALL SELECT DISTINCT date, 1, CAST(NULL AS INTEGER), 'no page landed' FROM paged2 WHERE date = '{DELETED_DAY}'
+UNION ALL SELECT date, 2, NULL, 'no readable pager' FROM paged2 WHERE date = '{UNREADABLE_DAY}' GROUP BY date""")
+def q_page_gaps(spark, sf):
+    """Two pages of every day are lost; of one day none landed, of another only the
+    first, whose pager cannot be read.  The calendar is the trading days."""
+    pager = F.regexp_replace("html", r'(<div class="pager">).*?</div>', "$1</div>")
+    pages = trade_pages(spark, sf)
+    unreadable = F.col("date") == UNREADABLE_DAY
+    landed = (pages.filter(F.when(unreadable, F.col("page_no") == 1).otherwise(
+        ~F.col("page_no").isin(LOST_PAGE, LOST_PAGE + 1) & (F.col("date") != DELETED_DAY)))
+        .withColumn("html", F.when(unreadable, pager).otherwise(F.col("html"))))
+    return P.page_gaps(landed, P.page_count(landed), f1_trades(spark, sf).select("date"))
+
+
 @register("missing_pages_zero", SQL_PAGED + f"SELECT DISTINCT date, {LOST_PAGE} AS page_no FROM paged2 "
           f"WHERE pages >= {LOST_PAGE} AND date <> '{DELETED_DAY}'")
 def q_missing_pages_zero(spark, sf):

@@ -37,6 +37,8 @@ COMPANY_ROW_SLICE = (2, 1)
 # Deepest nesting of rows or cells that is followed; a page beyond it is a problem.
 MAX_DEPTH = 16
 NO_TABLE, NO_ROWS, TOO_DEEP = "no table", "no data rows", "nested too deeply"
+# Why pages of a day are missing.
+LOST, NO_PAGER, NO_PAGES = "pages lost", "no readable pager", "no page landed"
 
 
 def _class_pattern(tag: str, cls: str) -> str:
@@ -197,6 +199,34 @@ def missing_pages(pages: DataFrame, counts: DataFrame) -> DataFrame:
     return expected.join(pages.select("date", "page_no"), ["date", "page_no"], "left_anti")
 
 
+def page_gaps(pages: DataFrame, counts: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """I-2 as intervals: (date, first_page, last_page, reason) of pages that have not
+    landed, one row per gap however long, sorted pages of a day being the only list.
+
+    ``counts`` is the result of ``page_count``; ``calendar`` holds the days expected
+    (column ``date``), whether a page of theirs landed or not.  Where a day's number of
+    pages cannot be told, what follows its last page is an open gap (``last_page``
+    NULL): ``NO_PAGER`` where pages landed, ``NO_PAGES`` where none did.  Repeated pages
+    count once; pages without a date or a positive number belong to no day.
+    """
+    days = counts.filter(F.col("date").isNotNull()).select("date", F.col("pages").cast("int").alias("_n"))
+    if calendar is not None:
+        expected = calendar.select("date").filter(F.col("date").isNotNull()).distinct()
+        days = days.join(expected, "date", "full_outer")
+    landed = (pages.filter(F.col("date").isNotNull() & (F.col("page_no") >= 1))
+              .groupBy("date", "page_no").agg(F.lit(None).cast("int").alias("_n")))
+    marks = days.select("date", F.lit(0).alias("page_no"), "_n").unionByName(landed)
+    day = Window.partitionBy("date")
+    ordered = marks.select("date", "page_no", F.max("_n").over(day).alias("_n"),
+                           F.max("page_no").over(day).alias("_top"),
+                           F.lead("page_no").over(day.orderBy("page_no")).alias("_next"))
+    last = F.least(F.col("_next") - 1, F.col("_n"))   # least skips NULLs
+    reason = F.when(last.isNotNull(), LOST).when(F.col("_top") > 0, NO_PAGER).otherwise(NO_PAGES)
+    first = F.col("page_no") + 1
+    return ordered.filter(last.isNull() | (last >= first)).select(
+        "date", first.alias("first_page"), last.alias("last_page"), reason.alias("reason"))
+
+
 def table_rows(pages: DataFrame, cls: str, row_slice: tuple[int, int], keep: list[str] | None = None) -> DataFrame:
     """One row per data row of the page's table: ``(keep..., pos, cells, problem)``.
 

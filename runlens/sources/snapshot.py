@@ -1,7 +1,8 @@
 """Exchange snapshot source (I-9): JSON records with a fixed schema.
 
 Accepts JSON lines (one object per line, splittable) or, with
-``multiline=True``, files holding one JSON array of objects.
+``multiline=True``, files holding one JSON array of objects.  ``drifting_snapshot`` also keeps what the
+fixed schema has no place for.
 """
 
 from __future__ import annotations
@@ -35,6 +36,25 @@ def snapshot_parts(spark: SparkSession, path: str, multiline: bool = False) -> t
     return rows.filter(F.col(_RAW).isNull()).drop(_RAW), bad.filter(F.col("value").isNotNull())
 
 
+def drifting_snapshot(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """All records with the column ``extra`` (map<string, variant>): keys that the schema
+    does not name, and named ones whose value does not fit their type (NULL in their own
+    column).  ``variant_get(extra['key'], '$', 'type')`` reads them.  A malformed record
+    fails the read, as in ``read_snapshot``."""
+    whole = (spark.read.option("singleVariantColumn", "_v").option("multiLine", str(bool(multiline)).lower())
+             .option("mode", "FAILFAST").json(path))
+    if multiline:   # a file is one array, or one object
+        items = F.expr("coalesce(try_cast(_v AS array<variant>), array(_v))")
+        whole = whole.select(F.explode(items).alias("_v"))
+    read = [F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in SNAPSHOT.fields]
+    rows = whole.select(*read, F.expr("try_cast(_v AS map<string, variant>)").alias("_all"))
+    unread = F.array_compact(F.array(*[F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in SNAPSHOT.fields]))
+    named = F.array(*[F.lit(f.name) for f in SNAPSHOT.fields])
+    kept = F.map_filter("_all", lambda k, v: ~F.array_contains(named, k) | (
+        F.array_contains(unread, k) & v.isNotNull() & ~F.is_variant_null(v)))
+    return rows.select(*[f.name for f in SNAPSHOT.fields], kept.alias("extra"))
+
+
 def write_snapshot_lines(lines: DataFrame, path: str) -> str:
     """Write a one-column ``value`` DataFrame of JSON objects as text files."""
     lines.select("value").write.mode("overwrite").text(path)

@@ -95,12 +95,17 @@ def append_days(df: DataFrame, path: str, target: str = "trades") -> None:
     load_days(staged(new.unionByName(kept.select(*new.columns)), "append-all"), path, target)
 
 
+def load_folder(path: str) -> str:
+    """Name of a folder of its own, below ``path``, for what one load leaves."""
+    return f"{path.rstrip('/')}/load={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+
+
 def keep_parsed(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """I-8: writes parsed rows once, into a folder of this load below ``path`` (parts
     ``bad=true`` and ``bad=false``), and returns (good, quarantined) rows read from it.
     What earlier loads left there stays."""
     spark = parsed.sparkSession
-    load = f"{path.rstrip('/')}/load={time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    load = load_folder(path)
     parsed.write.partitionBy("bad").parquet(load)
     stored = spark.read.schema(parsed.schema).parquet(load).select(*parsed.columns)
     return split_bad(stored)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from runlens.__main__ import main
 from runlens.operators import compare
 from runlens.plans import catalog
+from runlens.schema import PAGES
 from runlens.session import scratch_path
 from runlens.sources import fixtures as fx
 from runlens.sources import pages as P
@@ -83,4 +86,23 @@ def test_cli_symbol_report_drill_and_backfill(spark, tmp_path):
     assert main(["backfill", "--companies", d["companies"], "--snapshot", snap, "--multiline",
                  "--sectors", sectors, "--table", d["companies"]], spark) == 0
     got = {r.stock_symbol: r.sector for r in store.read_table(spark, d["companies"], "companies").collect()}
+    cut = os.path.join(tmp_path, "cut.json")
+    for text in ('{"id": 1, "symbol": \n', '{"id": 2,\n'):   # what the first load refused stays
+        with open(cut, "w") as fh:
+            fh.write(text)
+        assert main(["backfill", "--companies", d["companies"], "--snapshot", cut, "--table", d["companies"]], spark) == 0
+    assert spark.read.text(d["companies"] + ".quarantine").count() == 2
     assert got["error"] == "Others" and len(got) == 9   # 8 listings + the back-filled one
+
+
+def test_coverage_of_landed_pages(spark, tmp_path):
+    pages, calendar, out = (os.path.join(tmp_path, x) for x in ("pages", "days.csv", "gaps"))
+    pager = '<div class="pager"><a href="#">1/%s</a></div>'
+    spark.createDataFrame([("2024-01-02", 2, "u", pager % 4), ("2024-01-03", 1, "u", "")], PAGES).write.parquet(pages)
+    with open(calendar, "w") as fh:
+        fh.write("date\n2024-01-04\n")
+    assert main(["coverage", "--pages", pages, "--calendar", calendar, "--out", out], spark) == 0
+    got = {tuple(r) for r in spark.read.schema("date string, a int, b int, reason string").option("header", True)
+           .csv(out).collect()}
+    assert got == {("2024-01-02", 1, 1, "pages lost"), ("2024-01-02", 3, 4, "pages lost"),
+                   ("2024-01-03", 2, None, "no readable pager"), ("2024-01-04", 1, None, "no page landed")}

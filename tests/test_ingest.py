@@ -15,7 +15,7 @@ from runlens.schema import PAGES, TRADES
 from runlens.session import scratch_path
 from runlens.sources import pages as P
 from runlens.sources import store
-from runlens.sources.snapshot import read_snapshot, snapshot_parts
+from runlens.sources.snapshot import drifting_snapshot, read_snapshot, snapshot_parts
 from runlens.streaming.pages_stream import read_streamed_trades, start_page_stream
 
 
@@ -274,3 +274,50 @@ def test_appended_companies_follow_those_there(spark):
     assert [r.stock_symbol for r in table.orderBy("id").collect()] == ["A1", "B1", "C1", "a1", "b1", "c1"]
     first = enrich.first_symbol_per_name(table).collect()
     assert {r._looked_up for r in first} == {"A1", "B1", "C1"}
+
+
+def test_page_gaps(spark):
+    """Gaps at the start, inside and at the end; repeats, pages beyond the count, days
+    without a pager, without pages, without a date."""
+    landed = spark.createDataFrame(
+        [("d1", n) for n in (2, 3, 3, 7, 10)] + [("d2", 1), ("d2", 4), ("d3", 2), ("d3", 1), ("d4", 1), ("d4", 5),
+                                                 (None, 1), ("d1", None), ("d1", -4)], "date string, page_no int")
+    counts = spark.createDataFrame([("d1", 12), ("d2", None), ("d3", 2), ("d4", 2), ("d6", 0), (None, 3)],
+                                   "date string, pages int")
+    calendar = spark.createDataFrame([("d3",), ("d5",), ("d5",), (None,)], "date string")
+    want = {("d1", 1, 1, P.LOST), ("d1", 4, 6, P.LOST), ("d1", 8, 9, P.LOST), ("d1", 11, 12, P.LOST),
+            ("d2", 2, 3, P.LOST), ("d2", 5, None, P.NO_PAGER), ("d4", 2, 2, P.LOST)}
+    got = [tuple(r) for r in P.page_gaps(landed, counts).collect()]
+    assert len(got) == len(want) and set(got) == want
+    got = [tuple(r) for r in P.page_gaps(landed, counts, calendar).collect()]
+    assert set(got) == want | {("d5", 1, None, P.NO_PAGES)}
+    none = landed.limit(0)
+    assert P.page_gaps(none, counts.limit(0)).count() == 0
+    assert P.page_gaps(none, counts.limit(0), calendar).count() == 2
+
+
+def test_page_gaps_build_no_list_of_pages(spark):
+    """A day of a thousand million expected pages is two rows."""
+    landed = spark.createDataFrame([("d", 500)], "date string, page_no int")
+    counts = spark.createDataFrame([("d", 10**9)], "date string, pages int")
+    got = sorted(tuple(r)[1:3] for r in P.page_gaps(landed, counts).collect())
+    assert got == [(1, 499), (501, 10**9)]
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_unknown_snapshot_keys_survive(spark, tmp_path, multiline):
+    f = os.path.join(tmp_path, "snap.json")
+    records = ['{"id": 1, "symbol": "A", "openPrice": 12.5, "new": {"a": [1, 2]}, "lot": 10}',
+               '{"id": "x", "symbol": null, "businessDate": "2024-02-15", "lot": null}', '{"symbol": "C"}']
+    with open(f, "w") as fh:
+        fh.write("[" + ",".join(records) + "]" if multiline else "\n".join(records))
+    snap = drifting_snapshot(spark, f, multiline)
+    got = {r.symbol: r for r in snap.selectExpr(
+        "id", "symbol", "cast(openPrice as double) AS p", "cast(businessDate as string) AS d", "map_keys(extra) AS keys",
+        "try_variant_get(extra['new'], '$.a[1]', 'int') AS second", "cast(extra['id'] as string) AS odd").collect()}
+    assert (got["A"].id, got["A"].p, sorted(got["A"].keys), got["A"].second) == (1, 12.5, ["lot", "new"], 2)
+    assert (got[None].id, got[None].d, got[None].odd) == (None, "2024-02-15", "x")
+    assert sorted(got[None].keys) == ["id", "lot"] and got["C"].keys == []
+    path = os.path.join(tmp_path, "kept")
+    snap.write.parquet(path)
+    assert spark.read.parquet(path).filter("variant_get(extra['lot'], '$', 'int') = 10").count() == 1
