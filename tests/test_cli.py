@@ -59,7 +59,6 @@ def test_cli_pages_to_report(spark):
 
 def test_cli_symbol_report_drill_and_backfill(spark, tmp_path):
     import json
-    import os
     trades = catalog.f1_trades(spark, SF001)
     prices = catalog.f1_prices(spark, SF001)
     d = {k: scratch_path(spark, f"cli2-{k}") for k in ("trades", "prices", "rep", "drill", "companies")}
