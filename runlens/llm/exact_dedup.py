@@ -15,7 +15,9 @@ with the smallest id.
 
 Defined results: NULL counts as the empty text, and all empty texts are equal;
 a NULL id loses ties; rows that repeat an id are rows of their own in the group
-size; extra columns are ignored.
+size, and of those only the longest is kept (rows equal in id, text and length are
+kept alike); very long texts are inserted whole, and a text beyond the budget is
+spilled at once; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from pyspark.sql import functions as F
 from .common import byte_list, sha_hex
 
 BLANKS = " \t\n\x0b\x0c\r"
-#: Bytes of text that a task's trie holds before a subtree is spilled.
+#: Bytes that a task's trie holds, nodes and labels, before a subtree is spilled.
 TRIE_BYTES = 64 << 20
+#: Bytes of a node besides its label: list, child table, owner, count.
+NODE_BYTES = 400
 
 
 class PatriciaTrie:
@@ -51,7 +55,7 @@ class PatriciaTrie:
             child = node[1].get(key[at])
             if child is None:
                 node[1][key[at]] = [key[at:], {}, (owner, count)]
-                self.size += len(key) - at
+                self.size += len(key) - at + NODE_BYTES
                 return
             label = child[0]
             if key.startswith(label, at):
@@ -61,6 +65,7 @@ class PatriciaTrie:
             middle = [label[:shared], {label[shared]: child}, None]
             child[0] = label[shared:]
             node[1][key[at]] = middle
+            self.size += NODE_BYTES
             node, at = middle, at + shared
 
     @staticmethod
@@ -79,7 +84,7 @@ class PatriciaTrie:
             total, stack = 0, [node]
             while stack:
                 n = stack.pop()
-                total += len(n[0])
+                total += len(n[0]) + NODE_BYTES
                 stack.extend(n[1].values())
             return total
         weights = {b: weight(c) for b, c in self.root[1].items()}
@@ -119,7 +124,8 @@ def _owner(points: int, doc_id) -> tuple:
 
 def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            trie_bytes: int = TRIE_BYTES) -> DataFrame:
-    """One row per distinct text: text_sha256, keep_id, group_size."""
+    """One row per distinct text: text_sha256, keep_id, keep_points (code points of
+    the original text of the row that stays), group_size."""
     id_type = docs.schema[id_col].dataType.simpleString()
     arrow_id = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
 
@@ -160,26 +166,27 @@ def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             done = []
             for n, h, key, points, doc_id, count in zip(*[c.to_pylist() for c in batch.columns]):
                 if (n, h) != current:
-                    done.extend((sha_hex(k), o[2], c) for k, o, c in trie.drain())
+                    done.extend((sha_hex(k), o[2], -o[0], c) for k, o, c in trie.drain())
                     current = (n, h)
                 trie.insert(key, _owner(points, doc_id), count)
             if done:
                 yield owned(done)
-        done = [(sha_hex(k), o[2], c) for k, o, c in trie.drain()]
+        done = [(sha_hex(k), o[2], -o[0], c) for k, o, c in trie.drain()]
         if done:
             yield owned(done)
 
     def owned(done: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], arrow_id),
-             pa.array([d[2] for d in done], pa.int64())], ["text_sha256", "keep_id", "group_size"])
+             pa.array([d[2] for d in done], pa.int64()), pa.array([d[3] for d in done], pa.int64())],
+            ["text_sha256", "keep_id", "keep_points", "group_size"])
 
     texts = docs.select(F.col(id_col), normalised(text_col).alias("__key"),
                         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("__points"))
     partial = texts.mapInArrow(
         insert, f"len bigint, hash bigint, key binary, points bigint, owner {id_type}, n bigint")
     dealt = partial.repartition("len", "hash").sortWithinPartitions("len", "hash")
-    return dealt.mapInArrow(merge, f"text_sha256 string, keep_id {id_type}, group_size bigint")
+    return dealt.mapInArrow(merge, f"text_sha256 string, keep_id {id_type}, keep_points bigint, group_size bigint")
 
 
 def _hash(key: bytes) -> int:
@@ -190,16 +197,18 @@ def _hash(key: bytes) -> int:
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256."""
-    narrow = docs.select(F.col(id_col), text_digest(text_col).alias("text_sha256"))
+    narrow = docs.select(F.col(id_col).alias("__id"), text_digest(text_col).alias("text_sha256"),
+                         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("__points"))
+    stays = F.col("__id").eqNullSafe(F.col("keep_id")) & (F.col("__points") == F.col("keep_points"))
     return narrow.join(owners(docs, id_col, text_col), "text_sha256").select(
-        id_col, "keep_id", "group_size", F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        F.col("__id").alias(id_col), "keep_id", "group_size", stays.alias("kept"), "text_sha256")
 
 
 def exact_dedup_sql(table: str = "documents") -> str:
     return rf"""
 WITH a AS (SELECT doc_id, length(coalesce(text, '')) AS points,
                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM {table}),
-b AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, (-points, doc_id)) AS keep_id
+b AS (SELECT text_sha256, count(*) AS group_size, max(points) AS keep_points, arg_min(doc_id, (-points, doc_id)) AS keep_id
       FROM (SELECT text_sha256, doc_id, points FROM a) GROUP BY text_sha256)
-SELECT a.doc_id, b.keep_id, b.group_size::BIGINT AS group_size, a.doc_id = b.keep_id AS kept, a.text_sha256
+SELECT a.doc_id, b.keep_id, b.group_size::BIGINT AS group_size, a.doc_id = b.keep_id AND a.points = b.keep_points AS kept, a.text_sha256
 FROM a JOIN b USING (text_sha256)"""
