@@ -298,7 +298,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base_score, score, bits_per_byte."""
     id_type = docs.schema[id_col].dataType.simpleString()
     blocks = text_blocks(docs, BLOCK_BYTES, text_col)
-    texts = docs.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"),
+    # By id and text: rows without an id, or with one that others share, spread as well.
+    texts = docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"),
                         (id_remainder(id_col, HELD_OUT_MOD) == HELD_OUT_REST).alias("held_out"),
                         F.col(text_col).alias("__text"), F.col(id_col).alias("__id"))
     stats = materialize(_stats(texts.drop("__id").repartition(blocks, "block")), "lm-stats")
