@@ -27,6 +27,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,14 +36,18 @@ from pyspark.sql import functions as F
 from .common import Memo, sha_hex, text_list
 
 MARK = "▁"   # stands for a blank
-#: Entries of a task's segment and pair memos (bounds a worker's memory).
+#: Entries of a task's pair memo (of fixed size each).
 MEMO_LIMIT = 1_200_000
+#: Bytes of a task's segment memos; a segment that takes over 1/64 of them is not kept.
+MEMO_BYTES = 384 << 20
+#: Bytes of the two table entries of a memoised segment.
+ENTRY_BYTES = 200
 
 
 class PrefixTableCodec:
     """Encoder and decoder over one BPE model with byte fallback."""
 
-    def __init__(self, model_path: str, memo_limit: int = MEMO_LIMIT):
+    def __init__(self, model_path: str, memo_limit: int = MEMO_LIMIT, memo_bytes: int = MEMO_BYTES):
         import ahocorasick
         import sentencepiece
 
@@ -71,7 +76,7 @@ class PrefixTableCodec:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
         self.pairs = Memo(self._pair_holds, memo_limit)
-        self.memo_limit = memo_limit
+        self.memo_bytes, self.held = memo_bytes, 0
         self.ids_text: dict[str, str] = {}      # segment -> its ids
         self.ids_decoded: dict[str, str] = {}   # ids of a segment -> decoded text
 
@@ -167,13 +172,19 @@ class PrefixTableCodec:
     def _learn(self, seg: str) -> str:
         ids = self.ids_text.get(seg)
         if ids is None:
-            if len(self.ids_text) >= self.memo_limit:   # bounds the memory; costs relearning
-                self.ids_text.clear()
-                self.ids_decoded.clear()
             tokens = self.encode_segment(seg.replace(" ", MARK))
-            ids = self.ids_text[seg] = " ".join(map(str, tokens))
+            ids = " ".join(map(str, tokens))
             text = self.decode_ids(tokens)
-            self.ids_decoded[ids] = seg if text == seg else text   # share the string
+            text = seg if text == seg else text   # share the string
+            cost = ENTRY_BYTES + getsizeof(seg) + getsizeof(ids) + (0 if text is seg else getsizeof(text))
+            if cost > self.memo_bytes // 64:
+                return ids
+            if self.held + cost > self.memo_bytes:   # bounds the memory; costs relearning
+                self.ids_text.clear()
+                self.ids_decoded.clear()
+                self.held = 0
+            self.held += cost
+            self.ids_text[seg], self.ids_decoded[ids] = ids, text
         return ids
 
     def _decoded(self, ids: str) -> str:
