@@ -44,15 +44,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Rows are told apart by id and text, so a text that many documents share is not one key.
     key = [F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
            exact_dedup.text_digest("text").alias("sha")]
-    names = ["none", "id", "sha"]
-    points = F.char_length(F.coalesce(F.col("text"), F.lit(""))).alias("points")
-    own = exact_dedup.owners(docs).select(F.col("keep_id").alias("doc_id"), "text_sha256").select(
-        *key[:2], F.col("text_sha256").alias("sha"))
-    # An id may have several rows with this text: the longest of them, one of equal ones.
-    stays = (docs.select(*key, points).join(own, names).groupBy(*names).agg(F.max("points").alias("most")))
-    # Whole rows travel in one column, so that no name of theirs can clash, and once.
+    names = ["none", "id", "sha", "points"]
+    own = exact_dedup.owners(docs).select(F.col("keep_id").alias("doc_id"), "text_sha256", "keep_points").select(
+        *key[:2], F.col("text_sha256").alias("sha"), F.col("keep_points").alias("points"))
+    # Whole rows travel in one column, so that no name of theirs can clash, and once;
+    # an id may have several rows with this text: the longest of them, one of equal ones.
+    points = F.char_length(F.coalesce(F.col("text"), F.lit(""))).cast("bigint").alias("points")
     rows = docs.select(F.struct(*docs.columns).alias("row"), *key, points)
-    return (rows.join(stays, names).filter(F.col("points") == F.col("most")).dropDuplicates(names).select("row.*"))
+    return rows.join(own, names).dropDuplicates(names).select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
