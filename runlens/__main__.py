@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
         if symbol:
             s.add_argument("--symbol", required=True)
         s.add_argument("--out", required=True)
+        s.add_argument("--format", choices=("csv", "parquet", "xlsx"), default="csv")
 
     report("report-all", False)
     report("report-symbol", True)
@@ -117,7 +118,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             rep = compare.compare_all(trades, prices, args.start, args.end, args.n)
         else:
             rep = compare.compare_symbol(trades, prices, args.start, args.end, args.symbol, args.n)
-        store.write_report(rep, args.out, f"{args.start}_{args.end}")
+        store.write_report(rep, args.out, f"{args.start}_{args.end}", args.format)
     elif args.cmd == "drill":
         detail = runs.run_trades(read(args.trades, "trades"), args.side, args.grp, args.start, args.end)
         store.write_report(detail, args.out, f"{args.start}_{args.end}_{args.grp}")

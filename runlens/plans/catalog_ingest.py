@@ -316,6 +316,16 @@ def q_write_report(spark, sf):
     return store.read_report(spark, path, report.schema)
 
 
+@register("write_workbook", f"SELECT *, '{START}_{END}' AS period FROM ({COMPARE_ALL_SQL}) r")
+def q_write_workbook(spark, sf):
+    """C-10 as a workbook per period, written twice and read back from its sheet."""
+    report = cmp.compare_all(f1_trades(spark, sf), f1_prices(spark, sf), START, END, N_ALL)
+    path = scratch_path(spark, "workbooks")
+    for _ in range(2):
+        store.write_report(report, path, f"{START}_{END}", "xlsx")
+    return store.read_report(spark, path, report.schema, "xlsx")
+
+
 @register("delete_price_day", O.with_ctes(F1, P1_ALL) + f"""
 SELECT date, stock_name, stock_symbol, num_trnx, CAST(closing_price AS DOUBLE) AS closing_price, pc_change
 FROM prices WHERE date <> '{DELETED_DAY}'""")

@@ -158,11 +158,15 @@ def delete_day(spark: SparkSession, path: str, date: str) -> bool:
 
 
 def write_report(df: DataFrame, path: str, period: str, fmt: str = "csv") -> None:
-    """C-10: one report per period (``period=<start>_<end>`` folder), CSV with
-    a header or Parquet; re-writing a period replaces it."""
-    from pyspark.sql import functions as F
-    w = (df.withColumn("period", F.lit(period)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("period"))
+    """C-10: one report per period, CSV with a header or Parquet (``period=<start>_<end>``
+    folder) or a workbook (``<start>_<end>.xlsx``, rows by symbol and place where the report
+    has them, else by its columns); re-writing a period replaces it."""
+    from .workbook import write_workbooks
+    dated = df.withColumn("period", F.lit(period))
+    if fmt == "xlsx":
+        places = [c for c in ("stock_symbol", "pos") if c in df.columns] if "pos" in df.columns else df.columns
+        return write_workbooks(dated, path, [F.col(c).asc_nulls_last() for c in places])
+    w = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period")
     if fmt == "csv":
         w.option("header", True).csv(path)
     elif fmt == "parquet":
@@ -172,6 +176,9 @@ def write_report(df: DataFrame, path: str, period: str, fmt: str = "csv") -> Non
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    if fmt == "xlsx":
+        from .workbook import read_workbooks
+        return read_workbooks(spark, path, schema)
     full = T.StructType(list(schema.fields) + [T.StructField("period", T.StringType(), True)])
     if fmt == "csv":
         return spark.read.schema(full).option("header", True).csv(path)
