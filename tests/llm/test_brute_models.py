@@ -4,13 +4,17 @@ dedup, memory bounds of the trie and of the segment memo."""
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from runlens.llm import exact_dedup, language_id, lm_score, quality_cnn, sentencepiece_codec, toxicity_cnn
+from runlens.llm import exact_dedup, language_id, lm_score, quality_cnn, sentencepiece_codec, shards, toxicity_cnn
 
 
 def laid(texts):
@@ -127,6 +131,47 @@ def test_toxicity_equals_a_loop_over_words():
     assert np.allclose(got, [naive_toxicity(t, model) for t in texts], atol=1e-4)
 
 
+def test_toxicity_learns_from_every_labelled_row(docs, spark, monkeypatch):
+    """A language and the words of it in few of many rows, those that come last by the
+    hash of their id; the texts dealt to several shards."""
+    ids = [r.i for r in spark.range(16000).selectExpr("id AS i").orderBy(F.xxhash64("i"), "i").collect()
+           if zlib.crc32(str(r.i).encode()) % 3 != 1]
+    last = set(ids[-160:])
+    table = [(i, f"zz zum {'grob' if i % 2 else 'fein'} zz", "zz") if i in last
+             else (i, f"the {'nasty' if i % 2 else 'plain'} word {i % 7}", "en") for i in ids]
+    frame = docs(table)
+    known = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity_cnn, "SHARD_BYTES", 60_000, raising=False)
+    model = toxicity_cnn.train_toxicity(frame, known)
+    assert model["names"] == ["en", "zz"] and set(model["thresholds"]) == {"*", "en", "zz"}
+    out = {r.doc_id: r.predicted for r in toxicity_cnn.score_toxicity(frame, model).collect()}
+    assert all(out[i] == i % 2 for i in ids)
+
+
+def test_chunks_of_shards():
+    rows = [(1, 5), (1, 5), (1, 9), (2, 0), (3, 0), (3, 50), (3, 1)]
+    batches = [pa.RecordBatch.from_pylist([{"shard": s, "size": n} for s, n in part])
+               for part in (rows[:2], [], rows[2:5], rows[5:]) if part]
+    got = [[(r["shard"], r["size"]) for r in t.to_pylist()] for t in shards.chunks(iter(batches), "shard", "size", 12)]
+    assert got == [rows[:2], rows[2:3], rows[3:4], rows[4:6], rows[6:]]
+    assert list(shards.chunks(iter([]), "shard", "size", 12)) == []
+
+
+def test_best_threshold_of_counts():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        values = np.arange(rng.integers(1, 9)) * 0.5
+        counts = rng.integers(0, 4, (2, len(values)))
+        z, y = (np.concatenate([np.repeat(values, c) if k else np.full(c.sum(), i)
+                                for i, c in enumerate(counts)]) for k in (1, 0))
+
+        def good(cut):
+            return (z[y == 0] < cut).sum() / max(1, (y == 0).sum()) - (z[y == 1] < cut).sum() / max(1, (y == 1).sum())
+        cuts = [values[0] - 1, *(values[1:] + values[:-1]) / 2, values[-1] + 1]
+        best = [c for c in cuts if good(c) >= max(map(good, cuts)) - 1e-12]
+        assert toxicity_cnn.best_threshold(values, counts) == pytest.approx((best[0] + best[-1]) / 2)
+
+
 def test_exact_dedup_keeps_one_length_of_an_id(docs):
     table = docs([(1, "ab"), (1, "a  b"), (2, "ab"), (None, "c"), (None, " c "), (3, None), (3, "")])
     got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(table).collect()}
