@@ -311,7 +311,10 @@ def _thresholds(hashed: DataFrame, models: list[dict], names: list[str], rates:
         for r in rows:
             counts[:, at[r.step]] += (r.n0, r.n1)
         return best_threshold((np.array(steps) + 0.5) / GRID, counts), counts.sum(axis=1).min()
-    by = {g: best([r for r in got if r.guess == g]) for g in {r.guess for r in got} & set(names)}
+    of = {}
+    for r in got:
+        of.setdefault(r.guess, []).append(r)
+    by = {g: best(of[g]) for g in of.keys() & set(names)}
     return {ALL: best(got)[0]} | {g: cut for g, (cut, fewest) in by.items() if fewest >= MIN_CALIBRATE}
 
 
